@@ -66,8 +66,11 @@ def full(agg: str, n: int, x: str = "close_price") -> str:
     return f"CASE WHEN count({x}) OVER {last(n)} = n_{n} THEN {agg}({x}) OVER {last(n)} END".replace(f"n_{n}", str(n))
 
 
+DIGITS_OF = {"portfolio_value": 2, "final_value": 2, "normalized": 4, "benchmark": 6, "SMA_200": 9}
+
+
 def r(expr: str, name: str | None = None) -> str:
-    return f"round({expr}, 8) AS {name or expr}"
+    return f"round({expr}, {DIGITS_OF.get(name or expr, 8)}) AS {name or expr}"
 
 
 DAY = "CAST(date AS VARCHAR) AS date"
@@ -234,6 +237,16 @@ SELECT CAST(hr AS BIGINT) AS hr, {zone}, trip_count, CAST(rk AS BIGINT) AS rank
 WHERE rk = 1"""
 
 
+def pairs(source: str) -> str:
+    """Correlation of every two keys over the dates on which both have a return."""
+    return f"""SELECT x.ticker AS key_a, y.ticker AS key_b, round(CASE WHEN isfinite(corr(a.ret, b.ret)) THEN corr(a.ret, b.ret) END, 8) AS corr, count(b.ret) AS n
+FROM keys x JOIN keys y ON x.ticker <> y.ticker AND list_position(['S1', 'S2', 'S3', '^I4', '^I5'], x.ticker)
+    < list_position(['S1', 'S2', 'S3', '^I4', '^I5'], y.ticker)
+LEFT JOIN {source} a ON a.ticker = x.ticker AND a.ret IS NOT NULL
+LEFT JOIN {source} b ON b.ticker = y.ticker AND b.date = a.date AND b.ret IS NOT NULL
+GROUP BY 1, 2"""
+
+
 def column_rows(source: str, cols: list[str], value: str) -> str:
     return " UNION ALL ".join(
         f"SELECT '{c}' AS column, {value.format(c=c)} FROM {source}" for c in cols)
@@ -371,13 +384,9 @@ SELECT CAST(date AS VARCHAR) AS date, """ + ", ".join(
   FROM (SELECT DISTINCT date FROM prices) d CROSS JOIN keys k
   LEFT JOIN prices p ON p.date = d.date AND p.ticker = k.ticker),
 ret AS (SELECT ticker, date, price / lag(price) OVER {W} - 1 AS ret FROM grid)
-SELECT a.ticker AS key_a, b.ticker AS key_b, {r('corr(a.ret, b.ret)', 'corr')}, count(*) AS n
-FROM ret a JOIN ret b ON a.date = b.date AND a.ticker < b.ticker
-WHERE a.ret IS NOT NULL AND b.ret IS NOT NULL GROUP BY 1, 2""",
+{pairs("ret")}""",
     "return_corr": f"""WITH {RETURNS}
-SELECT a.ticker AS key_a, b.ticker AS key_b, {r('corr(a.ret, b.ret)', 'corr')}, count(*) AS n
-FROM returns a JOIN returns b ON a.date = b.date AND a.ticker < b.ticker
-WHERE a.ret IS NOT NULL AND b.ret IS NOT NULL GROUP BY 1, 2""",
+{pairs("returns")}""",
     "return_kde": f"""WITH {RETURNS}, h AS (
   SELECT ticker, stddev_samp(ret) * pow(count(ret), -0.2) AS h FROM returns GROUP BY 1),
 grid AS (SELECT range AS point, -0.1::DOUBLE + 0.2::DOUBLE * range / 40 AS x FROM range(41))
@@ -411,14 +420,14 @@ SELECT round((sum(mid) FILTER (label = 1) - sum(label) * (sum(label) + 1) / 2)
         "m_p", "placed", "macd > sig AND p > 0.40", "macd < sig OR coalesce(RSI, 50) > 80")
     + f" SELECT {SIGNAL} FROM placed",
     "ledger_final": f"""WITH RECURSIVE {HYBRID}, {ledger('placed', 'valued')}
-SELECT ticker, round(arg_max(portfolio_value, date), 8) AS final_value FROM valued GROUP BY 1""",
+SELECT ticker, {r('arg_max(portfolio_value, date)', 'final_value')} FROM valued GROUP BY 1""",
     "ledger_curve": f"""WITH RECURSIVE {HYBRID}, {ledger('placed', 'valued')}
 SELECT ticker, {DAY}, {r('portfolio_value')} FROM valued""",
     "buy_hold": f"""WITH {PRICES}, e AS (
   SELECT ticker, arg_min(open_price, date) AS o, arg_max(close_price, date) AS c FROM prices GROUP BY 1)
 SELECT ticker, {r('o', 'first_open')}, {r('c', 'last_close')},
   round(CASE WHEN floor(100000 * 0.999::DOUBLE / o) * c = 0 THEN 1
-             ELSE floor(100000 * 0.999::DOUBLE / o) * c END, 8) AS benchmark FROM e""",
+             ELSE floor(100000 * 0.999::DOUBLE / o) * c END, 6) AS benchmark FROM e""",
     "best_by_category": f"""WITH RECURSIVE {RANKED}
 SELECT category, ticker, {r('final_value')}, {r('benchmark')}, {r('score')} FROM best""",
     "goal_verdict": f"""WITH RECURSIVE {RANKED}

@@ -23,12 +23,12 @@ def duck(folder):
 
 
 def rows_of(names, rows):
-    """Rows with columns in name order, sorted; floats to nine significant digits."""
+    """Rows with columns in name order, sorted; floats exactly."""
     order = sorted(range(len(names)), key=lambda i: names[i])
 
     def plain(v):
         if isinstance(v, float):
-            return "nan" if math.isnan(v) else f"{v:.9g}" if v else "0"
+            return "nan" if math.isnan(v) else repr(v) if v else "0"
         return "" if v is None else str(v)
     return sorted(tuple(plain(r[i]) for i in order) for r in rows)
 
