@@ -32,8 +32,12 @@ def time_bucket(df: DataFrame, t: str, width: int | None = None) -> Column:
     kind = df.schema[t].dataType
     if isinstance(kind, T.DateType):
         return F.floor(F.unix_date(t) / F.lit(width or DATE_WIDTH))
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        seconds = F.unix_seconds(F.col(t).cast("timestamp"))
+    if isinstance(kind, T.TimestampType):
+        return F.floor(F.unix_seconds(t) / F.lit(width or TIMESTAMP_WIDTH))
+    if isinstance(kind, T.TimestampNTZType):
+        # Wall-clock seconds; a cast to an instant would jump where the session's zone does.
+        day = F.unix_date(F.to_date(t)).cast("long") * 86_400
+        seconds = day + F.hour(t) * 3_600 + F.minute(t) * 60 + F.second(t)
         return F.floor(seconds / F.lit(width or TIMESTAMP_WIDTH))
     if isinstance(kind, T.NumericType):
         return F.floor(F.col(t) / F.lit(width or NUMBER_WIDTH))

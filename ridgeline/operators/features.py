@@ -25,12 +25,11 @@ def features(df: DataFrame, k: str = "ticker", t: str = "date", x: str = "close_
     last row of each key, and rows whose strength index is undefined.
     """
     def step(d, w):
-        d = d.withColumn("Daily_Return", ind.change_ratio(x, w))
-        d = d.withColumns({"SMA_10": ind.mean_last(x, 10, w), "SMA_50": ind.mean_last(x, 50, w)})
-        d = ind.strength(d, w, x, 14)
-        d = ind.trend(d, [k], t, w, x, 12, 26, 9, means=True)
-        d = ind.bands(d, w, x, 20, 2.0)
-        return d.withColumns({
+        # Everything over the plain time order first, so that it shares one sort.
+        d = d.withColumns({
+            "Daily_Return": ind.change_ratio(x, w),
+            "SMA_10": ind.mean_last(x, 10, w),
+            "SMA_50": ind.mean_last(x, 50, w),
             "Lag_1": F.lag(x, 1).over(w),
             "Lag_2": F.lag(x, 2).over(w),
             "Lag_5": F.lag(x, 5).over(w),
@@ -40,6 +39,9 @@ def features(df: DataFrame, k: str = "ticker", t: str = "date", x: str = "close_
             "Next_Close": F.lead(x).over(w),
             "Target": F.when(F.lead(x).over(w) > F.col(x), 1).otherwise(0),
         })
+        d = ind.bands(d, w, x, 20, 2.0)
+        d = ind.strength(d, w, x, 14)
+        return ind.trend(d, [k], t, w, x, 12, 26, 9, means=True)
 
     table = over_series(df, k, t, max(50, ind.reach(9, 12, 26)), step, ahead=True, **layout)
     raw = [c for c in df.columns if c != "Daily_Return"]

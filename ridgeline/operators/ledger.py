@@ -4,11 +4,13 @@ How many units a purchase gets depends on the cash all earlier trades left, so
 trades have to be worked out one after the other.  Only that runs in sequence:
 rows on which nothing can happen are dropped beforehand, four narrow columns of
 the rest stream through a task in time order with two numbers as state and no
-row kept, and the valuation of every row is spread over parts of a key again.
+row kept, a bounded number of rows per key and round, and the valuation of every
+row is spread over parts of a key again.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -17,25 +19,74 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ridgeline.functions.columns import names, time_bucket
-from ridgeline.operators.ordered import hand_over
+from ridgeline.operators.ordered import hand_over, split
+from ridgeline.session import settle, shared_dir
 
 # Starting cash and the fee per trade.
 CASH = 100_000.0
 FEE = 0.001
 
+# Rows of one key that one task works off.
+ROUND = 1_000_000
 
-def trades(df: DataFrame, k, t: str, o: str, action: str, cash: float = CASH, fee: float = FEE) -> DataFrame:
+
+def trades(df: DataFrame, k, t: str, o: str, action: str, cash: float = CASH, fee: float = FEE,
+           rows: int = ROUND) -> DataFrame:
     """Cash and units after each row on which something was bought or sold.
 
     With action 1 and more cash than the opening price, as many whole units as
     the cash less fee covers are bought, also on later rows from what was left;
     with action 0 all units are sold.
+
+    Runs a job: the rows that can matter are stored once.  No task takes more than
+    about ``rows`` of them from a key; a longer key is worked off in rounds, each
+    starting from the stored state the round before left.
     """
     keys = names(k)
+    possible = settle(_possible(df, keys, t, o, action))
+    longest = possible.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    fold = _fold(keys, t, cash, fee)
+    schema = T.StructType([*[df.schema[c] for c in [*keys, t]],
+                           T.StructField("cash", T.DoubleType()), T.StructField("units", T.DoubleType())])
+
+    def work(part: DataFrame) -> DataFrame:
+        return part.repartition(*keys).sortWithinPartitions(*keys, t).mapInPandas(fold, schema)
+
+    fresh = {"_cash": F.lit(float(cash)), "_units": F.lit(0.0)}
+    if longest <= rows:
+        return work(possible.withColumns(fresh))
+
+    spark = df.sparkSession
+    folder = f"{shared_dir(spark)}/trades-{uuid.uuid4().hex}"
+    split(possible, keys, t, rows=rows).drop("_home").write.partitionBy("_part").parquet(f"{folder}/rows")
+    stored = spark.read.parquet(f"{folder}/rows")
+    rounds = sorted(r[0] for r in stored.select("_part").distinct().collect())
+    state = None
+    for i, number in enumerate(rounds):
+        part = stored.filter(F.col("_part") == number).drop("_part")
+        if state is not None:
+            part = part.join(state.select(*keys, F.col("cash").alias("_cash"), F.col("units").alias("_units")),
+                             keys, "left")
+            part = part.withColumns({c: F.coalesce(F.col(c), start) for c, start in fresh.items()})
+        else:
+            part = part.withColumns(fresh)
+        work(part).write.parquet(f"{folder}/moves/round={i}")
+        moves = spark.read.schema(schema).parquet(f"{folder}/moves/round={i}")
+        known = moves if state is None else state.unionByName(moves)
+        latest = known.groupBy(*keys).agg(F.max_by(F.struct(t, "cash", "units"), t).alias("s")).select(*keys, "s.*")
+        latest.write.parquet(f"{folder}/state/{i}")
+        state = spark.read.schema(schema).parquet(f"{folder}/state/{i}")
+    return spark.read.schema(schema).parquet(*[f"{folder}/moves/round={i}" for i in range(len(rounds))])
+
+
+def _possible(df: DataFrame, keys: list[str], t: str, o: str, action: str) -> DataFrame:
+    """Rows on which a trade can happen, narrowed to what the fold reads.
+
+    After a row without position nothing is left to sell, so a row with action 0
+    matters only behind one with action 1 (or, to be safe, at a bucket's start).
+    """
     inside = Window.partitionBy(*keys, "_bucket").orderBy(t)
-    # After a row without position nothing is left to sell, so a row with action 0
-    # matters only behind one with action 1 (or, to be safe, at a bucket's start).
-    candidates = (
+    return (
         df.filter(F.col(o) > 0)
         .select(*keys, t, F.col(o).cast("double").alias("_open"), F.col(action).cast("int").alias("_act"),
                 time_bucket(df, t).alias("_bucket"))
@@ -43,18 +94,18 @@ def trades(df: DataFrame, k, t: str, o: str, action: str, cash: float = CASH, fe
         .filter("_act = 1 OR _was = 1")
         .select(*keys, t, "_open", "_act")
     )
-    schema = T.StructType([*[df.schema[c] for c in [*keys, t]],
-                           T.StructField("cash", T.DoubleType()), T.StructField("units", T.DoubleType())])
 
+
+def _fold(keys: list[str], t: str, cash: float, fee: float):
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         owner, money, held = None, cash, 0
         for batch in batches:
             done, after = [], []
-            owners = zip(*[batch[c].tolist() for c in keys])
-            for i, (who, price, act) in enumerate(
-                    zip(owners, batch["_open"].tolist(), batch["_act"].tolist())):
+            columns = [*[batch[c].tolist() for c in keys],
+                       *[batch[c].tolist() for c in ("_open", "_act", "_cash", "_units")]]
+            for i, (*who, price, act, money_before, held_before) in enumerate(zip(*columns)):
                 if who != owner:
-                    owner, money, held = who, cash, 0
+                    owner, money, held = who, money_before, int(held_before)
                 bought = int(money * (1 - fee) / price) if act == 1 and money > price else 0
                 if bought > 0:
                     money -= bought * price * (1 + fee)
@@ -69,11 +120,7 @@ def trades(df: DataFrame, k, t: str, o: str, action: str, cash: float = CASH, fe
             if done:
                 out = batch.iloc[done][[*keys, t]].reset_index(drop=True)
                 yield out.assign(cash=[a[0] for a in after], units=[a[1] for a in after])
-
-    return (
-        candidates.repartition(*keys).sortWithinPartitions(*keys, t)
-        .mapInPandas(fold, schema)
-    )
+    return fold
 
 
 def ledger_final(df: DataFrame, k, t: str, o: str, c: str, action: str,

@@ -30,10 +30,16 @@ _FIRST, _LAST = Window.unboundedPreceding, Window.unboundedFollowing
 
 
 def split(df: DataFrame, k, t: str, before: int = 0, ahead: bool = False,
-          width: int | None = None, rows: int = ROWS) -> DataFrame:
+          width: int | None = None, rows: int | None = ROWS) -> DataFrame:
     """Add ``_part`` and ``_home``; each part also gets at least the ``before``
-    rows preceding it and, with ``ahead``, the bucket following it."""
+    rows preceding it and, with ``ahead``, the bucket following it.
+
+    ``rows=None`` leaves every key whole, which saves the count and a shuffle
+    where all keys are known to be short.
+    """
     keys = names(k)
+    if rows is None:
+        return df.withColumns({"_part": F.lit(0), "_home": F.lit(True)})
     tagged = df.withColumn("_bucket", time_bucket(df, t, width))
     by_bucket = Window.partitionBy(*keys).orderBy("_bucket")
     placed = (
@@ -64,6 +70,18 @@ def split(df: DataFrame, k, t: str, before: int = 0, ahead: bool = False,
     )
 
 
+def attach(df: DataFrame, per_key: DataFrame, k, spread, salts: int = 32) -> DataFrame:
+    """Join one row per key to all rows of the key.
+
+    Rows are spread by a hash of the ``spread`` columns, so a key that holds a
+    large share of them meets its one row in ``salts`` tasks instead of one.
+    """
+    keys = names(k)
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*names(spread)), F.lit(salts)))
+    copies = per_key.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    return salted.join(copies, [*keys, "_salt"]).drop("_salt")
+
+
 def window(k, t: str) -> WindowSpec:
     """Rows of one part in time order."""
     return Window.partitionBy(*names(k), "_part").orderBy(t)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ridgeline.functions import indicators as ind
 from ridgeline.functions.columns import names
-from ridgeline.operators.ordered import over_series
+from ridgeline.operators.ordered import attach, over_series
 
 
 def pct_change(df: DataFrame, k, t: str, x: str, out: str = "Daily_Return", **layout) -> DataFrame:
@@ -98,4 +98,4 @@ def rebase(df: DataFrame, k, t: str, x: str, base: float = 100_000.0, out: str =
     """The series scaled so that each key starts at ``base``."""
     keys = names(k)
     start = df.groupBy(*keys).agg(F.min_by(x, t).alias("_start"))
-    return df.join(start, keys).withColumn(out, F.try_divide(F.col(x), F.col("_start")) * base).drop("_start")
+    return attach(df, start, keys, t).withColumn(out, F.try_divide(F.col(x), F.col("_start")) * base).drop("_start")

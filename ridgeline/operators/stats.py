@@ -7,10 +7,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ridgeline.functions.columns import missing, names, value_bucket
+from ridgeline.operators.ordered import attach
 from ridgeline.operators.series import pct_change
 
 
@@ -96,10 +97,11 @@ def corr_matrix(df: DataFrame, k: str, t: str, x: str, keys: list[str], fill: st
     wide = changes.groupBy(t).pivot(k, keys).agg(F.max("_r")).toDF(t, *column.values())
     cells = [F.col(c) for c in column.values()]
     if fill:
-        first = listed.groupBy(F.lit(1).alias("_one")).agg(
-            *[F.min(F.when(F.col(k) == key, F.col(t))).alias(f"_s{i}") for i, key in enumerate(keys)])
-        wide = wide.withColumn("_one", F.lit(1)).join(first, "_one")
-        cells = [F.when(F.col(t) > F.col(f"_s{i}"), F.coalesce(c, F.lit(0.0))) for i, c in enumerate(cells)]
+        # One small array for the whole table: the first time of every listed key.
+        starts = listed.agg(F.array(*[F.min(F.when(F.col(k) == key, F.col(t))) for key in keys])).scalar()
+        wide = wide.withColumn("_starts", starts)
+        cells = [F.when(F.col(t) > F.get("_starts", F.lit(i)), F.coalesce(c, F.lit(0.0)))
+                 for i, c in enumerate(cells)]
     sums = wide.select(F.array(*cells).alias("v")).mapInPandas(
         _pair_sums, "a int, b int, n double, sa double, sb double, saa double, sbb double, sab double")
     total = sums.groupBy("a", "b").agg(*[F.sum(c).alias(c) for c in ("n", "sa", "sb", "saa", "sbb", "sab")])
@@ -133,19 +135,23 @@ def _pair_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def kde(df: DataFrame, k, x: str, lo: float = -0.10, hi: float = 0.10, points: int = 41) -> DataFrame:
     """Gaussian kernel density of ``x`` per key at evenly spaced points.
 
-    The bandwidth is the sample deviation times n^(-1/5).  Every point is one
-    aggregate with a map-side partial sum, so rows are never multiplied.
+    The bandwidth is the sample deviation times n^(-1/5).  Equal values are
+    counted first; every point is one aggregate with a map-side partial sum, so
+    rows are never multiplied.
     """
     keys = names(k)
-    rows = df.filter(~missing(df, x)).select(*keys, x)
-    width = rows.groupBy(*keys).agg(
+    values = df.filter(~missing(df, x)).groupBy(*keys, F.col(x).alias("_x")).agg(F.count(F.lit(1)).alias("_m"))
+    width = df.filter(~missing(df, x)).groupBy(*keys).agg(
+        F.count(x).alias("_n"),
         (F.stddev_samp(x) * F.pow(F.count(x).cast("double"), F.lit(-0.2))).alias("_h")).filter("_h > 0")
     at = [lo + (hi - lo) * i / (points - 1) for i in range(points)]
-    scaled = rows.join(width, keys).select(*keys, "_h", (F.col(x) / F.col("_h")).alias("_z"))
-    bumps = [F.avg(F.exp(-0.5 * F.pow(F.lit(g) / F.col("_h") - F.col("_z"), F.lit(2.0)))).alias(f"_g{i}")
-             for i, g in enumerate(at)]
-    heights = scaled.groupBy(*keys, "_h").agg(*bumps)
-    scale = F.col("_h") * math.sqrt(2 * math.pi)
+    scaled = attach(values, width, keys, "_x").select(*keys, "_h", "_n", "_m", (F.col("_x") / F.col("_h")).alias("_z"))
+
+    def bump(g: float) -> Column:
+        away = F.lit(g) / F.col("_h") - F.col("_z")
+        return F.sum(F.col("_m") * F.exp(-0.5 * away * away))
+    heights = scaled.groupBy(*keys, "_h", "_n").agg(*[bump(g).alias(f"_g{i}") for i, g in enumerate(at)])
+    scale = F.col("_n") * F.col("_h") * math.sqrt(2 * math.pi)
     lines = [F.struct(F.lit(i).alias("point"), F.lit(g).alias("x"), (F.col(f"_g{i}") / scale).alias("density"))
              for i, g in enumerate(at)]
     return heights.select(*keys, F.inline(F.array(*lines)))

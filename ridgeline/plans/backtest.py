@@ -11,6 +11,7 @@ from ridgeline.operators import ledger as lg
 from ridgeline.operators import models as md
 from ridgeline.operators import signals as sg
 from ridgeline.operators.features import input_columns, slice_indicators
+from ridgeline.session import settle
 
 
 def category_scores(table: DataFrame, rows: DataFrame, category: Column, train_before: str,
@@ -34,8 +35,12 @@ def category_scores(table: DataFrame, rows: DataFrame, category: Column, train_b
 
 def positions(table: DataFrame, category: Column, lo: str, hi: str | None = None, p: Column | None = None,
               reseed: bool = True) -> DataFrame:
-    """Signals of the slice: the MACD rule for stocks, the trend rule for indices."""
-    rows = slice_indicators(table, lo, hi, reseed=reseed)
+    """Signals of the slice: the MACD rule for stocks, the trend rule for indices.
+
+    ``table`` is read twice (to count and to compute), and so are the sliced rows,
+    which are therefore stored; store ``table`` as well unless it is a source.
+    """
+    rows = settle(slice_indicators(table, lo, hi, reseed=reseed))
     if p is not None:
         rows = rows.withColumn("p", p)
     return choose(rows, category)
