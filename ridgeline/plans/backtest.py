@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ridgeline.operators import ledger as lg
 from ridgeline.operators import models as md
 from ridgeline.operators import signals as sg
-from ridgeline.operators.features import input_columns, slice_indicators
+from ridgeline.operators.features import features, input_columns, slice_indicators
 from ridgeline.session import settle
 
 
@@ -33,6 +33,20 @@ def category_scores(table: DataFrame, rows: DataFrame, category: Column, train_b
     return reduce(DataFrame.unionByName, scored)
 
 
+def run(prices: DataFrame, category: Column, train_before: str, lo: str, hi: str | None = None,
+        boosted=None, forest=None, reseed: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Cleaned prices to the results table and the ranking of all keys.
+
+    The feature table, the scored slice and the positions are stored on the way:
+    each is read by more than one later step.
+    """
+    table = settle(features(prices))
+    rows = settle(slice_indicators(table, lo, hi, reseed=reseed))
+    scored = settle(category_scores(table, rows, category, train_before, boosted, forest))
+    placed = settle(choose(scored, category))
+    return valued(placed), ranking(placed)
+
+
 def positions(table: DataFrame, category: Column, lo: str, hi: str | None = None, p: Column | None = None,
               reseed: bool = True) -> DataFrame:
     """Signals of the slice: the MACD rule for stocks, the trend rule for indices.

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ridgeline.functions import indicators as ind
 from ridgeline.operators import clean as cl
 from ridgeline.operators import features as ft
 from ridgeline.operators import ledger as lg
@@ -345,7 +346,8 @@ def roc_auc(spark, folder):
 # Signals, ledger and ranking
 
 def _scored_with_mean(spark, folder):
-    return se.sma(fx.prices(spark, folder), *KEY, 50).withColumn("p", fx.chance())
+    # A held signal reads its rows twice, so they are stored first.
+    return settle(se.sma(fx.prices(spark, folder), *KEY, 50).withColumn("p", fx.chance()))
 
 
 def _hybrid(spark, folder):
@@ -368,9 +370,11 @@ def signal_trend(spark, folder):
 
 @query
 def signal_macd(spark, folder):
-    rows = se.rsi(se.macd(_close(spark, folder), *KEY), *KEY).withColumns(
-        {"RSI": F.coalesce("RSI", F.lit(50.0)), "Signal_Line": F.col("MACD_Signal"), "p": fx.chance()})
-    return sg.signal(rows, "ticker", "date", *sg.macd_rule()).select(*_SIGNAL)
+    def step(d, w):
+        return ind.trend(ind.strength(d, w, "close_price"), ["ticker"], "date", w, "close_price", signal="Signal_Line")
+    rows = od.over_series(_close(spark, folder), "ticker", "date", ind.reach(9, 12, 26), step).withColumns(
+        {"RSI": F.coalesce("RSI", F.lit(50.0)), "p": fx.chance()})
+    return sg.signal(settle(rows), "ticker", "date", *sg.macd_rule()).select(*_SIGNAL)
 
 
 _LEDGER = ("ticker", "date", "open_price", "close_price", sg.ACTION)
