@@ -12,6 +12,10 @@ aggregate) and work on pieces of a key afterwards:
 * ``fill`` needs an unbounded look back; it works inside single buckets and
   takes from the bucket table what earlier (later) buckets hand over.
 
+Both run the count as a job of its own and store the bucket table.  Spark then
+plans the join with it by its real size: a small one is broadcast and the rows
+are shuffled once, to their parts.
+
 A series is identified by non-NULL key columns and a non-NULL time, unique
 within the key; rows without them belong to no series and are left out.
 """
@@ -24,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ridgeline.functions.columns import names, time_bucket
+from ridgeline.session import few, settle
 
 ROWS = 32_768
 _FIRST, _LAST = Window.unboundedPreceding, Window.unboundedFollowing
@@ -63,7 +68,7 @@ def split(df: DataFrame, k, t: str, before: int = 0, ahead: bool = False,
     if ahead:
         copy = F.array(F.struct(F.col("_prior").alias("_part"), F.lit(False).alias("_home")))
         place.append(F.when(F.col("_prior") < F.col("_own"), copy).otherwise(F.array()))
-    placed = placed.select(*keys, "_bucket", F.concat(*place).alias("_places"))
+    placed = settle(placed.select(*keys, "_bucket", F.concat(*place).alias("_places")))
     return (
         tagged.join(placed, [*keys, "_bucket"])
         .select(*df.columns, F.inline("_places"))
@@ -73,10 +78,13 @@ def split(df: DataFrame, k, t: str, before: int = 0, ahead: bool = False,
 def attach(df: DataFrame, per_key: DataFrame, k, spread, salts: int = 32) -> DataFrame:
     """Join one row per key to all rows of the key.
 
-    Rows are spread by a hash of the ``spread`` columns, so a key that holds a
-    large share of them meets its one row in ``salts`` tasks instead of one.
+    A short table is broadcast.  For a long one rows are spread by a hash of the
+    ``spread`` columns, so a key that holds a large share of them meets its one
+    row in ``salts`` tasks instead of one.
     """
-    keys = names(k)
+    keys, per_key = names(k), settle(per_key)
+    if few(per_key):
+        return df.join(F.broadcast(per_key), keys)
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(*names(spread)), F.lit(salts)))
     copies = per_key.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
     return salted.join(copies, [*keys, "_salt"]).drop("_salt")
@@ -122,7 +130,7 @@ def hand_over(df: DataFrame, k, t: str, value: Column, out: str, start: Column |
     pick = F.max_by if forward else F.min_by
     step = F.asc if forward else F.desc
     by_bucket = Window.partitionBy(*keys).orderBy(step("_bucket"))
-    handed = (
+    handed = settle(
         tagged.groupBy(*keys, "_bucket").agg(pick("_value", known_at).alias("_left"))
         .select(*keys, "_bucket",
                 F.last("_left", ignorenulls=True).over(by_bucket.rowsBetween(_FIRST, -1)).alias("_handed"))

@@ -13,23 +13,25 @@ from pyspark.sql import functions as F
 from ridgeline.functions.columns import missing, names, value_bucket
 from ridgeline.operators.ordered import attach
 from ridgeline.operators.series import pct_change
+from ridgeline.session import few, settle
 
 
 def order_statistics(df: DataFrame, k, x: str, shares: list[float]) -> DataFrame:
     """Exact quantiles per key with linear interpolation, as ``(key, share, value)``.
 
-    Values are counted per key and value bucket first; only the few buckets that
+    Values are counted per key and value bucket first; then the few buckets that
     hold a wanted rank are looked at value by value, so no task sees a whole key.
+    Equal values are counted before anything is brought together.
     """
     keys = names(k)
     rows = df.filter(~missing(df, x)).select(*keys, F.col(x).cast("double").alias("_x"))
-    rows = rows.withColumn("_bucket", value_bucket(F.col("_x")))
+    rows = rows.withColumn("_bucket", value_bucket(F.col("_x"), 16_384))
     upto = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
     ranks = F.array(*[F.struct(F.lit(q).alias("share"), (F.lit(q) * (F.col("_total") - 1)).alias("at"))
                       for q in shares])
     wanted = F.filter(ranks, lambda r: (F.ceil(r["at"]) >= F.col("_end") - F.col("_n"))
                       & (F.floor(r["at"]) < F.col("_end")))
-    buckets = (
+    buckets = settle(
         rows.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
         .withColumns({"_end": F.sum("_n").over(upto),
                       "_total": F.sum("_n").over(Window.partitionBy(*keys))})
@@ -38,8 +40,12 @@ def order_statistics(df: DataFrame, k, x: str, shares: list[float]) -> DataFrame
         .select(*keys, "_bucket", (F.col("_end") - F.col("_n")).alias("_start"), "_wanted")
     )
     inside = Window.partitionBy(*keys, "_bucket").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
+    each = [*keys, "_bucket", "_x"]
+    if few(buckets):
+        spots = F.broadcast(buckets.select(*keys, "_bucket"))
+        rows = rows.join(spots, [*keys, "_bucket"], "left_semi")
     values = (
-        rows.groupBy(*keys, "_bucket", "_x").agg(F.count(F.lit(1)).alias("_m"))
+        rows.groupBy(*each).agg(F.count(F.lit(1)).alias("_m"))
         .join(buckets, [*keys, "_bucket"])
         .withColumn("_upto", F.col("_start") + F.sum("_m").over(inside))
         .withColumn("_from", F.col("_upto") - F.col("_m"))
@@ -135,17 +141,19 @@ def _pair_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def kde(df: DataFrame, k, x: str, lo: float = -0.10, hi: float = 0.10, points: int = 41) -> DataFrame:
     """Gaussian kernel density of ``x`` per key at evenly spaced points.
 
-    The bandwidth is the sample deviation times n^(-1/5).  Equal values are
-    counted first; every point is one aggregate with a map-side partial sum, so
-    rows are never multiplied.
+    The bandwidth is the sample deviation times n^(-1/5).  Every point is one
+    aggregate with a map-side partial sum, so rows are never multiplied.  Where the
+    bandwidths of very many keys have to be joined, equal values are counted first.
     """
     keys = names(k)
-    values = df.filter(~missing(df, x)).groupBy(*keys, F.col(x).alias("_x")).agg(F.count(F.lit(1)).alias("_m"))
-    width = df.filter(~missing(df, x)).groupBy(*keys).agg(
-        F.count(x).alias("_n"),
-        (F.stddev_samp(x) * F.pow(F.count(x).cast("double"), F.lit(-0.2))).alias("_h")).filter("_h > 0")
+    rows = df.filter(~missing(df, x)).select(*keys, F.col(x).alias("_x"), F.lit(1).alias("_m"))
+    width = settle(rows.groupBy(*keys).agg(
+        F.count("_x").alias("_n"),
+        (F.stddev_samp("_x") * F.pow(F.count("_x").cast("double"), F.lit(-0.2))).alias("_h")).filter("_h > 0"))
     at = [lo + (hi - lo) * i / (points - 1) for i in range(points)]
-    scaled = attach(values, width, keys, "_x").select(*keys, "_h", "_n", "_m", (F.col("_x") / F.col("_h")).alias("_z"))
+    if not few(width):
+        rows = rows.groupBy(*keys, "_x").agg(F.count(F.lit(1)).alias("_m"))
+    scaled = attach(rows, width, keys, "_x").select(*keys, "_h", "_n", "_m", (F.col("_x") / F.col("_h")).alias("_z"))
 
     def bump(g: float) -> Column:
         away = F.lit(g) / F.col("_h") - F.col("_z")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,13 +44,18 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and cut its lineage there.
+    """Write ``df`` as a table in the shared folder and go on from there.
 
-    For a frame that several later branches read: they then start from stored
-    rows instead of repeating its shuffles, also after losing an executor.
+    For a frame that several later steps read: they start from stored columns
+    instead of repeating its shuffles, also after losing an executor, and Spark
+    knows the table's real size when it plans a join with it.
     """
     spark = df.sparkSession
-    folder = shared_dir(spark)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    path = f"{shared_dir(spark)}/settled-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def few(table: DataFrame, most: int = 100_000) -> bool:
+    """Whether a settled table has so few rows that every task may hold all of them."""
+    return table.count() <= most
