@@ -2,12 +2,16 @@
 
 Every function takes a frame whose rows are in pieces (see ``operators.ordered``),
 the window over a piece and the price column, and returns the frame with columns
-added.  A value that is not defined yet is NULL.
+added.  A value that is not defined yet is NULL.  Helper columns start with an
+underscore; ``over_series`` drops them at the end, so functions used together
+share them.
 """
 
 from __future__ import annotations
 
 import math
+import operator
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -27,14 +31,74 @@ def change_ratio(x: str, w: WindowSpec) -> Column:
     return F.try_divide(F.col(x), F.lag(x).over(w)) - 1
 
 
-def mean_last(x: str, n: int, w: WindowSpec) -> Column:
-    return full_frame(F.avg(x), x, n, w)
+def _piece(lengths: list[int]) -> int:
+    """Length of the short sums that the wanted windows are put together from."""
+    common = math.gcd(*lengths)
+    fitting = [d for d in range(1, common + 1) if common % d == 0 and d * d <= 4 * max(lengths)]
+    return fitting[-1]
+
+
+def window_sums(df: DataFrame, w: WindowSpec, wanted: dict[str, tuple[str, int]]) -> DataFrame:
+    """Add the sum of the last ``n`` values of ``x`` as each ``out: (x, n)``; NULL until there are ``n``.
+
+    Spark adds up a sliding frame anew for every row.  A long window is therefore
+    put together from sums over a short one, shifted: 50 rows are five sums of 10.
+    """
+    lengths: dict[str, list[int]] = {}
+    for x, n in wanted.values():
+        lengths.setdefault(x, []).append(n)
+    piece = {x: _piece(ns) for x, ns in lengths.items()}
+    short = {}
+    for x, size in piece.items():
+        frame = w.rowsBetween(-(size - 1), 0)
+        short |= {f"_sum_{x}": F.sum(x).over(frame), f"_count_{x}": F.count(x).over(frame)}
+    df = df.withColumns(short)
+
+    def total(kind: str, x: str, n: int) -> Column:
+        parts = [F.lag(f"_{kind}_{x}", i).over(w) if i else F.col(f"_{kind}_{x}") for i in range(0, n, piece[x])]
+        return reduce(operator.add, parts)
+    return df.withColumns({
+        out: F.when(total("count", x, n) == n, total("sum", x, n)) for out, (x, n) in wanted.items()})
+
+
+def steps(df: DataFrame, w: WindowSpec, x: str) -> DataFrame:
+    """Row number from 0, change against the preceding row (none on the first), and its two sides."""
+    if "_step" in df.columns:
+        return df
+    change = F.coalesce(F.col(x) - F.lag(x).over(w), F.lit(0.0))
+    return df.withColumns({
+        "_row": F.row_number().over(w) - 1, "_step": F.when(F.col(x).isNotNull(), change),
+    }).withColumns({
+        "_up": F.greatest("_step", F.lit(0.0)), "_down": F.greatest(-F.col("_step"), F.lit(0.0)),
+    })
+
+
+def averages(df: DataFrame, w: WindowSpec, x: str, lengths: list[int], strength: int | None = None) -> DataFrame:
+    """``SMA_<n>`` for each length and, over ``strength`` rows, ``RSI``; NULL until there are as many values.
+
+    The relative strength compares the gains and losses of its rows.  The first
+    row of a series counts as no change; rows without any change have no value,
+    rows without a loss have 100.
+    """
+    wanted = {f"SMA_{n}": (x, n) for n in lengths}
+    if strength:
+        df = steps(df, w, x)
+        wanted |= {"_gain": ("_up", strength), "_loss": ("_down", strength)}
+    df = window_sums(df, w, wanted)
+    added = {f"SMA_{n}": F.col(f"SMA_{n}") / n for n in lengths}
+    if strength:
+        gain, loss = F.col("_gain"), F.col("_loss")
+        added["RSI"] = (
+            F.when(loss > 0, 100 - 100 / (1 + F.try_divide(gain, loss)))
+            .when(gain > 0, F.lit(100.0))
+        )
+    return df.withColumns(added)
 
 
 def bands(df: DataFrame, w: WindowSpec, x: str, n: int = 20, m: float = 2.0) -> DataFrame:
     """Rolling mean and sample deviation, and the band of ``m`` deviations around it."""
     return df.withColumns({
-        "Bollinger_Middle": mean_last(x, n, w),
+        "Bollinger_Middle": full_frame(F.avg(x), x, n, w),
         "Bollinger_Std": full_frame(F.stddev_samp(x), x, n, w),
     }).withColumns({
         "Bollinger_Upper": F.col("Bollinger_Middle") + F.col("Bollinger_Std") * m,
@@ -42,29 +106,6 @@ def bands(df: DataFrame, w: WindowSpec, x: str, n: int = 20, m: float = 2.0) ->
     })
 
 
-def strength(df: DataFrame, w: WindowSpec, x: str, n: int = 14, out: str = "RSI") -> DataFrame:
-    """Relative strength from simple means of gains and losses over ``n`` rows.
-
-    The first row of a series has no difference and counts as no change; a frame
-    without any change has no value, one without a loss has 100.
-    """
-    step = F.col("_step")
-    frame = w.rowsBetween(-(n - 1), 0)
-    mean = lambda side: F.avg(F.when(side > 0, side).otherwise(F.lit(0.0))).over(frame)
-    gain, loss = F.col("_gain"), F.col("_loss")
-    value = (
-        F.when(loss > 0, 100 - 100 / (1 + F.try_divide(gain, loss)))
-        .when(gain > 0, F.lit(100.0))
-    )
-    return (
-        df.withColumn("_step", F.col(x) - F.lag(x).over(w))
-        .withColumns({"_gain": mean(step), "_loss": mean(-step),
-                      "_seen": F.count(x).over(frame)})
-        .withColumn(out, F.when(F.col("_seen") == n, value))
-        .drop("_step", "_gain", "_loss", "_seen")
-    )
-
-
 def decay(span: int) -> float:
     """Weight of the previous value in an exponential mean of this span."""
     return 1.0 - 2.0 / (span + 1.0)
@@ -88,17 +129,13 @@ def gaps(df: DataFrame, k: list[str], t: str, w: WindowSpec, x: str, spans: list
     slowest = min(rates.values())
     together = [s for s in spans if rates[s] * REACH / slowest <= 600]
     block = reach(*together)
-    row, place = F.col("_row"), F.col("_place")
+    place = F.col("_place")
     inside = Window.partitionBy(*k, "_part", "_block").orderBy(t).rowsBetween(Window.unboundedPreceding, 0)
     earlier = Window.partitionBy(*k, "_part").orderBy("_block", t).rowsBetween(Window.unboundedPreceding, -1)
-    df = (
-        df.withColumns({"_row": F.row_number().over(w) - 1,
-                        "_change": F.coalesce(F.col(x) - F.lag(x).over(w), F.lit(0.0))})
-        .withColumns({"_block": F.floor(row / block), "_place": row % block})
-    )
+    df = steps(df, w, x).withColumns({"_block": F.floor(F.col("_row") / block), "_place": F.col("_row") % block})
     fade = {s: F.pow(F.lit(decay(s)), place + 1) for s in together}
     df = df.withColumns({
-        f"_gap_{s}": F.sum(F.col("_change") / F.pow(F.lit(decay(s)), place)).over(inside) * fade[s]
+        f"_gap_{s}": F.sum(F.col("_step") / F.pow(F.lit(decay(s)), place)).over(inside) * fade[s]
         for s in together
     })
     df = df.withColumns({
@@ -108,7 +145,7 @@ def gaps(df: DataFrame, k: list[str], t: str, w: WindowSpec, x: str, spans: list
     df = df.withColumns({
         f"_gap_{s}": F.col(f"_gap_{s}") + F.coalesce(F.col(f"_tail_{s}"), F.lit(0.0)) * fade[s]
         for s in together
-    }).drop("_row", "_change", "_block", "_place", *[f"_tail_{s}" for s in together])
+    })
     rest = [s for s in spans if s not in together]
     return gaps(df, k, t, w, x, rest) if rest else df
 
@@ -132,4 +169,4 @@ def trend(df: DataFrame, k: list[str], t: str, w: WindowSpec, x: str, fast: int
     added = {line: g[slow] - g[fast], signal: smoothed(slow) - smoothed(fast)}
     if means:
         added |= {f"EMA_{fast}": F.col(x) - g[fast], f"EMA_{slow}": F.col(x) - g[slow]}
-    return df.withColumns(added).drop(*[f"_gap_{s}" for s in g])
+    return df.withColumns(added)

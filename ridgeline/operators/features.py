@@ -28,8 +28,6 @@ def features(df: DataFrame, k: str = "ticker", t: str = "date", x: str = "close_
         # Everything over the plain time order first, so that it shares one sort.
         d = d.withColumns({
             "Daily_Return": ind.change_ratio(x, w),
-            "SMA_10": ind.mean_last(x, 10, w),
-            "SMA_50": ind.mean_last(x, 50, w),
             "Lag_1": F.lag(x, 1).over(w),
             "Lag_2": F.lag(x, 2).over(w),
             "Lag_5": F.lag(x, 5).over(w),
@@ -39,8 +37,8 @@ def features(df: DataFrame, k: str = "ticker", t: str = "date", x: str = "close_
             "Next_Close": F.lead(x).over(w),
             "Target": F.when(F.lead(x).over(w) > F.col(x), 1).otherwise(0),
         })
-        d = ind.bands(d, w, x, 20, 2.0)
-        d = ind.strength(d, w, x, 14)
+        d = ind.bands(ind.steps(d, w, x), w, x, 20, 2.0)
+        d = ind.averages(d, w, x, [10, 50], strength=14)
         return ind.trend(d, [k], t, w, x, 12, 26, 9, means=True)
 
     table = over_series(df, k, t, max(50, ind.reach(9, 12, 26)), step, ahead=True, **layout)
@@ -87,13 +85,12 @@ def slice_indicators(df: DataFrame, lo: str, hi: str | None = None, k: str = "ti
                                  "RSI": F.coalesce("RSI", F.lit(50.0))})
 
     def step(d, w):
-        d = d.withColumns({"SMA_50": ind.mean_last(x, 50, w), "_row": F.row_number().over(w)})
+        d = ind.averages(d, w, x, [50], strength=14)
         whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         first = F.first("SMA_50", ignorenulls=True).over(whole)
-        d = d.withColumn("SMA_50", F.when(F.col("_row") < 50, first).otherwise(F.col("SMA_50")))
-        d = ind.strength(d, w, x, 14)
-        d = d.withColumn("RSI", F.coalesce("RSI", F.lit(50.0)))
+        d = d.withColumns({"SMA_50": F.when(F.col("_row") < 49, first).otherwise(F.col("SMA_50")),
+                           "RSI": F.coalesce("RSI", F.lit(50.0))})
         return ind.trend(d, [k], t, w, x, 12, 26, 9, signal="Signal_Line")
 
     kept = rows.drop("SMA_50", "RSI", "MACD", "Signal_Line")
-    return over_series(kept, k, t, max(50, ind.reach(9, 12, 26)), step, **layout).drop("_row")
+    return over_series(kept, k, t, max(50, ind.reach(9, 12, 26)), step, **layout)

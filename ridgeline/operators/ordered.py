@@ -95,15 +95,15 @@ def window(k, t: str) -> WindowSpec:
     return Window.partitionBy(*names(k), "_part").orderBy(t)
 
 
-def merge(df: DataFrame, *scratch: str) -> DataFrame:
-    """Drop the copied rows and the helper columns."""
-    return df.filter("_home").drop("_part", "_home", *scratch)
+def merge(df: DataFrame, original: DataFrame) -> DataFrame:
+    """Drop the copied rows and the helper columns the original did not have."""
+    return df.filter("_home").drop(*[c for c in df.columns if c.startswith("_") and c not in original.columns])
 
 
 def over_series(df: DataFrame, k, t: str, before: int, step: Callable[[DataFrame, WindowSpec], DataFrame],
                 ahead: bool = False, **layout) -> DataFrame:
     """Apply ``step(parts, window)``, whose frames reach back at most ``before`` rows."""
-    return merge(step(split(df, k, t, before, ahead, **layout), window(k, t)))
+    return merge(step(split(df, k, t, before, ahead, **layout), window(k, t)), df)
 
 
 def fill(df: DataFrame, k, t: str, x: str, out: str | None = None, direction: str = "forward",

@@ -37,9 +37,7 @@ def label_up(df: DataFrame, k, t: str, x: str, **layout) -> DataFrame:
 def sma(df: DataFrame, k, t: str, x: str, n, **layout) -> DataFrame:
     """``SMA_<n>`` over the last ``n`` rows (one length or several), NULL until there are ``n``."""
     lengths = [n] if isinstance(n, int) else list(n)
-    return over_series(
-        df, k, t, max(lengths),
-        lambda d, w: d.withColumns({f"SMA_{m}": ind.mean_last(x, m, w) for m in lengths}), **layout)
+    return over_series(df, k, t, max(lengths), lambda d, w: ind.averages(d, w, x, lengths), **layout)
 
 
 def bollinger(df: DataFrame, k, t: str, x: str, n: int = 20, m: float = 2.0, **layout) -> DataFrame:
@@ -47,7 +45,7 @@ def bollinger(df: DataFrame, k, t: str, x: str, n: int = 20, m: float = 2.0, **l
 
 
 def rsi(df: DataFrame, k, t: str, x: str, n: int = 14, **layout) -> DataFrame:
-    return over_series(df, k, t, n, lambda d, w: ind.strength(d, w, x, n), **layout)
+    return over_series(df, k, t, n, lambda d, w: ind.averages(d, w, x, [], n), **layout)
 
 
 def ema(df: DataFrame, k, t: str, x: str, span, **layout) -> DataFrame:
@@ -56,8 +54,7 @@ def ema(df: DataFrame, k, t: str, x: str, span, **layout) -> DataFrame:
 
     def step(d, w):
         d = ind.gaps(d, names(k), t, w, x, spans)
-        means = {f"EMA_{s}": F.col(x) - F.col(f"_gap_{s}") for s in spans}
-        return d.withColumns(means).drop(*[f"_gap_{s}" for s in spans])
+        return d.withColumns({f"EMA_{s}": F.col(x) - F.col(f"_gap_{s}") for s in spans})
     return over_series(df, k, t, ind.reach(*spans), step, **layout)
 
 
@@ -74,18 +71,17 @@ def sma_cross(df: DataFrame, k, t: str, x: str, short: int = 50, long: int = 200
     While the long mean is undefined the position counts as level, so the first
     defined row is an event too unless ``skip_warmup`` is set.
     """
-    def step(d, w):
-        d = d.withColumn("_diff", ind.mean_last(x, short, w) - ind.mean_last(x, long, w))
-        d = d.withColumn("_side", F.coalesce(F.signum("_diff"), F.lit(0.0)))
-        return d.withColumns({"_was": F.lag("_side").over(w), "_had": F.lag("_diff").over(w)})
     crossed = (F.col("_side") != 0) & (F.col("_was").isNull() | (F.col("_side") != F.col("_was")))
     if skip_warmup:
         crossed &= F.col("_had").isNotNull()
-    return (
-        over_series(df, k, t, long, step, **layout)
-        .filter(crossed)
-        .select(*names(k), t, x, F.when(F.col("_side") > 0, "golden").otherwise("death").alias("event"))
-    )
+
+    def step(d, w):
+        d = ind.averages(d, w, x, [short, long])
+        d = d.withColumn("_diff", F.col(f"SMA_{short}") - F.col(f"SMA_{long}"))
+        d = d.withColumn("_side", F.coalesce(F.signum("_diff"), F.lit(0.0)))
+        d = d.withColumns({"_was": F.lag("_side").over(w), "_had": F.lag("_diff").over(w)})
+        return d.filter(crossed).withColumn("event", F.when(F.col("_side") > 0, "golden").otherwise("death"))
+    return over_series(df, k, t, long, step, **layout).select(*names(k), t, x, "event")
 
 
 def last_n(df: DataFrame, k, t: str, n: int) -> DataFrame:

@@ -371,7 +371,8 @@ def signal_trend(spark, folder):
 @query
 def signal_macd(spark, folder):
     def step(d, w):
-        return ind.trend(ind.strength(d, w, "close_price"), ["ticker"], "date", w, "close_price", signal="Signal_Line")
+        return ind.trend(ind.averages(d, w, "close_price", [], 14), ["ticker"], "date", w, "close_price",
+                         signal="Signal_Line")
     rows = od.over_series(_close(spark, folder), "ticker", "date", ind.reach(9, 12, 26), step).withColumns(
         {"RSI": F.coalesce("RSI", F.lit(50.0)), "p": fx.chance()})
     return sg.signal(settle(rows), "ticker", "date", *sg.macd_rule()).select(*_SIGNAL)

@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # A part of a series (about 33,000 rows) stays in memory while windows run over it.
+    "spark.sql.windowExec.buffer.in.memory.threshold": "65536",
 }
 
 

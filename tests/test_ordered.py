@@ -93,4 +93,4 @@ def test_value_buckets_keep_the_order(spark):
 def test_rows_without_key_or_time_are_no_series(spark):
     df = spark.createDataFrame([("a", dt.date(2020, 1, 1), 1.0), (None, dt.date(2020, 1, 1), 2.0), ("a", None, 3.0)],
                                "ticker string, date date, close_price double")
-    assert od.merge(od.split(df, "ticker", "date", 1)).count() == 1
+    assert od.merge(od.split(df, "ticker", "date", 1), df).count() == 1
