@@ -98,9 +98,9 @@ def corr_matrix(df: DataFrame, k: str, t: str, x: str, keys: list[str], fill: st
     listed = df.filter(F.col(k).isin(keys)).select(k, t, x)
     # With carried prices, a time on which only unlisted keys trade repeats every price.
     grid = df.select(k, t, x) if fill else listed
-    changes = pct_change(grid, k, t, x, out="_r")
+    changes = pct_change(grid, k, t, x, out="change")
     column = {key: f"_c{i}" for i, key in enumerate(keys)}
-    wide = changes.groupBy(t).pivot(k, keys).agg(F.max("_r")).toDF(t, *column.values())
+    wide = changes.groupBy(t).pivot(k, keys).agg(F.max("change")).toDF(t, *column.values())
     cells = [F.col(c) for c in column.values()]
     if fill:
         # One small array for the whole table: the first time of every listed key.
@@ -109,7 +109,7 @@ def corr_matrix(df: DataFrame, k: str, t: str, x: str, keys: list[str], fill: st
         cells = [F.when(F.col(t) > F.get("_starts", F.lit(i)), F.coalesce(c, F.lit(0.0)))
                  for i, c in enumerate(cells)]
     sums = wide.select(F.array(*cells).alias("v")).mapInPandas(
-        _pair_sums, "a int, b int, n double, sa double, sb double, saa double, sbb double, sab double")
+        _pair_sums(), "a int, b int, n double, sa double, sb double, saa double, sbb double, sab double")
     total = sums.groupBy("a", "b").agg(*[F.sum(c).alias(c) for c in ("n", "sa", "sb", "saa", "sbb", "sab")])
     n, label = F.col("n"), F.array(*[F.lit(key) for key in keys])
     cov = F.col("sab") - F.try_divide(F.col("sa") * F.col("sb"), n)
@@ -121,21 +121,26 @@ def corr_matrix(df: DataFrame, k: str, t: str, x: str, keys: list[str], fill: st
         F.when(defined, cov / F.sqrt(var_a * var_b)).alias("corr"), n.cast("long").alias("n"))
 
 
-def _pair_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    total = None
-    for batch in batches:
-        if batch.empty:
-            continue
-        v = np.array(batch["v"].tolist(), dtype=float)
-        known = (~np.isnan(v)).astype(float)
-        v = np.nan_to_num(v)
-        squares = (v * v).T @ known
-        sums = v.T @ known
-        part = np.stack([known.T @ known, sums, sums.T, squares, squares.T, v.T @ v])
-        total = part if total is None else total + part
-    if total is not None:
-        a, b = np.triu_indices(total.shape[1], k=1)
-        yield pd.DataFrame({"a": a, "b": b} | dict(zip(("n", "sa", "sb", "saa", "sbb", "sab"), total[:, a, b])))
+def _pair_sums():
+    # Built here, not at module level, so that Spark ships the code itself and
+    # the package need not be installed on the executors.
+    def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = None
+        for batch in batches:
+            if batch.empty:
+                continue
+            v = np.array(batch["v"].tolist(), dtype=float)
+            known = (~np.isnan(v)).astype(float)
+            v = np.nan_to_num(v)
+            squares = (v * v).T @ known
+            sums = v.T @ known
+            part = np.stack([known.T @ known, sums, sums.T, squares, squares.T, v.T @ v])
+            total = part if total is None else total + part
+        if total is not None:
+            a, b = np.triu_indices(total.shape[1], k=1)
+            moments = dict(zip(("n", "sa", "sb", "saa", "sbb", "sab"), total[:, a, b]))
+            yield pd.DataFrame({"a": a, "b": b} | moments)
+    return add_up
 
 
 def kde(df: DataFrame, k, x: str, lo: float = -0.10, hi: float = 0.10, points: int = 41) -> DataFrame:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
-from ridgeline.operators.clean import clean_bars, normalize_bars, union_all, wide_to_long
+from ridgeline.operators.clean import STAGING, clean_bars, normalize_bars, union_all, wide_to_long
 
 FIELDS = ["Open", "High", "Low", "Close", "Adj Close", "Volume"]
 
@@ -16,6 +16,8 @@ def long_bars(wide: DataFrame, keys: list[str], fields: list[str] = FIELDS, t: s
 
 
 def price_table(frames: list[DataFrame], clean: bool = True) -> DataFrame:
-    """Any number of long vendor frames as one price table."""
+    """Any number of long vendor frames as one price table; none give an empty one."""
+    if not frames:
+        frames = [SparkSession.active().createDataFrame([], STAGING)]
     table = normalize_bars(union_all(frames))
     return clean_bars(table) if clean else table

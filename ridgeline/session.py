@@ -39,7 +39,7 @@ def shared_dir(spark: SparkSession) -> str:
     named = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if named:
         return named
-    if not context.master.startswith("local"):
+    if context.master != "local" and not context.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="ridgeline-"))
     return context.getCheckpointDir()

@@ -42,6 +42,7 @@ def test_adjusted_close_of_one_frame_leaves_zero_in_the_others(spark):
     b = a.drop("Adj Close").withColumn("ticker", F.lit("B"))
     got = {r.ticker: r.adj_close for r in price_etl.price_table([a, b]).collect()}
     assert got == {"A": 0.9, "B": 0.0}
+    assert price_etl.price_table([]).columns == price_etl.price_table([a]).columns and not price_etl.price_table([]).count()
     no_volume = a.drop("Volume")
     assert price_etl.price_table([no_volume], clean=False).first().volume == 0
 
