@@ -27,21 +27,31 @@ def missing(df: DataFrame, name: str) -> Column:
     return F.col(name).isNull()
 
 
-def time_bucket(df: DataFrame, t: str, width: int | None = None) -> Column:
+def default_width(df: DataFrame, t: str) -> int:
+    kind = df.schema[t].dataType
+    if isinstance(kind, T.DateType):
+        return DATE_WIDTH
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return TIMESTAMP_WIDTH
+    if isinstance(kind, T.NumericType):
+        return NUMBER_WIDTH
+    raise TypeError(f"{t}: a series needs a date, timestamp or number to order by, not {kind}")
+
+
+def time_bucket(df: DataFrame, t: str, width: int) -> Column:
     """Number of the fixed-width time bucket that holds ``t``."""
     kind = df.schema[t].dataType
     if isinstance(kind, T.DateType):
-        return F.floor(F.unix_date(t) / F.lit(width or DATE_WIDTH))
-    if isinstance(kind, T.TimestampType):
-        return F.floor(F.unix_seconds(t) / F.lit(width or TIMESTAMP_WIDTH))
-    if isinstance(kind, T.TimestampNTZType):
+        place = F.unix_date(t)
+    elif isinstance(kind, T.TimestampType):
+        place = F.unix_seconds(t)
+    elif isinstance(kind, T.TimestampNTZType):
         # Wall-clock seconds; a cast to an instant would jump where the session's zone does.
         day = F.unix_date(F.to_date(t)).cast("long") * 86_400
-        seconds = day + F.hour(t) * 3_600 + F.minute(t) * 60 + F.second(t)
-        return F.floor(seconds / F.lit(width or TIMESTAMP_WIDTH))
-    if isinstance(kind, T.NumericType):
-        return F.floor(F.col(t) / F.lit(width or NUMBER_WIDTH))
-    raise TypeError(f"{t}: a series needs a date, timestamp or number to order by, not {kind}")
+        place = day + F.hour(t) * 3_600 + F.minute(t) * 60 + F.second(t)
+    else:
+        place = F.col(t)
+    return F.floor(place / F.lit(width))
 
 
 def value_bucket(x: Column, per_octave: int = 65_536) -> Column:

@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ridgeline.functions.columns import names, time_bucket
-from ridgeline.operators.ordered import hand_over, split
+from ridgeline.functions.columns import names
+from ridgeline.operators.ordered import hand_over, over_series, split
 from ridgeline.session import settle, shared_dir
 
 # Starting cash and the fee per trade.
@@ -83,17 +83,15 @@ def _possible(df: DataFrame, keys: list[str], t: str, o: str, action: str) -> Da
     """Rows on which a trade can happen, narrowed to what the fold reads.
 
     After a row without position nothing is left to sell, so a row with action 0
-    matters only behind one with action 1 (or, to be safe, at a bucket's start).
+    matters only behind one with action 1.
     """
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(t)
-    return (
-        df.filter(F.col(o) > 0)
-        .select(*keys, t, F.col(o).cast("double").alias("_open"), F.col(action).cast("int").alias("_act"),
-                time_bucket(df, t).alias("_bucket"))
-        .withColumn("_was", F.coalesce(F.lag("_act").over(inside), F.lit(1)))
-        .filter("_act = 1 OR _was = 1")
-        .select(*keys, t, "_open", "_act")
-    )
+    rows = df.filter(F.col(o) > 0).select(
+        *keys, t, F.col(o).cast("double").alias("_open"), F.col(action).cast("int").alias("_act"))
+    was = F.coalesce(F.col("_was"), F.lit(0))
+    return over_series(
+        rows, keys, t, 1,
+        lambda d, w: d.withColumn("_was", F.lag("_act").over(w)).filter((F.col("_act") == 1) | (was == 1))
+    ).select(*keys, t, "_open", "_act")
 
 
 def _fold(keys: list[str], t: str, cash: float, fee: float):

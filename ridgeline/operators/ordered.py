@@ -12,9 +12,10 @@ aggregate) and work on pieces of a key afterwards:
 * ``fill`` needs an unbounded look back; it works inside single buckets and
   takes from the bucket table what earlier (later) buckets hand over.
 
-Both run the count as a job of its own and store the bucket table.  Spark then
-plans the join with it by its real size: a small one is broadcast and the rows
-are shuffled once, to their parts.
+Both run the count as a job of its own and store its result.  Spark then plans
+the join with the bucket table by its real size: a small one is broadcast and the
+rows are shuffled once, to their parts.  Where the rows of a key lie so dense that
+a bucket holds more than a task should take, buckets are made narrower.
 
 A series is identified by non-NULL key columns and a non-NULL time, unique
 within the key; rows without them belong to no series and are left out.
@@ -27,13 +28,31 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from ridgeline.functions.columns import names, time_bucket
+from ridgeline.functions.columns import default_width, names, time_bucket
 from ridgeline.session import few, settle
 
 ROWS = 32_768
 _FIRST, _LAST = Window.unboundedPreceding, Window.unboundedFollowing
 
 
+def _count(df: DataFrame, keys: list[str], t: str, width: int | None, rows: int,
+           *more: Column) -> tuple[DataFrame, DataFrame, int]:
+    """The rows with their bucket, the stored table of buckets, and the rows of the fullest one.
+
+    Buckets fuller than two parts are cut narrower and counted again, down to one
+    day, second or unit.
+    """
+    width = width or default_width(df, t)
+    while True:
+        tagged = df.withColumn("_bucket", time_bucket(df, t, width))
+        sizes = settle(tagged.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"), *more)
+                       .filter(F.col("_bucket").isNotNull()))
+        largest = sizes.agg(F.max("_n")).first()[0] or 0
+        if largest <= 2 * rows or width == 1:
+            return tagged, sizes, largest
+        width = max(1, width * rows // largest)
+
+
 def split(df: DataFrame, k, t: str, before: int = 0, ahead: bool = False,
           width: int | None = None, rows: int | None = ROWS) -> DataFrame:
     """Add ``_part`` and ``_home``; each part also gets at least the ``before``
@@ -45,11 +64,16 @@ def split(df: DataFrame, k, t: str, before: int = 0, ahead: bool = False,
     keys = names(k)
     if rows is None:
         return df.withColumns({"_part": F.lit(0), "_home": F.lit(True)})
-    tagged = df.withColumn("_bucket", time_bucket(df, t, width))
+    tagged, sizes, largest = _count(df, keys, t, width, rows)
+    # Buckets far smaller than a part are joined, to keep the table of them short.
+    several = max(1, rows // 64 // max(1, largest))
+    if several > 1:
+        wider = F.floor(F.col("_bucket") / several)
+        tagged = tagged.withColumn("_bucket", wider)
+        sizes = sizes.groupBy(*keys, wider.alias("_bucket")).agg(F.sum("_n").alias("_n"))
     by_bucket = Window.partitionBy(*keys).orderBy("_bucket")
     placed = (
-        tagged.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_end", F.sum("_n").over(by_bucket.rowsBetween(_FIRST, 0)))
+        sizes.withColumn("_end", F.sum("_n").over(by_bucket.rowsBetween(_FIRST, 0)))
         .withColumn("_own", F.expr(f"(_end - _n) div {rows}"))
         .withColumns({
             "_prior": F.lag("_own").over(by_bucket),
@@ -68,7 +92,7 @@ def split(df: DataFrame, k, t: str, before: int = 0, ahead: bool = False,
     if ahead:
         copy = F.array(F.struct(F.col("_prior").alias("_part"), F.lit(False).alias("_home")))
         place.append(F.when(F.col("_prior") < F.col("_own"), copy).otherwise(F.array()))
-    placed = settle(placed.select(*keys, "_bucket", F.concat(*place).alias("_places")))
+    placed = placed.select(*keys, "_bucket", F.concat(*place).alias("_places"))
     return (
         tagged.join(placed, [*keys, "_bucket"])
         .select(*df.columns, F.inline("_places"))
@@ -125,16 +149,15 @@ def hand_over(df: DataFrame, k, t: str, value: Column, out: str, start: Column |
     if direction not in ("forward", "backward"):
         raise ValueError("direction is 'forward' or 'backward'")
     keys, forward = names(k), direction == "forward"
-    tagged = df.withColumns({"_bucket": time_bucket(df, t, width), "_value": value})
     known_at = F.when(F.col("_value").isNotNull(), F.col(t))
     pick = F.max_by if forward else F.min_by
+    tagged, left, _ = _count(df.withColumn("_value", value), keys, t, width, ROWS,
+                             pick("_value", known_at).alias("_left"))
     step = F.asc if forward else F.desc
     by_bucket = Window.partitionBy(*keys).orderBy(step("_bucket"))
-    handed = settle(
-        tagged.groupBy(*keys, "_bucket").agg(pick("_value", known_at).alias("_left"))
-        .select(*keys, "_bucket",
-                F.last("_left", ignorenulls=True).over(by_bucket.rowsBetween(_FIRST, -1)).alias("_handed"))
-    )
+    handed = left.select(
+        *keys, "_bucket",
+        F.last("_left", ignorenulls=True).over(by_bucket.rowsBetween(_FIRST, -1)).alias("_handed"))
     inside = Window.partitionBy(*keys, "_bucket").orderBy(*[step(c) for c in ([t, tie] if tie else [t])])
     known = [F.last("_value", ignorenulls=True).over(inside.rowsBetween(_FIRST, 0)), F.col("_handed")]
     others = [] if start is None else [start]

@@ -37,15 +37,28 @@ def test_parts_hold_every_row_once_and_what_precedes_it(spark, before, rows, wid
                 assert max(own) + 1 in have
 
 
-def test_one_full_bucket_is_not_copied_over_and_over(spark):
-    # 1,000 rows in one bucket of 10-row parts: only that part and the next one.
+def test_buckets_as_wide_as_parts_are_copied_once(spark):
+    # Buckets as wide as 10-row parts: each is copied once at most.
     df = spark.range(1_000).select(F.lit("k").alias("ticker"), F.col("id").alias("t"))
     more = spark.range(1_000, 1_020).select(F.lit("k").alias("ticker"), F.col("id").alias("t"))
     parts = od.split(df.union(more), "ticker", "t", before=3, width=1_000, rows=10)
-    assert parts.count() <= 1_020 + 1_000
+    assert parts.count() <= 2 * 1_020
     assert parts.filter("_home").count() == 1_020
 
 
+def test_dense_rows_get_narrower_buckets(spark):
+    # 20,000 rows of one day for one key, seconds apart, beside a sparse key
+    dense = spark.range(20_000).select(F.lit("dense").alias("ticker"), F.timestamp_seconds("id").alias("t"), "id")
+    thin = spark.range(50).select(F.lit("thin").alias("ticker"), F.timestamp_seconds(F.col("id") * 86_400).alias("t"), "id")
+    parts = od.split(dense.union(thin), "ticker", "t", before=2, rows=1_000)
+    sizes = parts.filter("_home").groupBy("ticker", "_part").count().toPandas()
+    assert sizes["count"].sum() == 20_050 and sizes["count"].max() <= 3_000
+    assert (sizes.ticker == "thin").sum() == 1
+    marked = F.when(F.col("id") % 7_000 == 0, F.col("id"))
+    out = od.hand_over(dense, "ticker", "t", marked, "seen", width=1_000).filter("seen = id - id % 7000")
+    assert out.count() == 20_000
+
+
 @pytest.mark.parametrize("kind", ["date", "timestamp", "timestamp_ntz", "long", "double"])
 def test_time_types(spark, kind):
     base = spark.range(300).select(F.lit("k").alias("ticker"), (F.col("id") * 40_000).alias("s"), F.col("id").alias("i"))
