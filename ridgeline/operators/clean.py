@@ -67,8 +67,8 @@ def plain_names(df: DataFrame) -> DataFrame:
 def normalize_bars(df: DataFrame) -> DataFrame:
     """Vendor frame (any naming, some columns absent, values missing) to the price table.
 
-    A missing value becomes 0, as in the original process; ``clean_bars`` removes
-    the zero bars this makes.  An adjusted close is taken from the close only when
+    A missing value becomes 0, which makes bars without a price; ``clean_bars`` removes
+    them.  An adjusted close is taken from the close only when
     the whole frame has no such column.
     """
     df = plain_names(df)

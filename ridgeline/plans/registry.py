@@ -20,7 +20,7 @@ from ridgeline.operators import series as se
 from ridgeline.operators import signals as sg
 from ridgeline.operators import stats as st
 from ridgeline.operators import trips as tr
-from ridgeline.plans import backtest, price_etl, trip_report
+from ridgeline.plans import backtest, evaluation, price_etl, trip_report
 from ridgeline.plans import fixtures as fx
 from ridgeline.session import settle, shared_dir
 from ridgeline.sources import files
@@ -288,7 +288,7 @@ def features(spark, folder):
 
 @query
 def slice_indicators(spark, folder):
-    rows = ft.slice_indicators(ft.features(fx.prices(spark, folder)), fx.PREDICT_FROM)
+    rows = ft.slice_indicators(settle(ft.features(fx.prices(spark, folder))), fx.PREDICT_FROM)
     return rows.select("ticker", "date", "close_price", "SMA_50", "RSI", "MACD", "Signal_Line", "MACD_Signal")
 
 
@@ -453,6 +453,14 @@ def rf_scores(spark, folder):
     return scored.select("ticker", "date", "split", "Target", "p", "predicted")
 
 
+@query
+def model_report(spark, folder):
+    table, inputs = _training(spark, folder)
+    found = evaluation.evaluate(_fit_boosted(table, inputs), inputs, table.filter("split = 'test'"))
+    auc = found["auc"].select(F.lit("auc").alias("class"), F.col("auc").alias("f1"))
+    return found["report"].unionByName(auc, allowMissingColumns=True)
+
+
 @query
 def feature_importance(spark, folder):
     table, inputs = _training(spark, folder)

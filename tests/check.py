@@ -14,6 +14,8 @@ from ridgeline.session import build_session  # noqa: E402
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
 
+KINDS = {"DOUBLE": "double", "BIGINT": "bigint", "VARCHAR": "string"}
+
 
 def duck(folder):
     con = duckdb.connect()
@@ -38,12 +40,17 @@ def same(df, con, sql):
     got_names = df.columns
     got = rows_of(got_names, df.collect())
     res = con.execute(sql)
-    want_names = [d[0] for d in res.description]
+    described = res.description
+    want_names = [d[0] for d in described]
     want = rows_of(want_names, res.fetchall())
     if sorted(got_names) != sorted(want_names):
         return False, f"columns {sorted(got_names)} / {sorted(want_names)}"
     if len(got) != len(want):
         return False, f"rows {len(got)} / {len(want)}"
+    kinds = dict(df.dtypes)
+    odd = {d[0]: (kinds[d[0]], str(d[1])) for d in described if KINDS.get(str(d[1])) != kinds[d[0]]}
+    if odd:
+        return False, f"types {odd}"
     wrong = [(a, b) for a, b in zip(got, want) if a != b]
     return not wrong, f"{len(got)} rows" + (f", {len(wrong)} differ, first {wrong[0]}" if wrong else "")
 

@@ -86,7 +86,9 @@ def test_fill_reaches_over_empty_buckets(spark, direction):
     pd.testing.assert_series_equal(got.x, want, check_names=False)
 
 
-def test_attach_gives_every_row_its_keys_value(spark):
+@pytest.mark.parametrize("short", [True, False])
+def test_attach_gives_every_row_its_keys_value(spark, short, monkeypatch):
+    monkeypatch.setattr(od, "few", lambda table: short)
     pdf = walk(SIZES)
     df = shuffled(spark, pdf)
     counts = df.groupBy("ticker").agg(F.count(F.lit(1)).alias("n"))

@@ -9,7 +9,7 @@ from ridgeline.operators import features as ft
 from ridgeline.operators import ledger as lg
 from ridgeline.operators import models as md
 from ridgeline.operators import signals as sg
-from ridgeline.plans import backtest
+from ridgeline.plans import backtest, evaluation
 from tests.data import START, collected, shuffled, walk
 
 SIZES = {"hot": 900, "mid": 60, "one": 1}
@@ -136,6 +136,11 @@ def test_scores_are_repeatable_chances(spark):
     first, again = (collected(md.score(md.fit(train, inputs, md.boosted(trees=3, depth=3)), table)) for _ in range(2))
     assert first.p.between(0, 1).all() and (first.p == again.p).all()
     assert ((first.p > 0.5).astype(int) == first.predicted).all()
+    found = evaluation.evaluate(md.fit(train, inputs, md.boosted(trees=3, depth=3)), inputs, table, top=5)
+    lines = {r["class"]: r for r in found["report"].collect()}
+    assert lines["accuracy"].f1 == pytest.approx((first.predicted == first.Target).mean())
+    assert found["confusion"].agg(F.sum("n")).first()[0] == len(first) and found["importance"].count() == 5
+    assert 0.5 < found["auc"].first().auc <= 1 and found["roc"].count() == first.p.nunique()
 
 
 def test_weights_and_importance(spark):

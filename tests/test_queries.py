@@ -16,7 +16,7 @@ def con():
 
 def test_names():
     assert set(SQL) <= set(entry.queries())
-    assert set(entry.queries()) - set(SQL) == {"gbt_scores", "rf_scores", "feature_importance"}
+    assert set(entry.queries()) - set(SQL) == {"gbt_scores", "rf_scores", "model_report", "feature_importance"}
 
 
 @pytest.mark.parametrize("name", list(SQL))

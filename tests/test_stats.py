@@ -4,13 +4,16 @@ import pytest
 from pyspark.sql import functions as F
 
 from ridgeline.operators import metrics as mt
+from ridgeline.operators import ordered as od
 from ridgeline.operators import stats as st
 from tests.data import collected, shuffled, walk
 
 KEY = ("ticker", "date", "close_price")
 
 
-def test_describe_matches_pandas(spark):
+@pytest.mark.parametrize("short", [True, False])
+def test_describe_matches_pandas(spark, short, monkeypatch):
+    monkeypatch.setattr(st, "few", lambda table: short)
     rng = np.random.default_rng(0)
     pdf = pd.concat([
         pd.DataFrame({"ticker": "heavy", "x": np.concatenate([np.full(700, 5.0), rng.normal(0, 1, 300)])}),
@@ -57,7 +60,10 @@ def test_pivot_takes_the_mean(spark):
         (1, 2.0, 5.0), (2, None, 7.0)]
 
 
-def test_density(spark):
+@pytest.mark.parametrize("short", [True, False])
+def test_density(spark, short, monkeypatch):
+    monkeypatch.setattr(st, "few", lambda table: short)
+    monkeypatch.setattr(od, "few", lambda table: short)
     rng = np.random.default_rng(2)
     x = np.concatenate([rng.normal(0, 0.03, 300), np.zeros(200)])
     pdf = pd.concat([pd.DataFrame({"ticker": "a", "x": x}), pd.DataFrame({"ticker": "flat", "x": np.ones(5)})])
