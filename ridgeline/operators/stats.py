@@ -96,9 +96,13 @@ def corr_matrix(df: DataFrame, k: str, t: str, x: str, keys: list[str], fill: st
     if fill not in (None, "ffill"):
         raise ValueError("fill is None or 'ffill'")
     listed = df.filter(F.col(k).isin(keys)).select(k, t, x)
-    # With carried prices, a time on which only unlisted keys trade repeats every price.
-    grid = df.select(k, t, x) if fill else listed
-    changes = pct_change(grid, k, t, x, out="change")
+    changes = pct_change(listed, k, t, x, out="change").select(k, t, "change")
+    if fill:
+        # A time at which only unlisted keys have a row still repeats every listed price.
+        nothing = F.lit(None)
+        others = df.filter(~F.col(k).isin(keys)).select(
+            nothing.cast(df.schema[k].dataType).alias(k), t, nothing.cast("double").alias("change"))
+        changes = changes.unionByName(others)
     column = {key: f"_c{i}" for i, key in enumerate(keys)}
     wide = changes.groupBy(t).pivot(k, keys).agg(F.max("change")).toDF(t, *column.values())
     cells = [F.col(c) for c in column.values()]
