@@ -38,7 +38,7 @@ def trades(df: DataFrame, k, t: str, o: str, action: str, cash: float = CASH, fe
     the cash less fee covers are bought, also on later rows from what was left;
     with action 0 all units are sold.
 
-    Runs a job: the rows that can matter are stored once.  No task takes more than
+    Runs jobs: the rows that can matter and the trades are stored.  No task takes more than
     about ``rows`` of them from a key; a longer key is worked off in rounds, each
     starting from the stored state the round before left.
     """
@@ -54,7 +54,7 @@ def trades(df: DataFrame, k, t: str, o: str, action: str, cash: float = CASH, fe
 
     fresh = {"_cash": F.lit(float(cash)), "_units": F.lit(0.0)}
     if longest <= rows:
-        return work(possible.withColumns(fresh))
+        return settle(work(possible.withColumns(fresh)))
 
     spark = df.sparkSession
     folder = f"{shared_dir(spark)}/trades-{uuid.uuid4().hex}"

@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from ridgeline.operators import clean as cl
 from ridgeline.operators import features as ft
 from ridgeline.operators import series as se
 from tests.data import collected, series, shuffled, walk
@@ -181,3 +182,14 @@ def test_periods_are_half_open(spark):
     got = [r.split for r in ft.date_split(df, "date").orderBy("date").collect()]
     assert got == ["train", "test", "test", "validation", "prediction", "prediction"]
     assert ft.date_split(df, "date", [("x", "2020-01-01", "2021-01-01")]).filter(F.col("split").isNull()).count() == 5
+
+
+def test_scans_read_only_what_is_used(spark, bars, tmp_path):
+    path = str(tmp_path / "prices")
+    spark.createDataFrame(bars.assign(volume=5, high_price=1.0, low_price=1.0)).write.parquet(path)
+    prices = spark.read.parquet(path)
+    plan = se.sma(prices, *KEY, 10).select("ticker", "SMA_10")._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "FileScan" in line and "close_price" in line)
+    assert "ReadSchema: struct<ticker:string,date:date,close_price:double>" in scan
+    plan = cl.between(prices, "date", "2000-02-01", "2000-03-01")._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(date,2000-02-01), LessThan(date,2000-03-01)" in plan
