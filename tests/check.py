@@ -14,7 +14,7 @@ from ridgeline.session import build_session  # noqa: E402
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
 
-KINDS = {"DOUBLE": "double", "BIGINT": "bigint", "VARCHAR": "string"}
+KINDS = {"DOUBLE": "double", "BIGINT": "bigint", "VARCHAR": "string", "BOOLEAN": "boolean", "INTEGER": "int"}
 
 
 def duck(folder):
