@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ridgeline.llm import chat, exact_dedup, mixing, sharding
+from ridgeline.llm import chat, exact_dedup, mixing, near_dedup, sharding
 from ridgeline.llm.common import scratch, table, text_or_empty
 from ridgeline.llm.sql import SQL  # noqa: F401  (read by the entry)
 from ridgeline.session import settle
@@ -23,6 +23,12 @@ def op1_exact_dedup(spark, folder):
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+@query
+def op3_near_dedup(spark, folder):
+    found = near_dedup.near_duplicates(table(spark, folder, "documents"), k=4, percent=80)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 @query
 def op4_mixing(spark, folder):
     report = mixing.mix_report(table(spark, folder, "documents"))
