@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ridgeline.llm import chat, exact_dedup, mixing, near_dedup, sharding
+from ridgeline.llm import chat, decontaminate, exact_dedup, mixing, near_dedup, sharding, warc
 from ridgeline.llm.common import scratch, table, text_or_empty
 from ridgeline.llm.sql import SQL  # noqa: F401  (read by the entry)
 from ridgeline.session import settle
@@ -23,6 +23,14 @@ def op1_exact_dedup(spark, folder):
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+@query
+def op2_warc(spark, folder):
+    out = scratch(spark, "warc")
+    index = warc.write(table(spark, folder, "pages"), out)
+    return warc.read(index, out).select(
+        "page_id", "payload_bytes", F.col("digest").alias("payload_digest"), "record_type", "refers_to")
+
+
 @query
 def op3_near_dedup(spark, folder):
     found = near_dedup.near_duplicates(table(spark, folder, "documents"), k=4, percent=80)
@@ -59,3 +67,11 @@ def op8_sharding(spark, folder):
     sharded = sharding.shard(settle(docs), 8)
     return sharded.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
                           F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op9_decontaminate(spark, folder):
+    found = decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))

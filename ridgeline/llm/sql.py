@@ -9,6 +9,15 @@ SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM t WINDOW g AS (PARTITION BY norm)
 """
 
+SQL["op2_warc"] = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, CAST(strlen(coalesce(html, '')) AS BIGINT) AS n FROM pages),
+r AS (SELECT *, min(page_id) OVER (PARTITION BY html) AS least FROM p)
+SELECT page_id, n AS payload_bytes, sha256(html) AS payload_digest,
+  CASE WHEN n >= 100 AND page_id <> least THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 100 AND page_id <> least THEN least END AS refers_to
+FROM r
+"""
+
 SQL["op4_mixing"] = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
@@ -62,3 +71,26 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(sum(chars) + coalesce(sum(held + sys_chars) FILTER (WHERE opens AND win > 0), 0) AS BIGINT) AS formatted_chars
 FROM z GROUP BY conv_id
 """
+
+SQL["op9_decontaminate"] = r"""
+WITH dw AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+iw AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS k, array_to_string(w[i : i + least(len(w), 10) - 1], ' ') AS g
+  FROM iw, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS r(i) WHERE len(w) > 0),
+ks AS (SELECT DISTINCT k FROM win),
+dg AS (
+  SELECT doc_id, i, k, array_to_string(w[i : i + k - 1], ' ') AS g
+  FROM dw, ks, unnest(range(1, len(w) - k + 2)) AS r(i) WHERE len(w) >= k),
+hit AS (SELECT DISTINCT doc_id, i, k, item_id FROM dg JOIN win USING (k, g)),
+pos AS (SELECT doc_id, count(DISTINCT i + o) AS n FROM (SELECT doc_id, i, unnest(range(0, k)) AS o FROM hit) GROUP BY doc_id),
+its AS (SELECT doc_id, count(*) AS n, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY doc_id)
+SELECT dw.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(pos.n, 0) AS n_hit, coalesce(its.n, 0) AS n_items,
+  sha256(coalesce(its.ids, '')) AS items_sha256, coalesce(pos.n, 0) > 0 AS contaminated
+FROM dw LEFT JOIN pos ON pos.doc_id = dw.doc_id LEFT JOIN its ON its.doc_id = dw.doc_id
+"""
