@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ridgeline.llm import chat, decontaminate, exact_dedup, mixing, near_dedup, sharding, warc
+from ridgeline.llm import chat, decontaminate, exact_dedup, langid, mixing, near_dedup, sharding, warc
 from ridgeline.llm.common import scratch, table, text_or_empty
 from ridgeline.llm.sql import SQL  # noqa: F401  (read by the entry)
 from ridgeline.session import settle
@@ -75,3 +75,11 @@ def op9_decontaminate(spark, folder):
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
                         (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@query
+def op6_language_id(spark, folder):
+    model = langid.train(table(spark, folder, "documents"))
+    found = langid.identify_pages(table(spark, folder, "pages"), model)
+    return found.select("page_id", "lang", F.round("probability", 6).alias("probability"), "text_lang",
+                        F.round("text_probability", 6).alias("text_probability"), F.col("groups").alias("n_groups"))
