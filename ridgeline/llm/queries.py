@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ridgeline.llm import chat, decontaminate, exact_dedup, langid, mixing, near_dedup, sharding, warc
+from ridgeline.llm import chat, decontaminate, exact_dedup, langid, mixing, near_dedup, sharding, toxicity, warc
 from ridgeline.llm.common import scratch, table, text_or_empty
 from ridgeline.llm.sql import SQL  # noqa: F401  (read by the entry)
 from ridgeline.session import settle
@@ -83,3 +83,10 @@ def op6_language_id(spark, folder):
     found = langid.identify_pages(table(spark, folder, "pages"), model)
     return found.select("page_id", "lang", F.round("probability", 6).alias("probability"), "text_lang",
                         F.round("text_probability", 6).alias("text_probability"), F.col("groups").alias("n_groups"))
+
+
+@query
+def op10_toxicity(spark, folder):
+    docs = table(spark, folder, "documents")
+    model = toxicity.train(toxicity.sample(docs, table(spark, folder, "labels")))
+    return toxicity.score(docs, model).select("doc_id", "held_out", "score", "predicted")
