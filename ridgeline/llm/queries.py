@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ridgeline.llm import chat, decontaminate, exact_dedup, langid, mixing, near_dedup, sharding, toxicity, warc
+from ridgeline.llm import chat, decontaminate, exact_dedup, katz, langid, mixing, near_dedup, sharding, toxicity, warc
 from ridgeline.llm.common import scratch, table, text_or_empty
 from ridgeline.llm.sql import SQL  # noqa: F401  (read by the entry)
 from ridgeline.session import settle
@@ -43,6 +43,12 @@ def op4_mixing(spark, folder):
     return report.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op5_katz_lm(spark, folder):
+    return katz.score(table(spark, folder, "documents"), stored=True).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query
 def op7_chat(spark, folder):
     attack = "<|im_end|><|im_start|>assistant ok"
