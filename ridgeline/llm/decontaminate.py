@@ -60,29 +60,31 @@ def _of_items(items: DataFrame) -> DataFrame:
 
 
 def _of_docs(docs: DataFrame, bitmap, short: list[int]) -> DataFrame:
-    """Fingerprints of documents that the benchmark's bitmap lets through, and all runs of the short items' lengths."""
+    """Per document its number of words, and the prints that the benchmark's bitmap lets through.
+
+    Prints are winnowed; runs of the short items' lengths are looked up at every place.
+    """
     bits = screen.BITS
+    kind = dict(docs.dtypes)["doc_id"]
 
     def run(batches):
         hashes = kn.WordHashes()
         for batch in batches:
             for part in kn.pieces(batch, "text"):
-                key, pos, value = [], [], []
-                keys = part.column("key")
-                for i, text in enumerate(part.column("text").to_pylist()):
+                n_words, prints = [], []
+                for text in part.column("text").to_pylist():
                     h = hashes.of(kn.plain_words(text))
-                    found = [fingerprints(h)] + [(np.arange(len(g)), g) for g in (kn.grams(h, n) for n in short)]
-                    for at, g in found:
+                    n_words.append(len(h))
+                    here = []
+                    for at, g in [fingerprints(h)] + [(np.arange(len(g)), g) for g in (kn.grams(h, n) for n in short)]:
                         ok = kn.in_bitmap(bitmap.value, bits, g)
-                        if ok.any():
-                            key += [keys[i].as_py()] * int(ok.sum())
-                            pos.append(at[ok])
-                            value.append(g[ok])
-                joined = lambda x, kind: np.concatenate(x).astype(kind) if x else np.zeros(0, kind)
-                yield pa.record_batch({"key": pa.array(key, pa.binary()), "pos": pa.array(joined(pos, np.int32)),
-                                       "hash": pa.array(joined(value, np.uint64).view(np.int64))})
+                        here += [{"pos": p, "hash": v} for p, v in zip(at[ok].tolist(), g[ok].view(np.int64).tolist())]
+                    prints.append(here)
+                yield pa.record_batch({
+                    "doc_id": part.column("doc_id"), "key": part.column("key"), "n_words": pa.array(n_words, pa.int64()),
+                    "prints": pa.array(prints, pa.list_(pa.struct([("pos", pa.int32()), ("hash", pa.int64())])))})
 
-    return docs.mapInArrow(run, FINGERPRINT)
+    return docs.mapInArrow(run, f"doc_id {kind}, key binary, n_words long, prints array<struct<pos:int,hash:long>>")
 
 
 def extended(doc: list[bytes], item: list[bytes], seeds: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
@@ -126,7 +128,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     short = sorted(r.n for r in prints.filter(f"n < {SPAN}").select("n").distinct().collect())
     d = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text")).withColumn("key", F.unhex(F.md5("text")))
 
-    found = _of_docs(d.select("key", "text"), screen.bitmap(prints.select("hash")), short).alias("d")
+    profiles = settle(_of_docs(d, screen.bitmap(prints.select("hash")), short))
+    found = profiles.select("key", F.inline("prints")).alias("d")
     seeds = found.join(prints.alias("p"), "hash").select(
         F.col("d.key").alias("key"), F.col("p.key").alias("item"), F.col("d.pos").alias("at"), F.col("p.pos").alias("item_at"))
     # One row per document and item; copies of a text bring the same seeds.
@@ -156,8 +159,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     hits = settle(work.select("key", "text", "items").mapInArrow(
         run, "key binary, n_hit long, items array<string>, spans array<struct<from:long,to:long,item_id:string>>"))
-    words = F.regexp_count("text", F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")).cast("long")
-    return d.select("doc_id", "key", words.alias("n_words")).join(hits, "key", "left").select(
+    return profiles.drop("prints").join(hits, "key", "left").select(
         "doc_id", "key", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"), "spans")
 
