@@ -8,7 +8,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
 from ridgeline.session import shared_dir
@@ -80,7 +79,3 @@ def shuffle_order(seed: str, *names: str) -> Column:
 def cell_of(order: Column, digits: int = 3) -> Column:
     """The first hex digits of ``shuffle_order`` as a number: 16 ** digits cells of equal size."""
     return F.conv(F.substring(order, 1, digits), 16, 10).cast("int")
-
-
-def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
