@@ -31,7 +31,7 @@ from ridgeline.session import settle
 
 MOST = 5                 # counts up to this are discounted by Good-Turing
 GIVEN = 0.05             # what a larger count gives up, so that every history leaves something to unseen words
-PART_TOKENS = 2_000_000
+PART_TOKENS = 1_000_000
 BUCKET_BYTES = 16 << 20  # text per bucket
 START, END = np.uint64(1), np.uint64(2)
 BASE = 0.1
@@ -65,15 +65,29 @@ class Part:
         return np.bincount(self.tokens[np.repeat(self.train, sizes)], minlength=len(self.words)).astype(np.uint32)
 
 
+class Numbered(dict):
+    """Numbers words in the order they come; END is 0."""
+
+    def __init__(self):
+        super().__init__({None: 0})
+
+    def __missing__(self, word: bytes) -> int:
+        value = self[word] = len(self)
+        return value
+
+
 def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[Part]:
     """Documents of a split in order, cut where their tokens reach the size of a part."""
-    hashes, at, nth = kn.WordHashes(), None, 0
+    numbers, at, nth = Numbered(), None, 0
     ids, train, found, held = [], [], [], 0
 
     def part():
         lengths = [len(x) for x in found]
-        words, tokens = np.unique(np.concatenate(found), return_inverse=True)
-        return Part(f"{xxhash.xxh3_128_hexdigest(str(at))}-{nth}", list(ids), np.array(train, bool), words, tokens, np.cumsum(lengths))
+        own = (xxhash.xxh3_64_intdigest(w) for w in numbers if w is not None)
+        # Only distinct words are hashed and sorted.
+        words, place = np.unique(np.r_[END, np.fromiter(own, np.uint64, len(numbers) - 1)], return_inverse=True)
+        return Part(f"{xxhash.xxh3_128_hexdigest(str(at))}-{nth}", list(ids), np.array(train, bool), words,
+                    place[np.concatenate(found)], np.cumsum(lengths))
 
     for batch in batches:
         where = list(zip(batch.column("file").to_pylist(), batch.column("start").to_pylist()))
@@ -82,14 +96,15 @@ def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[Part]:
             if where[i] != at or held >= PART_TOKENS:
                 if found:
                     yield part()
-                    ids, train, found, held = [], [], [], 0
+                    numbers, ids, train, found, held = Numbered(), [], [], [], 0
                 nth = nth + 1 if where[i] == at else 0
                 at = where[i]
-            h = np.append(hashes.of(kn.space_words(texts[i].as_py())), END)
+            words = kn.space_words(texts[i].as_py())
+            words.append(None)
             ids.append(known[i].as_py())
             train.append(flags[i])
-            found.append(h)
-            held += len(h)
+            found.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
+            held += len(words)
     if found:
         yield part()
 
@@ -383,8 +398,9 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", store
     crc = F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary"))
     rows = base.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), (crc % 10 != 0).alias("train"),
                        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
-    # Splits must not depend on how many executors there are at the moment.
-    fixed = {"spark.sql.files.minPartitionNum": spark.conf.get("spark.sql.files.minPartitionNum", None) or str(spark.sparkContext.defaultParallelism)}
+    # Splits must not depend on how many executors there are at the moment; a task holds one batch and one part.
+    fixed = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+             "spark.sql.files.minPartitionNum": spark.conf.get("spark.sql.files.minPartitionNum", None) or str(spark.sparkContext.defaultParallelism)}
     with settings(spark, fixed):
         size, documents = rows.agg(F.sum(F.octet_length(text_or_empty("text")) + 1), F.count_if("train")).first()
         bits = max(0, int(np.ceil(np.log2(max((size or 0) / bucket_bytes, 1)))))
