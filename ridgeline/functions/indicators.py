@@ -15,10 +15,13 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A weight below exp(-REACH), about 1.6e-28, cannot show in a double unless the
-# past price it belongs to is some 10^12 times the present one.
-REACH = 64.0
+from ridgeline.session import settle
+
+# Running sums divide by powers of the decay; within a block of rows these stay
+# below e^400, so prices up to 1e130 do not overflow.
+BLOCK_NATS = 400.0
 
 
 def full_frame(aggregate: Column, x: str, n: int, w: WindowSpec) -> Column:
@@ -111,55 +114,67 @@ def decay(span: int) -> float:
     return 1.0 - 2.0 / (span + 1.0)
 
 
-def reach(*spans: int) -> int:
-    """Rows after which the slowest of these exponential means has forgotten a price."""
-    return math.ceil(REACH / -math.log(max(decay(s) for s in spans)))
-
-
 def gaps(df: DataFrame, k: list[str], t: str, w: WindowSpec, x: str, spans: list[int]) -> DataFrame:
-    """Add ``_gap_<span>``: the price minus its exponential mean seeded with the first price.
+    """Add ``_gap_<span>``: the price minus its exponential mean, as if the mean began at the block.
 
     With q the weight of the past and d the row-to-row change, the gap is the sum
     of q^(i+1) times the change i rows ago.  That is zero on the first row and
     exactly zero on a constant series.  The sum runs as an ordinary running
-    window inside blocks of ``reach`` rows, where no power of q overflows; from
-    earlier blocks only the gap at the end of the preceding one still counts.
+    window inside blocks of a part's own rows; ``carried`` adds what all earlier rows leave.
     """
-    rates = {s: -math.log(decay(s)) for s in spans}
-    slowest = min(rates.values())
-    together = [s for s in spans if rates[s] * REACH / slowest <= 600]
-    block = reach(*together)
-    place = F.col("_place")
+    block = max(1, math.floor(BLOCK_NATS / max(-math.log(decay(s)) for s in spans)))
     inside = Window.partitionBy(*k, "_part", "_block").orderBy(t).rowsBetween(Window.unboundedPreceding, 0)
-    earlier = Window.partitionBy(*k, "_part").orderBy("_block", t).rowsBetween(Window.unboundedPreceding, -1)
-    df = steps(df, w, x).withColumns({"_block": F.floor(F.col("_row") / block), "_place": F.col("_row") % block})
-    fade = {s: F.pow(F.lit(decay(s)), place + 1) for s in together}
-    df = df.withColumns({
-        f"_gap_{s}": F.sum(F.col("_step") / F.pow(F.lit(decay(s)), place)).over(inside) * fade[s]
-        for s in together
-    })
-    df = df.withColumns({
-        f"_tail_{s}": F.last(F.when(place == block - 1, F.col(f"_gap_{s}")), ignorenulls=True).over(earlier)
-        for s in together
-    })
-    df = df.withColumns({
-        f"_gap_{s}": F.col(f"_gap_{s}") + F.coalesce(F.col(f"_tail_{s}"), F.lit(0.0)) * fade[s]
-        for s in together
-    })
-    rest = [s for s in spans if s not in together]
-    return gaps(df, k, t, w, x, rest) if rest else df
+    absent = F.col(x).isNull() | F.isnan(F.col(x).cast("double"))
+    change = F.when(absent, F.raise_error(F.lit(f"an exponential mean needs every {x}"))).otherwise(F.col("_step"))
+    df = steps(df, w, x).withColumn("_at", F.sum(F.col("_home").cast("long")).over(
+        w.rowsBetween(Window.unboundedPreceding, 0)) - 1)
+    df = df.withColumns({"_block": F.floor(F.col("_at") / block), "_place": F.pmod("_at", F.lit(block)),
+                         "_change": F.when(F.col("_home"), change).otherwise(0.0)})
+    place = F.col("_place")
+    return df.withColumns({
+        f"_gap_{s}": F.sum(F.col("_change") / F.pow(F.lit(decay(s)), place)).over(inside) * F.pow(F.lit(decay(s)), place + 1)
+        for s in spans})
 
 
-def trend(df: DataFrame, k: list[str], t: str, w: WindowSpec, x: str, fast: int = 12, slow: int = 26,
-          smooth: int = 9, line: str = "MACD", signal: str = "MACD_Signal", means: bool = False) -> DataFrame:
-    """Difference of two exponential means and that difference's own exponential mean.
+def carried(df: DataFrame, k: list[str], spans: list[int]) -> DataFrame:
+    """``gaps`` of a stored table of own rows, with what all earlier blocks of the key leave.
+
+    A block hands on its last gap plus the decayed gap it began with.  One row per
+    block, some thousand times fewer than the series has, goes through that
+    recursion in order, so the result does not depend on how rows are laid out.
+    """
+    rate = {s: decay(s) for s in spans}
+    ends = df.groupBy(*k, "_part", "_block").agg(
+        (F.max("_place") + 1).alias("_n"), *[F.max_by(f"_gap_{s}", "_place").alias(f"_end_{s}") for s in spans])
+    schema = T.StructType([*[ends.schema[c] for c in [*k, "_part", "_block"]],
+                           *[T.StructField(f"_from_{s}", T.DoubleType()) for s in spans]])
+
+    # Built here, not at module level, so that Spark ships the code itself.
+    def hand_on(blocks):
+        blocks = blocks.sort_values(["_part", "_block"])
+        for s, q in rate.items():
+            begins, gap = [], 0.0
+            for end, n in zip(blocks[f"_end_{s}"].tolist(), blocks["_n"].tolist()):
+                begins.append(gap)
+                gap = end + gap * q ** n
+            blocks[f"_from_{s}"] = begins
+        return blocks[schema.names]
+
+    starts = settle(ends.groupBy(*k).applyInPandas(hand_on, schema))
+    joined = df.join(starts, [*k, "_part", "_block"])
+    return joined.withColumns({
+        f"_gap_{s}": F.col(f"_gap_{s}") + F.col(f"_from_{s}") * F.pow(F.lit(rate[s]), F.col("_place") + 1) for s in spans})
+
+
+def trend(df: DataFrame, x: str, fast: int = 12, slow: int = 26, smooth: int = 9, line: str = "MACD",
+          signal: str = "MACD_Signal", means: bool = False) -> DataFrame:
+    """From ``_gap_`` columns: difference of two exponential means and that difference's own exponential mean.
 
     An exponential mean of an exponential mean is a difference of two gaps scaled
     by a constant, so the smoothed line needs no second pass over the series.
     """
     if smooth in (fast, slow):
         raise ValueError("the smoothing span must differ from the two others")
-    df = gaps(df, k, t, w, x, [fast, slow, smooth])
     g = {s: F.col(f"_gap_{s}") for s in (fast, slow, smooth)}
     a = 1 - decay(smooth)
 

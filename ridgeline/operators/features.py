@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from ridgeline.functions import indicators as ind
 from ridgeline.operators.clean import drop_missing
 from ridgeline.operators.ordered import over_series
+from ridgeline.operators.series import with_gaps
 
-# Columns that are not model inputs, and the period limits.
+# Columns that are not model inputs, those a slice may compute anew, and the period limits.
 NOT_INPUTS = ["date", "ticker", "Target", "Next_Close", "adj_close"]
+RESEEDED = ("SMA_50", "RSI", "MACD")
 PERIODS = [("train", None, "2020-01-01"), ("test", "2020-01-01", "2023-01-01"),
            ("validation", "2023-01-01", "2024-01-01"), ("prediction", "2024-01-01", None)]
 
@@ -38,10 +40,10 @@ def features(df: DataFrame, k: str = "ticker", t: str = "date", x: str = "close_
             "Target": F.when(F.lead(x).over(w) > F.col(x), 1).otherwise(0),
         })
         d = ind.bands(ind.steps(d, w, x), w, x, 20, 2.0)
-        d = ind.averages(d, w, x, [10, 50], strength=14)
-        return ind.trend(d, [k], t, w, x, 12, 26, 9, means=True)
+        return ind.averages(d, w, x, [10, 50], strength=14)
 
-    table = over_series(df, k, t, max(50, ind.reach(9, 12, 26)), step, ahead=True, **layout)
+    table = with_gaps(df, k, t, x, [12, 26, 9], lambda d: ind.trend(d, x, 12, 26, 9, means=True), step,
+                      before=50, ahead=True, **layout)
     raw = [c for c in df.columns if c != "Daily_Return"]
     table = table.select(
         *raw, "Daily_Return", "SMA_10", "SMA_50", "RSI", "EMA_12", "EMA_26", "MACD", "MACD_Signal",
@@ -69,28 +71,34 @@ def date_split(df: DataFrame, t: str, periods=PERIODS, out: str = "split") -> Da
 
 
 def slice_indicators(df: DataFrame, lo: str, hi: str | None = None, k: str = "ticker", t: str = "date",
-                     x: str = "close_price", reseed: bool = True, **layout) -> DataFrame:
+                     x: str = "close_price", reseed=RESEEDED, **layout) -> DataFrame:
     """Rows of ``[lo, hi]`` with the columns the position rules read.
 
-    With ``reseed`` the exponential means, the strength index and the 50-row mean
-    start afresh at the first row of the slice: the index is 50 where undefined and
-    the mean's first 49 rows take its first value.  Without, the columns computed
-    on the whole series stay.
+    The columns named by ``reseed`` start afresh at the first row of the slice: the
+    50-row mean, whose first 49 rows take its first value, the strength index, and
+    the exponential means (``MACD``).  Others stay as computed on the whole series.
+    The index is 50 where undefined.
     """
+    unknown = set(reseed) - set(RESEEDED)
+    if unknown:
+        raise ValueError(f"no column to start afresh: {sorted(unknown)}")
     rows = df.filter(F.col(t) >= F.lit(dt.date.fromisoformat(lo)))
     if hi is not None:
         rows = rows.filter(F.col(t) <= F.lit(dt.date.fromisoformat(hi)))
-    if not reseed:
-        return rows.withColumns({"Signal_Line": F.col("MACD_Signal"),
-                                 "RSI": F.coalesce("RSI", F.lit(50.0))})
+    mean, strength = "SMA_50" in reseed, "RSI" in reseed
 
     def step(d, w):
-        d = ind.averages(d, w, x, [50], strength=14)
+        d = ind.averages(ind.steps(d, w, x), w, x, [50] if mean else [], 14 if strength else None) if mean or strength else d
+        if not mean:
+            return d
         whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         first = F.first("SMA_50", ignorenulls=True).over(whole)
-        d = d.withColumns({"SMA_50": F.when(F.col("_row") < 49, first).otherwise(F.col("SMA_50")),
-                           "RSI": F.coalesce("RSI", F.lit(50.0))})
-        return ind.trend(d, [k], t, w, x, 12, 26, 9, signal="Signal_Line")
-
-    kept = rows.drop("SMA_50", "RSI", "MACD", "Signal_Line")
-    return over_series(kept, k, t, max(50, ind.reach(9, 12, 26)), step, **layout)
+        return d.withColumn("SMA_50", F.when(F.col("_row") < 49, first).otherwise(F.col("SMA_50")))
+
+    kept = rows.drop(*reseed, "Signal_Line")
+    if "MACD" in reseed:
+        out = with_gaps(kept, k, t, x, [12, 26, 9], lambda d: ind.trend(d, x, 12, 26, 9, signal="Signal_Line"), step,
+                        before=50, **layout)
+    else:
+        out = (over_series(kept, k, t, 50, step, **layout) if reseed else kept).withColumn("Signal_Line", F.col("MACD_Signal"))
+    return out.withColumn("RSI", F.coalesce("RSI", F.lit(50.0)))

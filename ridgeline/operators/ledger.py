@@ -12,13 +12,14 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ridgeline.functions.columns import names
+from ridgeline.functions.columns import missing, names
 from ridgeline.operators.ordered import hand_over, over_series, split
 from ridgeline.session import settle, shared_dir
 
@@ -26,57 +27,47 @@ from ridgeline.session import settle, shared_dir
 CASH = 100_000.0
 FEE = 0.001
 
-# Rows of one key that one task works off.
+# Rows of one key that one task works off in a round.
 ROUND = 1_000_000
 
 
-def trades(df: DataFrame, k, t: str, o: str, action: str, cash: float = CASH, fee: float = FEE,
-           rows: int = ROUND) -> DataFrame:
+def trades(df: DataFrame, k, t: str, o: str, action: str, cash: float = CASH, fee: float = FEE) -> DataFrame:
     """Cash and units after each row on which something was bought or sold.
 
     With action 1 and more cash than the opening price, as many whole units as
     the cash less fee covers are bought, also on later rows from what was left;
-    with action 0 all units are sold.
+    with action 0 all units are sold, also at a price of 0.  Nothing is bought at a
+    price of 0 or less, and on a row without a price nothing happens.
 
-    Runs jobs: the rows that can matter and the trades are stored.  No task takes more than
-    about ``rows`` of them from a key; a longer key is worked off in rounds, each
-    starting from the stored state the round before left.
+    Runs jobs: the rows that can matter are stored in parts of about a million
+    per key.  The parts are worked off in rounds, each from the state the round
+    before left, so no task takes more rows of a key than a part has.
     """
     keys = names(k)
-    possible = settle(_possible(df, keys, t, o, action))
-    longest = possible.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
     fold = _fold(keys, t, cash, fee)
     schema = T.StructType([*[df.schema[c] for c in [*keys, t]],
                            T.StructField("cash", T.DoubleType()), T.StructField("units", T.DoubleType())])
-
-    def work(part: DataFrame) -> DataFrame:
-        return part.repartition(*keys).sortWithinPartitions(*keys, t).mapInPandas(fold, schema)
-
     fresh = {"_cash": F.lit(float(cash)), "_units": F.lit(0.0)}
-    if longest <= rows:
-        return settle(work(possible.withColumns(fresh)))
-
     spark = df.sparkSession
     folder = f"{shared_dir(spark)}/trades-{uuid.uuid4().hex}"
-    split(possible, keys, t, rows=rows).drop("_home").write.partitionBy("_part").parquet(f"{folder}/rows")
-    stored = spark.read.parquet(f"{folder}/rows")
-    rounds = sorted(r[0] for r in stored.select("_part").distinct().collect())
-    state = None
-    for i, number in enumerate(rounds):
+    possible = settle(_possible(df, keys, t, o, action))
+    split(possible, keys, t, rows=ROUND).drop("_home").write.partitionBy("_part").parquet(f"{folder}/rows")
+    stored = spark.read.schema(T.StructType([*possible.schema, T.StructField("_part", T.IntegerType())])).parquet(f"{folder}/rows")
+    last = stored.agg(F.max("_part")).first()[0]
+    moves, state = [], None
+    for number in range((-1 if last is None else last) + 1):
         part = stored.filter(F.col("_part") == number).drop("_part")
-        if state is not None:
-            part = part.join(state.select(*keys, F.col("cash").alias("_cash"), F.col("units").alias("_units")),
-                             keys, "left")
-            part = part.withColumns({c: F.coalesce(F.col(c), start) for c, start in fresh.items()})
-        else:
+        if state is None:
             part = part.withColumns(fresh)
-        work(part).write.parquet(f"{folder}/moves/round={i}")
-        moves = spark.read.schema(schema).parquet(f"{folder}/moves/round={i}")
-        known = moves if state is None else state.unionByName(moves)
-        latest = known.groupBy(*keys).agg(F.max_by(F.struct(t, "cash", "units"), t).alias("s")).select(*keys, "s.*")
-        latest.write.parquet(f"{folder}/state/{i}")
-        state = spark.read.schema(schema).parquet(f"{folder}/state/{i}")
-    return spark.read.schema(schema).parquet(*[f"{folder}/moves/round={i}" for i in range(len(rounds))])
+        else:
+            part = part.join(state.select(*keys, F.col("cash").alias("_cash"), F.col("units").alias("_units")), keys, "left")
+            part = part.withColumns({c: F.coalesce(F.col(c), start) for c, start in fresh.items()})
+        work = part.repartition(*keys).sortWithinPartitions(*keys, t).mapInPandas(fold, schema)
+        moves.append(settle(work))
+        known = moves[-1] if state is None else state.unionByName(moves[-1])
+        if number < last:
+            state = settle(known.groupBy(*keys).agg(F.max_by(F.struct(t, "cash", "units"), t).alias("s")).select(*keys, "s.*"))
+    return reduce(DataFrame.unionByName, moves) if moves else spark.createDataFrame([], schema)
 
 
 def _possible(df: DataFrame, keys: list[str], t: str, o: str, action: str) -> DataFrame:
@@ -85,7 +76,7 @@ def _possible(df: DataFrame, keys: list[str], t: str, o: str, action: str) -> Da
     After a row without position nothing is left to sell, so a row with action 0
     matters only behind one with action 1.
     """
-    rows = df.filter(F.col(o) > 0).select(
+    rows = df.filter(~missing(df, o)).select(
         *keys, t, F.col(o).cast("double").alias("_open"), F.col(action).cast("int").alias("_act"))
     was = F.coalesce(F.col("_was"), F.lit(0))
     return over_series(
@@ -104,7 +95,7 @@ def _fold(keys: list[str], t: str, cash: float, fee: float):
             for i, (*who, price, act, money_before, held_before) in enumerate(zip(*columns)):
                 if who != owner:
                     owner, money, held = who, money_before, int(held_before)
-                bought = int(money * (1 - fee) / price) if act == 1 and money > price else 0
+                bought = int(money * (1 - fee) / price) if act == 1 and 0 < price < money else 0
                 if bought > 0:
                     money -= bought * price * (1 + fee)
                     held += bought

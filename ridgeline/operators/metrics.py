@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ridgeline.functions.columns import value_bucket
+from ridgeline.functions.columns import cell_bounds, cell_in, missing, value_bucket
+from ridgeline.session import settle
 
 
 def _cells(df: DataFrame, label: str, pred: str) -> DataFrame:
@@ -59,33 +60,40 @@ def class_report(df: DataFrame, label: str, pred: str) -> DataFrame:
 
 
 def _ranked(df: DataFrame, label: str, score: str) -> DataFrame:
-    """Counts per distinct score with running counts from the highest score down.
+    """Counts per distinct score with running counts from the highest score down; no score, no row.
 
-    The running sum is taken inside buckets of nearby scores; a bucket starts from
-    the totals of the higher buckets, a table of bounded size.
+    The running sum is taken inside cells of nearby scores, and what lies above a
+    cell is added up in three steps: cells of a bucket, buckets of a sixteenth of
+    an octave, and those few thousand sixteenths.  A bucket with many distinct
+    scores has accordingly more cells.
     """
-    points = (
-        df.filter(F.col(score).isNotNull())
+    points = settle(
+        df.filter(~missing(df, score))
         .groupBy(F.col(score).cast("double").alias("threshold"))
         .agg(F.sum(F.col(label).cast("long")).alias("_pos"),
              F.sum(1 - F.col(label).cast("long")).alias("_neg"))
         .withColumn("_bucket", value_bucket(F.col("threshold")))
+        .withColumn("_coarse", F.floor(F.col("_bucket") / 4096))
     )
-    above = Window.orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.orderBy(F.desc("_bucket")).rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing)
-    buckets = (
-        points.groupBy("_bucket").agg(F.sum("_pos").alias("_p"), F.sum("_neg").alias("_n"))
-        .select("_bucket",
-                F.coalesce(F.sum("_p").over(above), F.lit(0)).alias("_p_above"),
-                F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_n_above"),
-                F.sum("_p").over(everything).alias("_p_all"),
-                F.sum("_n").over(everything).alias("_n_all"))
-    )
-    inside = Window.partitionBy("_bucket").orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
-    return points.join(buckets, "_bucket").withColumns({
-        "_tp": F.col("_p_above") + F.sum("_pos").over(inside),
-        "_fp": F.col("_n_above") + F.sum("_neg").over(inside),
+    spread = points.groupBy("_bucket").agg(*cell_bounds("threshold"))
+    placed = points.join(spread, "_bucket").withColumn("_cell", cell_in(F.col("threshold")))
+    cells = settle(placed.groupBy("_coarse", "_bucket", "_cell").agg(F.sum("_pos").alias("_p"), F.sum("_neg").alias("_n")))
+    p_all, n_all = cells.agg(F.coalesce(F.sum("_p"), F.lit(0)), F.coalesce(F.sum("_n"), F.lit(0))).first()
+
+    def above(table: DataFrame, group: list[str], by: str, name: str) -> DataFrame:
+        sums = table.groupBy(*group, by).agg(F.sum("_p").alias("_p"), F.sum("_n").alias("_n"))
+        w = Window.partitionBy(*group).orderBy(F.desc(by)).rowsBetween(Window.unboundedPreceding, -1)
+        return sums.select(*group, by, F.coalesce(F.sum("_p").over(w), F.lit(0)).alias(f"_p{name}"),
+                           F.coalesce(F.sum("_n").over(w), F.lit(0)).alias(f"_n{name}"))
+
+    starts = (above(cells, ["_coarse", "_bucket"], "_cell", "0")
+              .join(above(cells, ["_coarse"], "_bucket", "1"), ["_coarse", "_bucket"])
+              .join(above(cells, [], "_coarse", "2"), "_coarse"))
+    inside = Window.partitionBy("_bucket", "_cell").orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
+    return placed.join(starts, ["_coarse", "_bucket", "_cell"]).withColumns({
+        "_tp": F.col("_p0") + F.col("_p1") + F.col("_p2") + F.sum("_pos").over(inside),
+        "_fp": F.col("_n0") + F.col("_n1") + F.col("_n2") + F.sum("_neg").over(inside),
+        "_p_all": F.lit(p_all), "_n_all": F.lit(n_all),
     })
 
 

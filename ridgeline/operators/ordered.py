@@ -2,8 +2,8 @@
 
 ``Window.partitionBy(key).orderBy(time)`` puts a whole key into one task, which
 fails once one key holds a large share of the rows.  Both forms here first count
-the rows per key and fixed-width time bucket (a small, map-side combined
-aggregate) and work on pieces of a key afterwards:
+the rows per key and time bucket (a small, map-side combined aggregate) and work
+on pieces of a key afterwards:
 
 * ``split`` packs consecutive buckets into parts of about ``rows`` rows and
   copies the rows shortly before (and after) a part into it, so windows with a
@@ -14,8 +14,10 @@ aggregate) and work on pieces of a key afterwards:
 
 Both run the count as a job of its own and store its result.  Spark then plans
 the join with the bucket table by its real size: a small one is broadcast and the
-rows are shuffled once, to their parts.  Where the rows of a key lie so dense that
-a bucket holds more than a task should take, buckets are made narrower.
+rows are shuffled once, to their parts.  A bucket is named by where it begins.
+Buckets are joined until one holds a fair number of rows on average, so the table
+of them stays short; those of a key whose rows lie dense there are cut again, and
+only they, so one dense key does not change the layout of the others.
 
 A series is identified by non-NULL key columns and a non-NULL time, unique
 within the key; rows without them belong to no series and are left out.
@@ -27,30 +29,66 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ridgeline.functions.columns import default_width, names, time_bucket
-from ridgeline.session import few, settle
+from ridgeline.functions.columns import cell_start, names, time_place, time_width
+from ridgeline.session import settle
 
 ROWS = 32_768
+DOUBLINGS = 40
+SHORT = 1_024  # buckets; a table of fewer needs no wider ones
 _FIRST, _LAST = Window.unboundedPreceding, Window.unboundedFollowing
 
 
-def _count(df: DataFrame, keys: list[str], t: str, width: int | None, rows: int,
-           *more: Column) -> tuple[DataFrame, DataFrame, int]:
-    """The rows with their bucket, the stored table of buckets, and the rows of the fullest one.
+def _count(df: DataFrame, keys: list[str], t: str, width: float | None, rows: int,
+           collect: Callable[[Column | str, Column | str], Column] | None = None) -> tuple[DataFrame, DataFrame]:
+    """The rows with their bucket, and the table of buckets with ``_n`` rows each.
 
-    Buckets fuller than two parts are cut narrower and counted again, down to one
-    day, second or unit.
+    ``collect(value, order)`` is an aggregate that also gives ``_left``, the ``_value`` a
+    bucket leaves behind.
     """
-    width = width or default_width(df, t)
-    while True:
-        tagged = df.withColumn("_bucket", time_bucket(df, t, width))
-        sizes = settle(tagged.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"), *more)
-                       .filter(F.col("_bucket").isNotNull()))
-        largest = sizes.agg(F.max("_n")).first()[0] or 0
-        if largest <= 2 * rows or width == 1:
-            return tagged, sizes, largest
-        width = max(1, width * rows // largest)
+    place = time_place(df, t)
+    whole = df.select(place.alias("p")).schema["p"].dataType == T.LongType()
+    width = time_width(df, t, width)
+    left = [] if collect is None else [collect("_value", F.when(F.col("_value").isNotNull(), F.col(t))).alias("_left")]
+    tagged = df.withColumn("_place", place).filter(F.col("_place").isNotNull())
+
+    def counted(rows_: DataFrame) -> DataFrame:
+        return settle(rows_.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"), *left))
+
+    sizes = counted(tagged.withColumn("_bucket", cell_start(F.col("_place"), F.lit(width), whole)))
+    total, largest, cells = sizes.agg(F.coalesce(F.sum("_n"), F.lit(0)), F.max("_n"), F.count(F.lit(1))).first()
+    several = 1
+    if cells > SHORT + 16 * total / rows:
+        # Widths are doubled until buckets hold a sixteenth of a part on average, or keys have one or two each.
+        wider = [F.approx_count_distinct(F.struct(*keys, F.floor(F.col("_bucket") / (width * 8.0 ** p)))) for p in range(DOUBLINGS // 3)]
+        n_keys, *found = sizes.agg(F.approx_count_distinct(F.struct(*keys)), *wider).first()
+        fair = SHORT + 16 * total / rows + 2 * n_keys
+        several = 8 ** next((p for p, n in enumerate(found) if n <= fair), DOUBLINGS // 3 - 1)
+    width = width * several
+    tagged = tagged.withColumn("_bucket", cell_start(F.col("_place"), F.lit(width), whole))
+    if several > 1:
+        kept = [] if collect is None else [collect("_left", F.when(F.col("_left").isNotNull(), F.col("_bucket"))).alias("_left")]
+        sizes = sizes.groupBy(*keys, cell_start(F.col("_bucket"), F.lit(width), whole).alias("_bucket")).agg(
+            F.sum("_n").alias("_n"), *kept)
+    # No joined bucket can be too full if this many of the fullest would not be.
+    crowded = (largest or 0) * several > 2 * rows
+    finest = 1 if whole else width * 2.0 ** -40
+    at = F.lit(width)
+    while crowded:
+        finer = F.greatest(F.lit(finest), F.floor(at * rows / F.col("_n")) if whole else at * rows / F.col("_n"))
+        dense = settle(sizes.filter((F.col("_n") > 2 * rows) & (at > finest))
+                       .select(*keys, "_bucket", finer.alias("_width")))
+        if dense.isEmpty():
+            break
+        joined = tagged.join(dense, [*keys, "_bucket"], "left")
+        inside = F.col("_bucket") + cell_start(F.col("_place") - F.col("_bucket"), F.col("_width"), whole)
+        tagged = joined.withColumn("_bucket", F.coalesce(inside, F.col("_bucket")))
+        again = tagged.filter(F.col("_width").isNotNull())
+        cut = settle(again.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"), F.first("_width").alias("_width"), *left))
+        sizes = sizes.drop("_width").join(dense, [*keys, "_bucket"], "left_anti").unionByName(cut, allowMissingColumns=True)
+        tagged, at = tagged.drop("_width"), F.coalesce("_width", F.lit(finest))
+    return tagged.drop("_place"), sizes.drop("_width")
 
 
 def split(df: DataFrame, k, t: str, before: int = 0, ahead: bool = False,
@@ -64,13 +102,7 @@ def split(df: DataFrame, k, t: str, before: int = 0, ahead: bool = False,
     keys = names(k)
     if rows is None:
         return df.withColumns({"_part": F.lit(0), "_home": F.lit(True)})
-    tagged, sizes, largest = _count(df, keys, t, width, rows)
-    # Buckets far smaller than a part are joined, to keep the table of them short.
-    several = max(1, rows // 64 // max(1, largest))
-    if several > 1:
-        wider = F.floor(F.col("_bucket") / several)
-        tagged = tagged.withColumn("_bucket", wider)
-        sizes = sizes.groupBy(*keys, wider.alias("_bucket")).agg(F.sum("_n").alias("_n"))
+    tagged, sizes = _count(df, keys, t, width, rows)
     by_bucket = Window.partitionBy(*keys).orderBy("_bucket")
     placed = (
         sizes.withColumn("_end", F.sum("_n").over(by_bucket.rowsBetween(_FIRST, 0)))
@@ -99,19 +131,14 @@ def split(df: DataFrame, k, t: str, before: int = 0, ahead: bool = False,
     )
 
 
-def attach(df: DataFrame, per_key: DataFrame, k, spread, salts: int = 32) -> DataFrame:
+def attach(df: DataFrame, per_key: DataFrame, k) -> DataFrame:
     """Join one row per key to all rows of the key.
 
-    A short table is broadcast.  For a long one rows are spread by a hash of the
-    ``spread`` columns, so a key that holds a large share of them meets its one
-    row in ``salts`` tasks instead of one.
+    The rows per key are stored, so Spark knows their size: it sends a short
+    table to all tasks, and splits the partition of a key that holds a large
+    share of the rows otherwise.
     """
-    keys, per_key = names(k), settle(per_key)
-    if few(per_key):
-        return df.join(F.broadcast(per_key), keys)
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*names(spread)), F.lit(salts)))
-    copies = per_key.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-    return salted.join(copies, [*keys, "_salt"]).drop("_salt")
+    return df.join(settle(per_key), names(k))
 
 
 def window(k, t: str) -> WindowSpec:
@@ -149,10 +176,7 @@ def hand_over(df: DataFrame, k, t: str, value: Column, out: str, start: Column |
     if direction not in ("forward", "backward"):
         raise ValueError("direction is 'forward' or 'backward'")
     keys, forward = names(k), direction == "forward"
-    known_at = F.when(F.col("_value").isNotNull(), F.col(t))
-    pick = F.max_by if forward else F.min_by
-    tagged, left, _ = _count(df.withColumn("_value", value), keys, t, width, ROWS,
-                             pick("_value", known_at).alias("_left"))
+    tagged, left = _count(df.withColumn("_value", value), keys, t, width, ROWS, F.max_by if forward else F.min_by)
     step = F.asc if forward else F.desc
     by_bucket = Window.partitionBy(*keys).orderBy(step("_bucket"))
     handed = left.select(

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ridgeline.functions import indicators as ind
 from ridgeline.functions.columns import names
-from ridgeline.operators.ordered import attach, over_series
+from ridgeline.operators.ordered import attach, merge, over_series, split, window
+from ridgeline.session import settle
 
 
 def pct_change(df: DataFrame, k, t: str, x: str, out: str = "Daily_Return", **layout) -> DataFrame:
@@ -48,20 +51,29 @@ def rsi(df: DataFrame, k, t: str, x: str, n: int = 14, **layout) -> DataFrame:
     return over_series(df, k, t, n, lambda d, w: ind.averages(d, w, x, [], n), **layout)
 
 
+def with_gaps(df: DataFrame, k, t: str, x: str, spans: list[int], finish: Callable[[DataFrame], DataFrame],
+              step: Callable[[DataFrame, WindowSpec], DataFrame] | None = None, before: int = 1, ahead: bool = False,
+              **layout) -> DataFrame:
+    """``over_series`` for exponential means: ``finish`` finds ``_gap_<span>``, the price less its mean, in each row.
+
+    Runs a job: the rows with what their own block knows are stored, and what
+    earlier rows leave is added to them.  A missing ``x`` stops that job.
+    """
+    keys, w = names(k), window(k, t)
+    parts = split(df, keys, t, max(before, 1), ahead, **layout)
+    local = ind.gaps(step(parts, w) if step else parts, keys, t, w, x, spans).filter("_home")
+    return merge(finish(ind.carried(settle(local), keys, spans)), df)
+
+
 def ema(df: DataFrame, k, t: str, x: str, span, **layout) -> DataFrame:
-    """``EMA_<span>`` (one span or several), seeded with the first value.  ``x`` must have no NULL."""
+    """``EMA_<span>`` (one span or several), seeded with the first value.  A missing ``x`` raises."""
     spans = [span] if isinstance(span, int) else list(span)
-
-    def step(d, w):
-        d = ind.gaps(d, names(k), t, w, x, spans)
-        return d.withColumns({f"EMA_{s}": F.col(x) - F.col(f"_gap_{s}") for s in spans})
-    return over_series(df, k, t, ind.reach(*spans), step, **layout)
+    means = {f"EMA_{s}": F.col(x) - F.col(f"_gap_{s}") for s in spans}
+    return with_gaps(df, k, t, x, spans, lambda d: d.withColumns(means), **layout)
 
 
 def macd(df: DataFrame, k, t: str, x: str, fast: int = 12, slow: int = 26, smooth: int = 9, **layout) -> DataFrame:
-    return over_series(
-        df, k, t, ind.reach(fast, slow, smooth),
-        lambda d, w: ind.trend(d, names(k), t, w, x, fast, slow, smooth), **layout)
+    return with_gaps(df, k, t, x, [fast, slow, smooth], lambda d: ind.trend(d, x, fast, slow, smooth), **layout)
 
 
 def sma_cross(df: DataFrame, k, t: str, x: str, short: int = 50, long: int = 200,
@@ -94,4 +106,4 @@ def rebase(df: DataFrame, k, t: str, x: str, base: float = 100_000.0, out: str =
     """The series scaled so that each key starts at ``base``."""
     keys = names(k)
     start = df.groupBy(*keys).agg(F.min_by(x, t).alias("_start"))
-    return attach(df, start, keys, t).withColumn(out, F.try_divide(F.col(x), F.col("_start")) * base).drop("_start")
+    return attach(df, start, keys).withColumn(out, F.try_divide(F.col(x), F.col("_start")) * base).drop("_start")

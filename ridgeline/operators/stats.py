@@ -10,43 +10,48 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ridgeline.functions.columns import missing, names, value_bucket
+from ridgeline.functions.columns import cell_bounds, cell_in, missing, names, value_bucket
 from ridgeline.operators.ordered import attach
 from ridgeline.operators.series import pct_change
-from ridgeline.session import few, settle
+from ridgeline.session import settle
 
 
 def order_statistics(df: DataFrame, k, x: str, shares: list[float]) -> DataFrame:
     """Exact quantiles per key with linear interpolation, as ``(key, share, value)``.
 
-    Values are counted per key and value bucket first; then the few buckets that
-    hold a wanted rank are looked at value by value, so no task sees a whole key.
-    Equal values are counted before anything is brought together.
+    Values are counted per key and value bucket first; the few buckets that hold a
+    wanted rank are counted again in slices, as many as their rows call for, and
+    only the slices that hold one are looked at value by value, so no task sees a
+    whole key, however narrow its values lie.  Equal values are counted before
+    anything is brought together.
     """
     keys = names(k)
     rows = df.filter(~missing(df, x)).select(*keys, F.col(x).cast("double").alias("_x"))
     rows = rows.withColumn("_bucket", value_bucket(F.col("_x"), 16_384))
-    upto = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
     ranks = F.array(*[F.struct(F.lit(q).alias("share"), (F.lit(q) * (F.col("_total") - 1)).alias("at"))
                       for q in shares])
-    wanted = F.filter(ranks, lambda r: (F.ceil(r["at"]) >= F.col("_end") - F.col("_n"))
-                      & (F.floor(r["at"]) < F.col("_end")))
-    buckets = settle(
-        rows.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-        .withColumns({"_end": F.sum("_n").over(upto),
-                      "_total": F.sum("_n").over(Window.partitionBy(*keys))})
-        .withColumn("_wanted", wanted)
-        .filter(F.size("_wanted") > 0)
-        .select(*keys, "_bucket", (F.col("_end") - F.col("_n")).alias("_start"), "_wanted")
-    )
-    inside = Window.partitionBy(*keys, "_bucket").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
-    each = [*keys, "_bucket", "_x"]
-    if few(buckets):
-        spots = F.broadcast(buckets.select(*keys, "_bucket"))
-        rows = rows.join(spots, [*keys, "_bucket"], "left_semi")
+
+    def wanted(counts: DataFrame, group: list[str], by: str) -> DataFrame:
+        """The counted pieces that hold a rank, with the rank at which each begins."""
+        upto = Window.partitionBy(*group).orderBy(by).rowsBetween(Window.unboundedPreceding, 0)
+        start = F.col("_start") + F.sum("_n").over(upto) - F.col("_n")
+        return counts.withColumn("_start", start).withColumn("_wanted", F.filter("_wanted", lambda r: (
+            F.ceil(r["at"]) >= F.col("_start")) & (F.floor(r["at"]) < F.col("_start") + F.col("_n")))).filter(F.size("_wanted") > 0)
+
+    counts = rows.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"), *cell_bounds("_x"))
+    counts = counts.withColumn("_total", F.sum("_n").over(Window.partitionBy(*keys))).select(
+        *keys, "_bucket", "_n", "_low", "_high", "_cells", F.lit(0).cast("long").alias("_start"), ranks.alias("_wanted"))
+    buckets = settle(wanted(counts, keys, "_bucket"))
+    # The stored buckets have a known size: a short table is sent to all tasks, by Spark's own limit.
+    held = rows.join(buckets.drop("_n"), [*keys, "_bucket"]).withColumn("_cell", cell_in(F.col("_x")))
+    place = [*keys, "_bucket", "_cell"]
+    cells = settle(wanted(
+        held.groupBy(*place).agg(F.count(F.lit(1)).alias("_n"), F.first("_start").alias("_start"), F.first("_wanted").alias("_wanted")),
+        [*keys, "_bucket"], "_cell"))
+    inside = Window.partitionBy(*place).orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
     values = (
-        rows.groupBy(*each).agg(F.count(F.lit(1)).alias("_m"))
-        .join(buckets, [*keys, "_bucket"])
+        held.select(*place, "_x").groupBy(*place, "_x").agg(F.count(F.lit(1)).alias("_m"))
+        .join(cells, place)
         .withColumn("_upto", F.col("_start") + F.sum("_m").over(inside))
         .withColumn("_from", F.col("_upto") - F.col("_m"))
         .select(*keys, "_x", "_from", "_upto", F.inline("_wanted"))
@@ -83,9 +88,12 @@ def pivot_by(df: DataFrame, t: str, k: str, keys: list[str], x: str) -> DataFram
     return df.groupBy(t).pivot(k, keys).agg(F.avg(x))
 
 
-def corr_matrix(df: DataFrame, k: str, t: str, x: str, keys: list[str], fill: str | None = None) -> DataFrame:
+def corr_matrix(df: DataFrame, k: str, t: str, x: str, keys: list[str], fill: str | None = None,
+                ready: bool = False) -> DataFrame:
     """Correlation of every two listed keys' relative changes, as ``(key_a, key_b, corr, n)``.
 
+    With ``ready`` the column is taken as it is, for a table that holds the changes already.
+
     ``fill="ffill"`` carries prices over gaps: on a time at which only other keys
     have a row, a key that has started has change 0.  Without, a pair uses the
     times at which both have a change.
@@ -95,8 +103,11 @@ def corr_matrix(df: DataFrame, k: str, t: str, x: str, keys: list[str], fill: st
     """
     if fill not in (None, "ffill"):
         raise ValueError("fill is None or 'ffill'")
+    if fill and ready:
+        raise ValueError("only prices can be carried over gaps")
     listed = df.filter(F.col(k).isin(keys)).select(k, t, x)
-    changes = pct_change(listed, k, t, x, out="change").select(k, t, "change")
+    changes = listed.select(k, t, F.when(~missing(df, x), F.col(x)).cast("double").alias("change")) if ready else (
+        pct_change(listed, k, t, x, out="change").select(k, t, "change"))
     if fill:
         # A time at which only unlisted keys have a row still repeats every listed price.
         nothing = F.lit(None)
@@ -151,22 +162,20 @@ def kde(df: DataFrame, k, x: str, lo: float = -0.10, hi: float = 0.10, points: i
     """Gaussian kernel density of ``x`` per key at evenly spaced points.
 
     The bandwidth is the sample deviation times n^(-1/5).  Every point is one
-    aggregate with a map-side partial sum, so rows are never multiplied.  Where the
-    bandwidths of very many keys have to be joined, equal values are counted first.
+    aggregate with a map-side partial sum, so rows are never multiplied.  A key
+    without spread has no bandwidth; its densities are NULL.
     """
     keys = names(k)
-    rows = df.filter(~missing(df, x)).select(*keys, F.col(x).alias("_x"), F.lit(1).alias("_m"))
-    width = settle(rows.groupBy(*keys).agg(
-        F.count("_x").alias("_n"),
-        (F.stddev_samp("_x") * F.pow(F.count("_x").cast("double"), F.lit(-0.2))).alias("_h")).filter("_h > 0"))
+    rows = df.filter(~missing(df, x)).select(*keys, F.col(x).alias("_x"))
+    band = F.stddev_samp("_x") * F.pow(F.count("_x").cast("double"), F.lit(-0.2))
+    width = rows.groupBy(*keys).agg(F.count("_x").alias("_n"), band.alias("_h")).withColumn(
+        "_h", F.when(F.col("_h") > 0, F.col("_h")))
     at = [lo + (hi - lo) * i / (points - 1) for i in range(points)]
-    if not few(width):
-        rows = rows.groupBy(*keys, "_x").agg(F.count(F.lit(1)).alias("_m"))
-    scaled = attach(rows, width, keys, "_x").select(*keys, "_h", "_n", "_m", (F.col("_x") / F.col("_h")).alias("_z"))
+    scaled = attach(rows, width, keys).select(*keys, "_h", "_n", (F.col("_x") / F.col("_h")).alias("_z"))
 
     def bump(g: float) -> Column:
         away = F.lit(g) / F.col("_h") - F.col("_z")
-        return F.sum(F.col("_m") * F.exp(-0.5 * away * away))
+        return F.sum(F.exp(-0.5 * away * away))
     heights = scaled.groupBy(*keys, "_h", "_n").agg(*[bump(g).alias(f"_g{i}") for i, g in enumerate(at)])
     scale = F.col("_n") * F.col("_h") * math.sqrt(2 * math.pi)
     lines = [F.struct(F.lit(i).alias("point"), F.lit(g).alias("x"), (F.col(f"_g{i}") / scale).alias("density"))

@@ -73,9 +73,9 @@ def top_rows(df: DataFrame, order: list[Column], n: int = 1) -> DataFrame:
 
 def top_per_hour(trips: DataFrame, zones: DataFrame, ts: str, role: str, n: int = 1,
                  roles: dict[str, str] = ROLES) -> DataFrame:
-    """The ``n`` busiest zones of each hour of the day."""
+    """The ``n`` busiest zones of each hour of the day.  Trips without a time count in no hour."""
     zone = f"{role}_Zone"
-    counts = zone_counts(trips.withColumn("hr", F.hour(ts)), zones, {role: roles[role]}, by=["hr"])
+    counts = zone_counts(trips.withColumn("hr", F.hour(ts)).filter("hr IS NOT NULL"), zones, {role: roles[role]}, by=["hr"])
     busiest = Window.partitionBy("hr").orderBy(F.desc("trip_count"), F.asc_nulls_last(zone))
     return (
         counts.withColumn("rank", F.row_number().over(busiest)).filter(F.col("rank") <= n)

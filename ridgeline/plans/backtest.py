@@ -10,18 +10,23 @@ from pyspark.sql import functions as F
 from ridgeline.operators import ledger as lg
 from ridgeline.operators import models as md
 from ridgeline.operators import signals as sg
-from ridgeline.operators.features import features, input_columns, slice_indicators
+from ridgeline.operators.features import RESEEDED, features, input_columns, slice_indicators
 from ridgeline.session import settle
 
 
 def category_scores(table: DataFrame, rows: DataFrame, category: Column, train_before: str,
-                    boosted=None, forest=None, label: str = "Target") -> DataFrame:
+                    boosted=None, forest=None, label: str = "Target", first: bool = False) -> DataFrame:
     """``rows`` with ``p``: the forest's chance for stocks, the boosted trees' for indices.
 
-    Both models are trained on all keys' rows before ``train_before``.
+    Both models are trained on all keys' rows before ``train_before``.  The ``first``
+    strategy asks the boosted trees of the test settings about all keys.
     """
     inputs = input_columns(table)
     train = table.filter(F.col("date") < F.lit(train_before).cast("date"))
+    if first:
+        model = md.fit(md.weigh_positive(train, label, md.BOOSTED_TEST["positive_weight"]), inputs,
+                       boosted or md.boosted(label, **md.BOOSTED_TEST))
+        return md.score(model, rows)
     boosted = boosted or md.boosted(label, **md.BOOSTED_SCAN)
     forest = forest or md.forest(label, **md.FOREST_SCAN)
     trees = md.fit(md.weigh_positive(train, label, md.BOOSTED_SCAN["positive_weight"]), inputs, boosted)
@@ -34,35 +39,42 @@ def category_scores(table: DataFrame, rows: DataFrame, category: Column, train_b
 
 
 def run(prices: DataFrame, category: Column, train_before: str, lo: str, hi: str | None = None,
-        boosted=None, forest=None, reseed: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Cleaned prices to the results table and the ranking of all keys.
+        boosted=None, forest=None, first: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Cleaned prices to the results table and the ranking of all keys; ``first`` for the first strategy.
 
     The feature table, the scored slice and the positions are stored on the way:
     each is read by more than one later step.
     """
     table = settle(features(prices))
-    rows = settle(slice_indicators(table, lo, hi, reseed=reseed))
-    scored = settle(category_scores(table, rows, category, train_before, boosted, forest))
-    placed = settle(choose(scored, category))
+    rows = settle(sliced(table, lo, hi, first))
+    scored = settle(category_scores(table, rows, category, train_before, boosted, forest, first=first))
+    placed = settle(choose(scored, category, first))
     return valued(placed), ranking(placed)
 
 
+def sliced(table: DataFrame, lo: str, hi: str | None = None, first: bool = False) -> DataFrame:
+    """The period's rows; the first strategy starts only the 50-row mean afresh."""
+    return slice_indicators(table, lo, hi, reseed=("SMA_50",) if first else RESEEDED)
+
+
 def positions(table: DataFrame, category: Column, lo: str, hi: str | None = None, p: Column | None = None,
-              reseed: bool = True) -> DataFrame:
-    """Signals of the slice: the MACD rule for stocks, the trend rule for indices.
+              first: bool = False) -> DataFrame:
+    """Signals of the slice: the MACD rule for stocks, the trend rule for indices; the hybrid rule in the ``first`` strategy.
 
     ``table`` is read twice (to count and to compute), and so are the sliced rows,
     which are therefore stored; store ``table`` as well unless it is a source.
     """
-    rows = settle(slice_indicators(table, lo, hi, reseed=reseed))
+    rows = settle(sliced(table, lo, hi, first))
     if p is not None:
         rows = rows.withColumn("p", p)
-    return choose(rows, category)
+    return choose(rows, category, first)
 
 
-def choose(rows: DataFrame, category: Column) -> DataFrame:
-    """Signals from each category's rule on a table that has ``p``."""
+def choose(rows: DataFrame, category: Column, first: bool = False) -> DataFrame:
+    """Signals from each category's rule on a table that has ``p``; the ``first`` strategy has one rule for both."""
     rows = rows.withColumn("category", category)
+    if first:
+        return sg.signal(rows, "ticker", "date", *sg.hybrid_rule())
     stock = F.col("category") == "STOCKS"
     on, off = zip(sg.macd_rule(), sg.trend_rule())
     return sg.signal(rows, "ticker", "date",

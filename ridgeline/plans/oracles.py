@@ -174,10 +174,9 @@ def ledger(source: str, name: str) -> str:
   FROM {name}_n n JOIN {name}_r q ON q.ticker = n.ticker AND q.step = n.step)"""
 
 
-SCORED = f"""{PRICES}, scored AS (
-  SELECT *, {full('avg', 50)} AS sma, {CHANCE} AS p FROM prices)"""
+SCORED = f"""{SLICE}, scored AS (SELECT *, {CHANCE} AS p FROM slice)"""
 
-HYBRID = SCORED + ", " + held("scored", "placed", "p > 0.45", "p < 0.25 AND NOT coalesce(close_price > sma, false)")
+HYBRID = SCORED + ", " + held("scored", "placed", "p > 0.45", "p < 0.25 AND NOT coalesce(close_price > SMA_50, false)")
 
 PLACED = f"""{SLICE}, slice_p AS (
   SELECT *, {CHANCE} AS p, CASE WHEN starts_with(ticker, '^') THEN 'INDICES' ELSE 'STOCKS' END AS category
@@ -256,6 +255,11 @@ BAR_TYPES = {"date": "date", "open_price": "double", "high_price": "double", "lo
              "close_price": "double", "adj_close": "double", "volume": "bigint", "ticker": "string"}
 TIP_PAIRS = ["trip_distance", "fare_amount", "total_amount", "tolls_amount"]
 
+SCORED_ROWS = f"""WITH RECURSIVE {FEATURES}
+SELECT ticker, {DAY}, CASE WHEN feats.date < DATE '2000-01-01' THEN 'test' WHEN feats.date < DATE '2001-01-01' THEN 'validation'
+    ELSE 'prediction' END AS split, CAST(Target AS BIGINT) AS Target, true AS is_chance, true AS class_follows
+FROM feats WHERE feats.date >= DATE '1999-01-01'"""
+
 ORACLES: dict[str, str] = {
     "trip_stats": f"""WITH {FARES}
 SELECT dataset, count(*) AS Total_Trips, {r('avg(total_amount)', 'Avg_Total_Amount')},
@@ -266,7 +270,7 @@ SELECT event_id, CAST(PULocationID AS BIGINT) AS PULocationID, CAST(DOLocationID
   Pickup_Borough, Pickup_Zone, Dropoff_Borough, Dropoff_Zone, {r('trip_distance')} FROM named""",
     "most_expensive_route": f"""WITH {NAMED}
 SELECT Pickup_Zone, Dropoff_Zone, count(*) AS trip_count, {r('avg(trip_distance)', 'avg_cost')}
-FROM named WHERE event_type = 'purchase' GROUP BY 1, 2 HAVING count(*) > 5
+FROM named GROUP BY 1, 2 HAVING count(*) > 5
 ORDER BY avg(trip_distance) DESC, Pickup_Zone, Dropoff_Zone LIMIT 1""",
     "busiest_zone": busiest("Pickup_Zone", 1),
     "top5_zones": busiest("Pickup_Zone", 5),
@@ -316,8 +320,8 @@ SELECT ticker, count(*) AS count, {r('avg(close_price)', 'mean')}, {r('stddev_sa
   '{c}' AS column, '{kind}' AS type, count({c}) AS present FROM gaps"""
         for i, (c, kind) in enumerate(BAR_TYPES.items())),
     "table_head": f"WITH {PRICES} SELECT {BAR} FROM prices ORDER BY prices.date, ticker LIMIT 10",
-    "last_n": f"""WITH {PRICES} SELECT ticker, {DAY}, {r('close_price')} FROM prices
-QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY prices.date DESC) <= 200""",
+    "last_n": f"""WITH RECURSIVE {FEATURES} SELECT ticker, {DAY}, {r('close_price')} FROM feats
+QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY feats.date DESC) <= 200""",
     "daily_return": f"""WITH {RETURNS}
 SELECT ticker, {DAY}, {r('close_price')}, {r('ret', 'Daily_Return')} FROM returns""",
     "lags": f"""WITH {PRICES}, l AS (
@@ -350,10 +354,10 @@ c AS (
   SELECT *, coalesce(sign(diff), 0) AS side, lag(coalesce(sign(diff), 0)) OVER {W} AS was FROM s)
 SELECT ticker, {DAY}, {r('close_price')}, CASE WHEN side > 0 THEN 'golden' ELSE 'death' END AS event
 FROM c WHERE side <> 0 AND side IS DISTINCT FROM was""",
-    "normalized_close": f"""WITH {PRICES}
+    "normalized_close": f"""WITH RECURSIVE {FEATURES}, period AS (SELECT * FROM feats WHERE date >= DATE '2001-01-01')
 SELECT ticker, {DAY}, {r('close_price')},
-  {r('close_price / first_value(close_price) OVER (PARTITION BY ticker ORDER BY prices.date) * 100000', 'normalized')}
-FROM prices""",
+  {r('close_price / first_value(close_price) OVER (PARTITION BY ticker ORDER BY period.date) * 100000', 'normalized')}
+FROM period""",
     "filled_close": f"""WITH {GAPS}, f AS (
   SELECT ticker, date, close_price,
          last_value(close_price IGNORE NULLS) OVER (PARTITION BY ticker ORDER BY date
@@ -370,10 +374,10 @@ SELECT {BAR}, {r('Daily_Return')}, {r('SMA_10')}, {r('SMA_50')}, {r('RSI')}, {r(
     "slice_indicators": f"""WITH RECURSIVE {SLICE}
 SELECT ticker, {DAY}, {r('close_price')}, {r('SMA_50')}, {r('RSI')}, {r('MACD')}, {r('Signal_Line')},
   {r('MACD_Signal')} FROM slice""",
-    "split_counts": f"""WITH {PRICES}
+    "split_counts": f"""WITH RECURSIVE {FEATURES}
 SELECT CASE WHEN date < DATE '1999-01-01' THEN 'train' WHEN date < DATE '2000-01-01' THEN 'test'
             WHEN date < DATE '2001-01-01' THEN 'validation' ELSE 'prediction' END AS split,
-       count(*) AS n FROM prices GROUP BY 1""",
+       count(*) AS n FROM feats GROUP BY 1""",
     "pivot_close": f"""WITH {PRICES}
 SELECT CAST(date AS VARCHAR) AS date, """ + ", ".join(
         f"round(avg(close_price) FILTER (ticker = '{k}'), 8) AS \"{k}\"" for k in ["S1", "S2", "S3", "^I4", "^I5"])
@@ -385,8 +389,8 @@ SELECT CAST(date AS VARCHAR) AS date, """ + ", ".join(
   LEFT JOIN prices p ON p.date = d.date AND p.ticker = k.ticker),
 ret AS (SELECT ticker, date, price / lag(price) OVER {W} - 1 AS ret FROM grid)
 {pairs("ret")}""",
-    "return_corr": f"""WITH {RETURNS}
-{pairs("returns")}""",
+    "return_corr": f"""WITH RECURSIVE {FEATURES}, listed AS (SELECT ticker, date, Daily_Return AS ret FROM feats)
+{pairs("listed")}""",
     "return_kde": f"""WITH {RETURNS}, h AS (
   SELECT ticker, stddev_samp(ret) * pow(count(ret), -0.2) AS h FROM returns GROUP BY 1),
 grid AS (SELECT range AS point, -0.1::DOUBLE + 0.2::DOUBLE * range / 40 AS x FROM range(41))
@@ -412,19 +416,19 @@ SELECT {r('score', 'threshold')}, {r('fp::DOUBLE / n_all', 'fpr')}, {r('tp::DOUB
   SELECT label, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2 AS mid FROM labels_t)
 SELECT round((sum(mid) FILTER (label = 1) - sum(label) * (sum(label) + 1) / 2)
   / (sum(label)::DOUBLE * sum(1 - label)), 8) AS auc FROM ranked""",
-    "signal_hybrid": f"WITH {HYBRID} SELECT {SIGNAL} FROM placed",
-    "signal_trend": f"WITH {SCORED}, " + held(
-        "scored", "placed", "close_price > sma OR p > 0.45", "p < 0.40") + f" SELECT {SIGNAL} FROM placed",
-    "signal_macd": f"WITH RECURSIVE {PRICES}, {rsi('prices', 's')}, {means('s', 'm')}, m_p AS "
-                   f"(SELECT *, {CHANCE} AS p FROM m), " + held(
-        "m_p", "placed", "macd > sig AND p > 0.40", "macd < sig OR coalesce(RSI, 50) > 80")
+    "signal_hybrid": f"WITH RECURSIVE {HYBRID} SELECT {SIGNAL} FROM placed",
+    "signal_trend": f"WITH RECURSIVE {SCORED}, " + held(
+        "scored", "placed", "close_price > SMA_50 OR p > 0.45", "p < 0.40") + f" SELECT {SIGNAL} FROM placed",
+    "signal_macd": f"WITH RECURSIVE {SCORED}, " + held(
+        "scored", "placed", "MACD > Signal_Line AND p > 0.40", "MACD < Signal_Line OR RSI > 80")
     + f" SELECT {SIGNAL} FROM placed",
     "ledger_final": f"""WITH RECURSIVE {HYBRID}, {ledger('placed', 'valued')}
 SELECT ticker, {r('arg_max(portfolio_value, date)', 'final_value')} FROM valued GROUP BY 1""",
     "ledger_curve": f"""WITH RECURSIVE {HYBRID}, {ledger('placed', 'valued')}
 SELECT ticker, {DAY}, {r('portfolio_value')} FROM valued""",
-    "buy_hold": f"""WITH {PRICES}, e AS (
-  SELECT ticker, arg_min(open_price, date) AS o, arg_max(close_price, date) AS c FROM prices GROUP BY 1)
+    "buy_hold": f"""WITH RECURSIVE {FEATURES}, e AS (
+  SELECT ticker, arg_min(open_price, date) AS o, arg_max(close_price, date) AS c FROM feats
+  WHERE date >= DATE '2001-01-01' GROUP BY 1)
 SELECT ticker, {r('o', 'first_open')}, {r('c', 'last_close')},
   round(CASE WHEN floor(100000 * 0.999::DOUBLE / o) * c = 0 THEN 1
              ELSE floor(100000 * 0.999::DOUBLE / o) * c END, 6) AS benchmark FROM e""",
@@ -434,6 +438,20 @@ SELECT category, ticker, {r('final_value')}, {r('benchmark')}, {r('score')} FROM
 SELECT CASE WHEN s > 1.2 AND i > 1.2 THEN 'both passed' WHEN i > 1.2 THEN 'index passed'
             ELSE 'not passed' END AS verdict
 FROM (SELECT max(score) FILTER (category = 'STOCKS') AS s, max(score) FILTER (category = 'INDICES') AS i FROM best)""",
+    "hybrid_results": f"""WITH RECURSIVE {HYBRID}, {ledger('placed', 'valued')}
+SELECT {DAY}, ticker, {r('close_price')}, CAST(Target AS BIGINT) AS Target,
+  CAST(model_prediction AS BIGINT) AS model_prediction, CAST(strategy_action AS BIGINT) AS strategy_action,
+  {r('portfolio_value')} FROM valued""",
+    "gbt_scores": SCORED_ROWS,
+    "rf_scores": SCORED_ROWS,
+    "model_report": f"""WITH RECURSIVE {FEATURES}, n AS (
+  SELECT count(*) FILTER (Target = 0) AS s0, count(*) FILTER (Target = 1) AS s1 FROM feats
+  WHERE date >= DATE '1999-01-01' AND date < DATE '2000-01-01')
+SELECT class, support, true AS fits FROM (
+  SELECT '0' AS class, s0 AS support FROM n UNION ALL SELECT '1', s1 FROM n
+  UNION ALL SELECT unnest(['macro avg', 'weighted avg', 'accuracy']), s0 + s1 FROM n
+  UNION ALL SELECT 'auc', NULL FROM n)""",
+    "feature_importance": "SELECT range AS place, true AS is_input, true AS is_share FROM range(1, 16)",
     "results_table": f"""WITH RECURSIVE {PLACED}, {ledger('placed', 'valued')}
 SELECT {DAY}, ticker, {r('close_price')}, CAST(Target AS BIGINT) AS Target,
   CAST(model_prediction AS BIGINT) AS model_prediction, CAST(strategy_action AS BIGINT) AS strategy_action,

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -70,8 +70,7 @@ def trips_with_zones(spark, folder):
 
 @query
 def most_expensive_route(spark, folder):
-    bought = fx.trips(spark, folder).filter("event_type = 'purchase'")
-    return trip_report.most_expensive_route(bought, fx.zones(spark, folder), "trip_distance")
+    return trip_report.most_expensive_route(fx.trips(spark, folder), fx.zones(spark, folder), "trip_distance")
 
 
 @query
@@ -215,7 +214,7 @@ def table_head(spark, folder):
 
 @query
 def last_n(spark, folder):
-    return se.last_n(fx.prices(spark, folder), "ticker", "date", 200).select(*KEY)
+    return se.last_n(ft.features(fx.prices(spark, folder)), "ticker", "date", 200).select(*KEY)
 
 
 # Series
@@ -271,7 +270,7 @@ def sma_cross(spark, folder):
 
 @query
 def normalized_close(spark, folder):
-    return se.rebase(_close(spark, folder), *KEY)
+    return se.rebase(_period(spark, folder).select(*KEY), *KEY)
 
 
 @query
@@ -294,7 +293,7 @@ def slice_indicators(spark, folder):
 
 @query
 def split_counts(spark, folder):
-    parted = ft.date_split(fx.prices(spark, folder), "date", fx.PERIODS)
+    parted = ft.date_split(ft.features(fx.prices(spark, folder)), "date", fx.PERIODS)
     return parted.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -312,7 +311,8 @@ def corr_ffill(spark, folder):
 
 @query
 def return_corr(spark, folder):
-    return st.corr_matrix(fx.prices(spark, folder), *KEY, keys=fx.TICKERS)
+    table = ft.features(fx.prices(spark, folder))
+    return st.corr_matrix(table, "ticker", "date", "Daily_Return", keys=fx.TICKERS, ready=True)
 
 
 @query
@@ -345,13 +345,16 @@ def roc_auc(spark, folder):
 
 # Signals, ledger and ranking
 
-def _scored_with_mean(spark, folder):
-    # A held signal reads its rows twice, so they are stored first.
-    return settle(se.sma(fx.prices(spark, folder), *KEY, 50).withColumn("p", fx.chance()))
+def _period(spark, folder):
+    """The prediction period of the feature table."""
+    return ft.features(fx.prices(spark, folder)).filter(F.col("date") >= F.lit(fx.PREDICT_FROM).cast("date"))
 
 
-def _hybrid(spark, folder):
-    return sg.signal(_scored_with_mean(spark, folder), "ticker", "date", *sg.hybrid_rule())
+def _first(spark, folder):
+    """Positions of the prediction period under the first strategy's rule, stored: several steps read them."""
+    table = settle(ft.features(fx.prices(spark, folder)))
+    return settle(backtest.positions(table, fx.category(), fx.PREDICT_FROM, p=fx.chance(), first=True).select(
+        "category", "ticker", "date", "open_price", "close_price", "Target", sg.SIGNAL, sg.ACTION))
 
 
 _SIGNAL = ("ticker", "date", sg.SIGNAL, sg.ACTION)
@@ -359,23 +362,22 @@ _SIGNAL = ("ticker", "date", sg.SIGNAL, sg.ACTION)
 
 @query
 def signal_hybrid(spark, folder):
-    return _hybrid(spark, folder).select(*_SIGNAL)
+    return _first(spark, folder).select(*_SIGNAL)
 
 
 @query
 def signal_trend(spark, folder):
-    rows = _scored_with_mean(spark, folder)
+    # A held signal reads its rows twice, so they are stored first.
+    table = settle(ft.features(fx.prices(spark, folder)))
+    rows = settle(backtest.sliced(table, fx.PREDICT_FROM).withColumn("p", fx.chance()))
     return sg.signal(rows, "ticker", "date", *sg.trend_rule()).select(*_SIGNAL)
 
 
 @query
 def signal_macd(spark, folder):
-    def step(d, w):
-        return ind.trend(ind.averages(d, w, "close_price", [], 14), ["ticker"], "date", w, "close_price",
-                         signal="Signal_Line")
-    rows = od.over_series(_close(spark, folder), "ticker", "date", ind.reach(9, 12, 26), step).withColumns(
-        {"RSI": F.coalesce("RSI", F.lit(50.0)), "p": fx.chance()})
-    return sg.signal(settle(rows), "ticker", "date", *sg.macd_rule()).select(*_SIGNAL)
+    table = settle(ft.features(fx.prices(spark, folder)))
+    rows = settle(backtest.sliced(table, fx.PREDICT_FROM).withColumn("p", fx.chance()))
+    return sg.signal(rows, "ticker", "date", *sg.macd_rule()).select(*_SIGNAL)
 
 
 _LEDGER = ("ticker", "date", "open_price", "close_price", sg.ACTION)
@@ -383,18 +385,17 @@ _LEDGER = ("ticker", "date", "open_price", "close_price", sg.ACTION)
 
 @query
 def ledger_final(spark, folder):
-    return lg.ledger_final(_hybrid(spark, folder).select(*_LEDGER), *_LEDGER)
+    return lg.ledger_final(_first(spark, folder), *_LEDGER)
 
 
 @query
 def ledger_curve(spark, folder):
-    placed = settle(_hybrid(spark, folder).select(*_LEDGER))
-    return lg.ledger_curve(placed, *_LEDGER).select("ticker", "date", "portfolio_value")
+    return lg.ledger_curve(_first(spark, folder), *_LEDGER).select("ticker", "date", "portfolio_value")
 
 
 @query
 def buy_hold(spark, folder):
-    return lg.buy_hold(fx.prices(spark, folder), "ticker", "date", "open_price", "close_price")
+    return lg.buy_hold(_period(spark, folder), "ticker", "date", "open_price", "close_price")
 
 
 def _placed(spark, folder):
@@ -417,6 +418,11 @@ def goal_verdict(spark, folder):
     return lg.verdict(lg.best_by(ranked, "category", "score", "ticker"))
 
 
+@query
+def hybrid_results(spark, folder):
+    return backtest.valued(_first(spark, folder))
+
+
 @query
 def results_table(spark, folder):
     path = f"{shared_dir(spark)}/results-{uuid.uuid4().hex}"
@@ -424,7 +430,13 @@ def results_table(spark, folder):
     return files.read_parquet(spark, path)
 
 
-# Models (no SQL counterpart)
+# Models.  What SQL can state without the trees is compared: which rows are scored, that
+# scores are chances and classes follow from them, and the figures that counts alone decide.
+
+# Rounds and depth the queries fit; the analysis's own settings are those of ``models``.
+SMALLER = dict(trees=10, depth=4)
+SMALLER_FOREST = dict(trees=20, depth=8)
+
 
 def _training(spark, folder):
     """The feature table with its periods, and the model inputs."""
@@ -433,35 +445,46 @@ def _training(spark, folder):
 
 
 def _fit_boosted(table, inputs):
-    train = md.weigh_positive(table.filter("split = 'train'"), "Target", 1.2)
-    return md.fit(train, inputs, md.boosted(trees=10, rate=0.03, depth=4))
+    train = md.weigh_positive(table.filter("split = 'train'"), "Target", md.BOOSTED_TEST["positive_weight"])
+    return md.fit(train, inputs, md.boosted(**{**md.BOOSTED_TEST, **SMALLER}))
+
+
+def _checked(scored):
+    follows = F.col("predicted") == F.when(F.col("p") > 0.5, 1).otherwise(0)
+    return scored.select("ticker", "date", "split", "Target", F.col("p").between(0, 1).alias("is_chance"), follows.alias("class_follows"))
 
 
 @query
 def gbt_scores(spark, folder):
     table, inputs = _training(spark, folder)
-    scored = md.score(_fit_boosted(table, inputs), table.filter("split <> 'train'"))
-    return scored.select("ticker", "date", "split", "Target", "p", "predicted")
+    return _checked(md.score(_fit_boosted(table, inputs), table.filter("split <> 'train'")))
 
 
 @query
 def rf_scores(spark, folder):
     table, inputs = _training(spark, folder)
     train = md.weigh_balanced(table.filter("split = 'train'"), "Target")
-    model = md.fit(train, inputs, md.forest(trees=20, depth=8))
-    scored = md.score(model, table.filter("split <> 'train'"))
-    return scored.select("ticker", "date", "split", "Target", "p", "predicted")
+    model = md.fit(train, inputs, md.forest(**{**md.FOREST_SCAN, **SMALLER_FOREST}))
+    return _checked(md.score(model, table.filter("split <> 'train'")))
 
 
 @query
 def model_report(spark, folder):
     table, inputs = _training(spark, folder)
     found = evaluation.evaluate(_fit_boosted(table, inputs), inputs, table.filter("split = 'test'"))
-    auc = found["auc"].select(F.lit("auc").alias("class"), F.col("auc").alias("f1"))
-    return found["report"].unionByName(auc, allowMissingColumns=True)
+    cells = {(r.label, r.pred): r.n for r in found["confusion"].collect()}
+    right = (cells[0, 0] + cells[1, 1]) / max(sum(cells.values()), 1)
+    fits = F.when(F.col("class") == "accuracy", F.abs(F.col("f1") - right) < 1e-12).otherwise(
+        F.col("precision").between(0, 1) & F.col("recall").between(0, 1) & F.col("f1").between(0, 1))
+    report = found["report"].select("class", "support", fits.alias("fits"))
+    return report.unionByName(found["auc"].select(
+        F.lit("auc").alias("class"), F.lit(None).cast("long").alias("support"), F.col("auc").between(0, 1).alias("fits")))
 
 
 @query
 def feature_importance(spark, folder):
     table, inputs = _training(spark, folder)
-    return md.importance(_fit_boosted(table, inputs), inputs, spark)
+    found = md.importance(_fit_boosted(table, inputs), inputs, spark)
+    falling = Window.orderBy(F.desc("importance"), "feature")  # 15 rows
+    return found.select(F.row_number().over(falling).alias("place"), F.col("feature").isin(inputs).alias("is_input"),
+                        F.col("importance").between(0, 1).alias("is_share"))

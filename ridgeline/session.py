@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,6 +37,8 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local-mode session without that setting falls back to a temporary
     folder; a cluster session without it is refused.
     """
+    if _workspaces:
+        return _workspaces[-1]
     context = spark.sparkContext
     named = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if named:
@@ -45,6 +49,26 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_workspaces: list[str] = []
+
+
+@contextmanager
+def workspace(spark: SparkSession) -> Iterator[str]:
+    """A folder in the shared one for all that is stored inside the block; deleted at its end.
+
+    Write or collect results inside: a frame returned from the block may still read
+    tables that are gone after it.
+    """
+    folder = f"{shared_dir(spark)}/job-{uuid.uuid4().hex}"
+    _workspaces.append(folder)
+    try:
+        yield folder
+    finally:
+        _workspaces.remove(folder)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared folder and go on from there.
 
@@ -56,8 +80,3 @@ def settle(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(spark)}/settled-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def few(table: DataFrame, most: int = 100_000) -> bool:
-    """Whether a settled table has so few rows that every task may hold all of them."""
-    return table.count() <= most

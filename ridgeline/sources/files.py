@@ -17,7 +17,8 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """CSV with a header, matched to ``schema`` by column name.
 
     With an explicit schema Spark needs no pass over the data to guess types.
-    Columns of the file the schema does not name are left out.
+    Columns of the file the schema does not name are left out.  All files of a
+    folder must have the same header; one with other names or another order stops the read.
     """
     header = spark.read.option("header", True).csv(path).columns
     known = {f.name: f for f in schema}
@@ -25,7 +26,9 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     if absent:
         raise ValueError(f"{path}: no column {absent}")
     full = T.StructType([known.get(c, T.StructField(c, T.StringType())) for c in header])
-    return spark.read.schema(full).option("header", True).csv(path).select(*known)
+    checked = spark.read.schema(full).option("header", True).option("enforceSchema", False)
+    # The header is compared over the columns that are read, so all of them are.
+    return checked.option("columnPruning", False).csv(path).select(*known)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -59,6 +59,29 @@ def test_dense_rows_get_narrower_buckets(spark):
     assert out.count() == 20_000
 
 
+@pytest.mark.parametrize("unit", ["long", "double", "timestamp"])
+def test_dense_burst_leaves_other_keys_alone(spark, unit):
+    """One key with 400 rows per unit, 20 sparse keys of long range: few buckets, bounded parts, all rows."""
+    rows, thin = 1_000, 4_000
+    burst = spark.range(40_000).select(F.lit("dense").alias("ticker"), (F.col("id") / 400 if unit == "double" else F.col("id")).alias("t"))
+    far = spark.range(20 * thin).select(F.concat(F.lit("thin"), F.col("id") % 20).alias("ticker"),
+                                        (F.floor(F.col("id") / 20) * 5_000).alias("t"))
+    df = burst.select("ticker", F.col("t").cast("double")).union(far.select("ticker", F.col("t").cast("double")))
+    if unit == "timestamp":
+        df = df.select("ticker", F.timestamp_micros(F.col("t").cast("long") * F.when(F.col("ticker") == "dense", 3).otherwise(10 ** 9)).alias("t"))
+    else:
+        df = df.select("ticker", F.col("t").cast(unit).alias("t"))
+    _, sizes = od._count(df, ["ticker"], "t", None, rows)
+    found = sizes.toPandas()
+    assert found._n.sum() == 40_000 + 20 * thin and found._n.max() <= 2 * rows
+    assert len(found) <= od.SHORT + 3 * 16 * (40_000 + 20 * thin) / rows
+    parts = od.split(df, "ticker", "t", before=2, rows=rows).groupBy("ticker", "_part").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("_home").cast("int")).alias("own")).toPandas()
+    assert parts.own.sum() == 40_000 + 20 * thin and parts.n.max() <= 5 * rows
+    lagged = od.over_series(df, "ticker", "t", 1, lambda d, w: d.withColumn("p", F.lag("t").over(w)), rows=rows)
+    assert lagged.filter("p IS NULL").count() == 21 and lagged.count() == 40_000 + 20 * thin
+
+
 @pytest.mark.parametrize("kind", ["date", "timestamp", "timestamp_ntz", "long", "double"])
 def test_time_types(spark, kind):
     base = spark.range(300).select(F.lit("k").alias("ticker"), (F.col("id") * 40_000).alias("s"), F.col("id").alias("i"))
@@ -86,13 +109,11 @@ def test_fill_reaches_over_empty_buckets(spark, direction):
     pd.testing.assert_series_equal(got.x, want, check_names=False)
 
 
-@pytest.mark.parametrize("short", [True, False])
-def test_attach_gives_every_row_its_keys_value(spark, short, monkeypatch):
-    monkeypatch.setattr(od, "few", lambda table: short)
+def test_attach_gives_every_row_its_keys_value(spark):
     pdf = walk(SIZES)
     df = shuffled(spark, pdf)
     counts = df.groupBy("ticker").agg(F.count(F.lit(1)).alias("n"))
-    out = od.attach(df, counts, "ticker", "date", salts=4).toPandas()
+    out = od.attach(df, counts, "ticker").toPandas()
     assert len(out) == len(pdf) and (out.n == out.ticker.map(SIZES)).all()
 
 

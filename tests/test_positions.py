@@ -15,19 +15,27 @@ from tests.data import START, collected, shuffled, walk
 SIZES = {"hot": 900, "mid": 60, "one": 1}
 
 
-def loop(rows, cash=100_000.0, fee=0.001):
-    """Value after each (open, close, action) row."""
-    units, out = 0, []
-    for price, close, action in rows:
-        if action == 1 and cash > price:
-            n = int(cash * (1 - fee) / price)
-            cash -= n * price * (1 + fee)
-            units += n
-        elif action == 0 and units > 0:
-            cash += units * price * (1 - fee)
-            units = 0
-        out.append(cash + units * close)
-    return out
+CASH, FEE = 100_000.0, 0.001
+
+
+def assert_follows_rules(opens, closes, actions, values, moves):
+    """A valued ledger keeps every rule: ``moves`` are (row, cash, units) after each trade."""
+    at = {row: (cash, units) for row, cash, units in moves}
+    cash, units = CASH, 0.0
+    for i, (price, close, action, value) in enumerate(zip(opens, closes, actions, values)):
+        most = np.floor(cash * (1 - FEE) / price) if price > 0 else 0.0
+        after, held = at.get(i, (cash, units))
+        if i not in at:
+            # Nothing happens only if there is nothing to buy with, or nothing to sell.
+            assert (cash <= price or most == 0 or price <= 0) if action else units == 0
+        elif action:
+            assert held - units == most > 0 and price < cash
+            assert after == pytest.approx(cash - most * price - most * price * FEE, rel=1e-12, abs=1e-6)
+        else:
+            assert held == 0 < units
+            assert after - cash == pytest.approx(units * price - units * price * FEE, rel=1e-9, abs=1e-6)
+        cash, units = after, held
+        assert value == pytest.approx(cash + units * close, rel=1e-12)
 
 
 @pytest.mark.parametrize("width", [None, 3])
@@ -70,31 +78,49 @@ def placed():
     return pdf.assign(act=(np.cumsum(flips) % 2).astype(int)).sort_values(["ticker", "date"]).reset_index(drop=True)
 
 
+def checked(spark, pdf, columns, **options):
+    """Values per key, after every key's ledger has been held against the rules."""
+    df = shuffled(spark, pdf)
+    got = collected(lg.ledger_curve(df, *columns, **options))
+    moves = lg.trades(df, *columns[:3], columns[4]).toPandas()
+    for key, rows in got.groupby("ticker"):
+        place = {d: i for i, d in enumerate(rows.date)}
+        own = [(place[m.date], m.cash, m.units) for m in moves[moves.ticker == key].itertuples()]
+        assert_follows_rules(rows[columns[2]], rows[columns[3]], rows[columns[4]], rows.portfolio_value, own)
+    return got
+
+
 @pytest.mark.parametrize("rows", [lg.ROUND, 50])
-def test_ledger_against_a_loop(spark, placed, rows, monkeypatch):
-    if rows != lg.ROUND:
-        original = lg.trades
-        monkeypatch.setattr(lg, "trades", lambda *a, **kw: original(*a, **kw, rows=rows))
+def test_ledger_keeps_the_rules(spark, placed, rows, monkeypatch):
+    monkeypatch.setattr(lg, "ROUND", rows)
     columns = ("ticker", "date", "open_price", "close_price", "act")
-    df = shuffled(spark, placed)
-    want = np.concatenate([loop(g[["open_price", "close_price", "act"]].itertuples(index=False))
-                           for _, g in placed.groupby("ticker")])
-    got = collected(lg.ledger_curve(df, *columns, width=20))
-    np.testing.assert_allclose(got.portfolio_value, want, rtol=1e-12)
-    final = lg.ledger_final(df, *columns).toPandas().set_index("ticker").final_value
-    ends = pd.Series(want).groupby(placed.ticker).last()
+    got = checked(spark, placed, columns, width=20)
+    final = lg.ledger_final(shuffled(spark, placed), *columns).toPandas().set_index("ticker").final_value
+    ends = got.groupby("ticker").portfolio_value.last()
     np.testing.assert_allclose(final[ends.index], ends, rtol=1e-12)
 
 
-def test_left_over_cash_buys_again_and_a_buy_needs_more_cash_than_the_price(spark):
+def test_ledger_by_hand(spark):
+    """Buys with what is left, needs more cash than the price, sells all."""
     rows = [(60_000.0, 60_000.0, 1), (30_000.0, 31_000.0, 1), (200_000.0, 1.0, 0), (500_000.0, 2.0, 1)]
     df = spark.createDataFrame([("a", START + dt.timedelta(i), *r) for i, r in enumerate(rows)],
                                "ticker string, date date, o double, c double, act int")
     got = collected(lg.ledger_curve(df, "ticker", "date", "o", "c", "act")).portfolio_value
-    np.testing.assert_allclose(got, loop(rows))
+    # One unit at 60,060, one more at 30,030 of the 39,940 left, both sold at 199,800 each.
+    np.testing.assert_allclose(got, [99_940.0, 9_910.0 + 62_000.0, 409_510.0, 409_510.0])
     assert lg.trades(df, "ticker", "date", "o", "act").count() == 3
 
 
+def test_opens_of_zero(spark):
+    """A due sale happens at a price of 0; nothing is bought there."""
+    rows = [(10.0, 10.0, 1), (0.0, 5.0, 0), (20.0, 20.0, 0), (0.0, 1.0, 1), (None, 1.0, 1)]
+    df = spark.createDataFrame([("a", START + dt.timedelta(i), *r) for i, r in enumerate(rows)],
+                               "ticker string, date date, o double, c double, act int")
+    got = collected(lg.ledger_curve(df, "ticker", "date", "o", "c", "act")).portfolio_value.tolist()
+    # 9,990 units for 99,999.9 with the fee; what is left is ten cents.
+    np.testing.assert_allclose(got, [99_900.1 - 0.0, 0.1, 0.1, 0.1, 0.1], atol=1e-6)
+
+
 def test_benchmark_ranking_and_verdict(spark):
     df = spark.createDataFrame([("a", START, 10.0, 11.0), ("a", START + dt.timedelta(1), 12.0, 20.0),
                                 ("big", START, 2e5, 2e5)], "ticker string, date date, o double, c double")
@@ -121,10 +147,13 @@ def test_prices_to_results(spark):
     assert set(got.ticker) == {"S", "^I"} and str(got.date.min()) >= "2002-01-01" and str(got.date.max()) <= "2003-06-30"
     opens = got.merge(raw[["ticker", "date", "open_price"]], on=["ticker", "date"])
     for key, rows in opens.groupby("ticker"):
-        want = loop(rows[["open_price", "close_price", "strategy_action"]].itertuples(index=False))
-        np.testing.assert_allclose(rows.portfolio_value, want, rtol=1e-12)
-        line = ranked.filter(F.col("ticker") == key).first()
-        assert line.final_value == pytest.approx(want[-1]) and line.score == pytest.approx(want[-1] / line.benchmark)
+        df = spark.createDataFrame(rows[["ticker", "date", "open_price", "close_price", "strategy_action"]])
+        own = lg.trades(df, "ticker", "date", "open_price", "strategy_action").toPandas()
+        place = {d: i for i, d in enumerate(rows.date)}
+        assert_follows_rules(rows.open_price, rows.close_price, rows.strategy_action, rows.portfolio_value,
+                             [(place[m.date], m.cash, m.units) for m in own.itertuples()])
+        line, last = ranked.filter(F.col("ticker") == key).first(), rows.portfolio_value.iloc[-1]
+        assert line.final_value == pytest.approx(last) and line.score == pytest.approx(last / line.benchmark)
 
 
 def test_scores_are_repeatable_chances(spark):

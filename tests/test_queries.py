@@ -3,10 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
+from ridgeline.plans.oracles import ORACLES
+from ridgeline.plans.registry import QUERIES
 from tests.check import duck, same
 
 FOLDER = "/root/testdata/sf0.01"
-SQL = entry.oracle_sql()
+SQL = ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -15,8 +17,7 @@ def con():
 
 
 def test_names():
-    assert set(SQL) <= set(entry.queries())
-    assert set(entry.queries()) - set(SQL) == {"gbt_scores", "rf_scores", "model_report", "feature_importance"}
+    assert set(SQL) == set(QUERIES) and set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", list(SQL))
@@ -27,3 +28,17 @@ def test_query(spark, con, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() == 24
+
+
+def test_workspace_goes_with_its_tables(spark, tmp_path):
+    from pathlib import Path
+
+    from ridgeline.session import settle, workspace
+
+    with workspace(spark) as folder:
+        assert settle(spark.range(3)).count() == 3
+        with workspace(spark) as inner:
+            settle(spark.range(2))
+            assert inner.startswith(folder) and list(Path(inner).iterdir())
+        assert not Path(inner).exists() and list(Path(folder).iterdir())
+    assert not Path(folder).exists()

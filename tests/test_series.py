@@ -20,11 +20,14 @@ def bars():
     return walk(SIZES).sort_values(["ticker", "date"]).reset_index(drop=True)
 
 
-def rsi_of(x, n=14):
-    d = x.diff()
-    up = d.where(d > 0, 0.0).rolling(n).mean()
-    down = (-d.where(d < 0, 0.0)).rolling(n).mean()
-    return 100 - 100 / (1 + up / down)
+def strengths(prices):
+    """By its definition: of 14 rows, the rows' gains as a share of all that moved; the first row moved by nothing."""
+    prices, out = list(prices), []
+    for i in range(len(prices)):
+        moves = [prices[j] - prices[j - 1] if j else 0.0 for j in range(i - 13, i + 1)] if i >= 13 else []
+        gains, all_moves = sum(m for m in moves if m > 0), sum(abs(m) for m in moves)
+        out.append(100 * gains / all_moves if all_moves else np.nan)
+    return out
 
 
 def per_key(bars, fn):
@@ -60,7 +63,7 @@ def test_rolling(spark, bars, layout):
     close_to(got.Bollinger_Std, sd, 1e-8)
     close_to(got.Bollinger_Upper, mid + 2 * sd, 1e-9)
     close_to(got.Bollinger_Lower, mid - 2 * sd, 1e-9)
-    close_to(collected(se.rsi(df, *KEY, **layout)).RSI, per_key(bars, rsi_of), 1e-9)
+    close_to(collected(se.rsi(df, *KEY, **layout)).RSI, per_key(bars, strengths), 1e-9)
 
 
 @pytest.mark.parametrize("layout", [{}, {"rows": 700, "width": 50}, {"rows": 60, "width": 10}])
@@ -86,12 +89,28 @@ def test_spans_too_far_apart_for_one_block(spark):
         close_to(got[f"EMA_{span}"], bars.close_price.ewm(span=span, adjust=False).mean(), 1e-12)
 
 
-def test_a_past_far_above_the_present(spark):
-    # A fall by ten orders of magnitude still leaves the far past without a trace.
-    closes = [1e12] * 1500 + [100.0 + i % 7 for i in range(2500)]
+@pytest.mark.parametrize("layout", [{"rows": None}, {"rows": 900, "width": 30}, {"rows": 70, "width": 5}])
+def test_a_past_far_above_the_present(spark, layout):
+    # After a fall by forty orders of magnitude the far past still counts, however the rows are laid out.
+    closes = [1e40] * 800 + [1.0 + i % 7 for i in range(1200)]
     pdf = series("a", closes)
-    got = collected(se.ema(shuffled(spark, pdf), *KEY, 26, rows=900, width=30))
-    close_to(got.EMA_26[2600:], pdf.close_price.ewm(span=26, adjust=False).mean()[2600:], 1e-9)
+    got = collected(se.ema(shuffled(spark, pdf), *KEY, 26, **layout))
+    want = pdf.close_price.ewm(span=26, adjust=False).mean()
+    close_to(got.EMA_26[800:], want[800:], 1e-6)
+    assert want[923] > 1e9
+
+
+def test_missing_price_stops_an_exponential_mean(spark):
+    df = spark.createDataFrame(series("a", [100.0, 100.0, 7.0, 200.0, 200.0])).withColumn(
+        "close_price", F.when(F.col("close_price") != 7.0, F.col("close_price")))
+    with pytest.raises(Exception, match="an exponential mean needs every close_price"):
+        se.ema(df, *KEY, 9).collect()
+
+
+def test_strength_by_hand(spark):
+    # 13 rises of 1 after the first row, then a fall of 4: 13 gained of 17 moved in the last 14 rows.
+    got = collected(se.rsi(shuffled(spark, series("a", [*range(10, 24), 19])), *KEY)).RSI.tolist()
+    assert got[13] == 100.0 and got[14] == pytest.approx(100 * 13 / 17)
 
 
 def test_flat_series_has_exactly_no_trend(spark):
@@ -150,7 +169,7 @@ def test_feature_table(spark, layout):
     got = collected(table)
     assert got.groupby("ticker").size().to_dict() == {"hot": 1450, "mid": 30}
     assert len(ft.input_columns(table)) == 23
-    want = raw.assign(RSI=per_key(raw, rsi_of), DayOfWeek=pd.to_datetime(raw.date).dt.dayofweek,
+    want = raw.assign(RSI=per_key(raw, strengths), DayOfWeek=pd.to_datetime(raw.date).dt.dayofweek,
                       Month=pd.to_datetime(raw.date).dt.month)
     both = got.merge(want, on=["ticker", "date"], suffixes=("", "_w"))
     close_to(both.RSI, both.RSI_w, 1e-9)
@@ -170,10 +189,15 @@ def test_slice_starts_its_indicators_afresh(spark, layout):
     close_to(got.MACD, line, 1e-9, 1e-10)
     close_to(got.Signal_Line, line.groupby(part.ticker).transform(lambda s: s.ewm(span=9, adjust=False).mean()),
              1e-9, 1e-10)
-    close_to(got.RSI, group.transform(rsi_of).fillna(50), 1e-9)
+    close_to(got.RSI, group.transform(strengths).fillna(50), 1e-9)
     close_to(got.SMA_50, group.transform(lambda s: s.rolling(50).mean().bfill()))
-    kept = collected(ft.slice_indicators(table, "2001-01-01", reseed=False))
+    kept = collected(ft.slice_indicators(table, "2001-01-01", reseed=()))
     close_to(kept.Signal_Line, kept.MACD_Signal)
+    # The first strategy starts only the mean afresh.
+    own = collected(ft.slice_indicators(table, "2001-01-01", "2004-12-31", reseed=("SMA_50",), **layout))
+    close_to(own.SMA_50, got.SMA_50)
+    close_to(own.MACD, part.MACD)
+    close_to(own.RSI, part.RSI)
 
 
 def test_periods_are_half_open(spark):

@@ -3,25 +3,31 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from ridgeline.functions import columns
 from ridgeline.operators import metrics as mt
-from ridgeline.operators import ordered as od
 from ridgeline.operators import stats as st
 from tests.data import collected, shuffled, walk
 
 KEY = ("ticker", "date", "close_price")
 
 
-@pytest.mark.parametrize("short", [True, False])
-def test_describe_matches_pandas(spark, short, monkeypatch):
-    monkeypatch.setattr(st, "few", lambda table: short)
+@pytest.mark.parametrize("slice_rows", [None, 20])
+def test_describe_matches_pandas(spark, slice_rows, monkeypatch):
+    if slice_rows:
+        monkeypatch.setattr(columns, "CELL_VALUES", slice_rows)
     rng = np.random.default_rng(0)
     pdf = pd.concat([
         pd.DataFrame({"ticker": "heavy", "x": np.concatenate([np.full(700, 5.0), rng.normal(0, 1, 300)])}),
         pd.DataFrame({"ticker": "tails", "x": 10.0 ** rng.uniform(-9, 9, 501) * rng.choice([-1, 1], 501)}),
         pd.DataFrame({"ticker": "two", "x": [1.0, 4.0]}), pd.DataFrame({"ticker": "one", "x": [3.0]}),
+        # Values of narrow relative spread, as stamps of one day are, share a bucket or two.
+        pd.DataFrame({"ticker": "narrow", "x": 1.7e18 + rng.permutation(4000) * 1e6}),
         pd.DataFrame({"ticker": "holes", "x": [1.0, np.nan, 2.0, np.nan, 9.0]})])
     got = st.describe_by(shuffled(spark, pdf), "ticker", "x").toPandas().set_index("ticker").sort_index()
     want = pdf.groupby("ticker").x.describe().sort_index()
+    # Around 10 ** 18 a double has no digits left for a deviation of 10 ** 9 to compare.
+    assert got.loc["narrow", "std"] == pytest.approx(want.loc["narrow", "std"], rel=1e-5)
+    got.loc["narrow", "std"] = want.loc["narrow", "std"]
     np.testing.assert_allclose(got.to_numpy(float), want.to_numpy(float), rtol=1e-9, atol=1e-12)
 
 
@@ -60,10 +66,7 @@ def test_pivot_takes_the_mean(spark):
         (1, 2.0, 5.0), (2, None, 7.0)]
 
 
-@pytest.mark.parametrize("short", [True, False])
-def test_density(spark, short, monkeypatch):
-    monkeypatch.setattr(st, "few", lambda table: short)
-    monkeypatch.setattr(od, "few", lambda table: short)
+def test_density(spark):
     rng = np.random.default_rng(2)
     x = np.concatenate([rng.normal(0, 0.03, 300), np.zeros(200)])
     pdf = pd.concat([pd.DataFrame({"ticker": "a", "x": x}), pd.DataFrame({"ticker": "flat", "x": np.ones(5)})])
@@ -71,8 +74,9 @@ def test_density(spark, short, monkeypatch):
     h = x.std(ddof=1) * len(x) ** -0.2
     grid = np.linspace(-0.1, 0.1, 11)
     want = np.exp(-0.5 * ((grid[:, None] - x) / h) ** 2).mean(1) / (h * np.sqrt(2 * np.pi))
-    assert list(got.ticker.unique()) == ["a"]
-    np.testing.assert_allclose(got.density, want, rtol=1e-10)
+    np.testing.assert_allclose(got[got.ticker == "a"].density, want, rtol=1e-10)
+    # Values without spread have no density.
+    assert len(got) == 22 and got[got.ticker == "flat"].density.isna().all()
 
 
 @pytest.fixture(scope="module")
@@ -98,6 +102,40 @@ def test_auc_and_curve(scored):
         assert r.tpr == pytest.approx((pos >= r.threshold).mean()) and r.fpr == pytest.approx((neg >= r.threshold).mean())
 
 
+@pytest.mark.parametrize("slice_rows", [None, 50])
+def test_curve_of_narrow_and_missing_scores(spark, slice_rows, monkeypatch):
+    """Scores that share a bucket are cut into slices; NULL and NaN are no scores."""
+    if slice_rows:
+        monkeypatch.setattr(columns, "CELL_VALUES", slice_rows)
+    rng = np.random.default_rng(7)
+    score = np.concatenate([1e9 + rng.permutation(1500), rng.normal(0, 1, 500), np.full(100, -3.0)])
+    label = rng.integers(0, 2, len(score))
+    df = shuffled(spark, pd.DataFrame({"label": label, "score": score}))
+    extra = spark.createDataFrame([(1, float("nan")), (0, None), (1, None)], "label long, score double")
+    whole = df.select(F.col("label").cast("long"), "score").union(extra)
+    curve = collected(mt.roc_curve(whole, "label", "score"), ["threshold"])
+    pos, neg = score[label == 1], score[label == 0]
+    assert len(curve) == len(np.unique(score))
+    np.testing.assert_allclose(curve.tpr, [(pos >= t).mean() for t in curve.threshold])
+    np.testing.assert_allclose(curve.fpr, [(neg >= t).mean() for t in curve.threshold])
+    wins = (pos[:, None] > neg).mean() + 0.5 * (pos[:, None] == neg).mean()
+    assert mt.roc_auc(whole, "label", "score").first().auc == pytest.approx(wins, abs=1e-12)
+
+
+def test_correlation_leaves_out_nan(spark):
+    from ridgeline.functions.columns import pearson
+
+    df = spark.createDataFrame([(1.0, 2.0), (2.0, 4.5), (3.0, 5.0), (float("nan"), 1.0), (4.0, None)], "x double, y double")
+    assert df.agg(pearson(F.col("x"), F.col("y"))).first()[0] == pytest.approx(np.corrcoef([1, 2, 3], [2, 4.5, 5])[0, 1])
+
+
+def test_ready_changes_are_taken_as_they_are(spark):
+    pdf = walk({"A": 200, "B": 180}, seed=3, gap=0.8).assign(r=lambda d: np.random.default_rng(4).normal(size=len(d)))
+    got = st.corr_matrix(shuffled(spark, pdf), "ticker", "date", "r", ["A", "B"], ready=True).first()
+    both = pdf.pivot(index="date", columns="ticker", values="r").dropna()
+    assert got.n == len(both) and got["corr"] == pytest.approx(both.A.corr(both.B), abs=1e-12)
+
+
 def test_report(spark, scored):
     pdf, df = scored
     cells = {(r.label, r.pred): r.n for r in mt.confusion(df, "label", "pred").collect()}
