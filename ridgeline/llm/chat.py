@@ -65,8 +65,9 @@ def windows(turns: DataFrame, budget: int = 1024, history: int = 256, conv: str
     t = t.withColumn("opens", F.coalesce(~F.col("same") & ~after_system, F.col("nth") == 1))
     t = t.withColumn("window", F.sum(F.col("opens").cast("long")).over(
         by_nth.rowsBetween(W.unboundedPreceding, W.currentRow)) - 1)
-    past = W.partitionBy("conv_id").orderBy("before").rangeBetween(-history, -1)
-    held = F.collect_list(F.when(~F.col("system"), F.struct("nth", "piece"))).over(past)
+    # Without history the frame is one that no turn is in.
+    past = W.partitionBy("conv_id").orderBy("before").rangeBetween(-max(history, 1), -1)
+    held = F.collect_list(F.when(~F.col("system") & F.lit(history > 0), F.struct("nth", "piece"))).over(past)
     first = F.max(F.when(F.col("system"), F.struct("nth", "piece"))).over(W.partitionBy("conv_id"))
     t = t.withColumn("lead", F.when(F.col("opens") & (F.col("window") > 0), F.concat(
         F.array_compact(F.array(first)), held)))
