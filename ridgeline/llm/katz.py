@@ -32,7 +32,7 @@ from ridgeline.session import settle
 MOST = 5                 # counts up to this are discounted by Good-Turing
 GIVEN = 0.05             # what a larger count gives up, so that every history leaves something to unseen words
 PART_TOKENS = 1_000_000
-BUCKET_BYTES = 16 << 20  # text per bucket
+BUCKET_BYTES = 8 << 20   # text per bucket
 START, END = np.uint64(1), np.uint64(2)
 BASE = 0.1
 
