@@ -1,0 +1,75 @@
+import random
+import re
+from collections import Counter
+
+import numpy as np
+
+from ridgeline.llm import decontaminate as dc
+
+LOWER = {c: c + 32 for c in range(65, 91)}
+
+
+def words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+
+
+def brute(docs, items):
+    out = []
+    for i, text in docs:
+        w, hit, names = words(text), set(), set()
+        for name, item in items:
+            x = words(item)
+            k = min(10, len(x))
+            wins = {tuple(x[j:j + k]) for j in range(len(x) - k + 1)} if x else set()
+            for j in range(len(w) - k + 1):
+                if wins and tuple(w[j:j + k]) in wins:
+                    hit.update(range(j, j + k))
+                    names.add("" if name is None else str(name))
+        out.append((i, len(w), len(hit), tuple(sorted(names))))
+    return Counter(out)
+
+
+def found(docs, items):
+    return Counter((r.doc_id, r.n_words, r.n_hit, tuple(r["items"])) for r in dc.contamination(docs, items).collect())
+
+
+def test_against_all_windows(spark):
+    rng = random.Random(3)
+    vocabulary = [f"v{i}" for i in range(30)]
+    text = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
+    items = [(i, text(rng.randint(1, 40))) for i in range(30)] + [(50, "a a a a a a a a a a a a"), (51, "B b, b")]
+    docs = []
+    for i in range(150):
+        parts = [text(rng.randint(0, 30))]
+        for _ in range(rng.randint(0, 3)):
+            w = items[rng.randrange(len(items))][1].split()
+            a = rng.randrange(len(w))
+            parts += [" ".join(w[a:a + rng.randint(1, 14)]), text(rng.randint(0, 5))]
+        docs.append((i, " - ".join(parts).upper() if i % 2 else "\n".join(parts)))
+    docs += [(200, "a " * 40), (201, "b b b b"), (202, "b")]
+    d = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    b = spark.createDataFrame(items, "item_id long, text string")
+    assert found(d, b) == brute(docs, items)
+
+
+def test_odd_rows(spark, odd_docs, no_docs):
+    items = [(1, "x four FIVE six seven eight nine ten eleven twelve"), (2, "two, three. four five six seven eight nine ten eleven!"), (None, "short"),
+             (3, None), (4, ""), (5, "..."), (2, "two, three. four five six seven eight nine ten eleven!"), (6, "ein WöRT ü"), (7, "ein Wört Ü")]
+    bench = spark.createDataFrame([(*i, 1) for i in items], "item_id long, text string, key int")
+    docs = [(r.doc_id, r.text) for r in odd_docs.collect()]
+    assert found(odd_docs, bench) == brute(docs, items)
+    left = dc.clean(odd_docs, bench)
+    want = brute(docs, items)
+    assert Counter(r.doc_id for r in left.collect()) == Counter(k[0] for k in want.elements() if k[2] == 0)
+    assert left.columns == odd_docs.columns
+    assert found(odd_docs, bench.limit(0)) == brute(docs, [])
+    assert dc.contamination(no_docs, bench).count() == 0 and dc.clean(no_docs, bench).count() == 0
+
+
+def test_shared_spans_share_a_print():
+    """Any ten shared words leave the same print on both sides, wherever they stand."""
+    rng = np.random.default_rng(1)
+    for _ in range(200):
+        shared = rng.integers(0, 50, 10).astype(np.uint64)
+        a, b = (np.r_[rng.integers(0, 50, rng.integers(0, 20)), shared, rng.integers(0, 50, rng.integers(0, 20))].astype(np.uint64) for _ in range(2))
+        assert set(dc.fingerprints(a)[1].tolist()) & set(dc.fingerprints(b)[1].tolist())
