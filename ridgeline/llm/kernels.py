@@ -10,7 +10,7 @@ import xxhash
 
 U = np.uint64
 ODD = U(0x9E3779B97F4A7C15)
-MOST_WORDS_KEPT = 1 << 20
+MOST_WORDS_KEPT = 1 << 18
 
 
 class WordHashes(dict):

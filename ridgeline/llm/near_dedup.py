@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ridgeline.llm import kernels as kn
 from ridgeline.llm import screen
+from ridgeline.llm.common import settings
 from ridgeline.llm.components import components
 from ridgeline.session import settle
 
@@ -236,6 +237,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     of the row with the component's smallest id. An empty table gives no rows. Very long
     texts are whole; a text's set is held by one task. Other columns are not read.
     """
+    # All that runs Python is stored inside; a batch holds a thousand texts, or pairs of sets, at most.
+    with settings(docs.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}):
+        return _near_duplicates(docs, id_col, text_col, k, percent)
+
+
+def _near_duplicates(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
     d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).withColumn(
         "row_key", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))))
     profiles = settle(_profiles(d, k).withColumn("node", F.xxhash64("digest")))
