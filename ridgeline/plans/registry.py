@@ -430,13 +430,9 @@ def results_table(spark, folder):
     return files.read_parquet(spark, path)
 
 
-# Models.  What SQL can state without the trees is compared: which rows are scored, that
-# scores are chances and classes follow from them, and the figures that counts alone decide.
-
-# Rounds and depth the queries fit; the analysis's own settings are those of ``models``.
-SMALLER = dict(trees=10, depth=4)
-SMALLER_FOREST = dict(trees=20, depth=8)
-
+# Models, with the analysis's own settings (``models``).  What SQL can state without the trees
+# is compared: which rows are scored, that scores are chances and classes follow from them, and
+# the figures that counts alone decide.  The tables with the figures come first.
 
 def _training(spark, folder):
     """The feature table with its periods, and the model inputs."""
@@ -446,45 +442,70 @@ def _training(spark, folder):
 
 def _fit_boosted(table, inputs):
     train = md.weigh_positive(table.filter("split = 'train'"), "Target", md.BOOSTED_TEST["positive_weight"])
-    return md.fit(train, inputs, md.boosted(**{**md.BOOSTED_TEST, **SMALLER}))
+    return md.fit(train, inputs, md.boosted(**md.BOOSTED_TEST))
+
+
+def _fit_forest(table, inputs):
+    train = md.weigh_balanced(table.filter("split = 'train'"), "Target")
+    return md.fit(train, inputs, md.forest(**md.FOREST_SCAN))
 
 
 def _checked(scored):
     follows = F.col("predicted") == F.when(F.col("p") > 0.5, 1).otherwise(0)
-    return scored.select("ticker", "date", "split", "Target", F.col("p").between(0, 1).alias("is_chance"), follows.alias("class_follows"))
+    return scored.select("ticker", "date", "split", "Target", "p", "predicted",
+                         F.col("p").between(0, 1).alias("is_chance"), follows.alias("class_follows"))
 
 
-@query
-def gbt_scores(spark, folder):
+def boosted_scores(spark, folder):
+    """Chance and class of every row after the training period by the boosted trees."""
     table, inputs = _training(spark, folder)
     return _checked(md.score(_fit_boosted(table, inputs), table.filter("split <> 'train'")))
 
 
-@query
-def rf_scores(spark, folder):
+def forest_scores(spark, folder):
+    """Chance and class of every row after the training period by the forest."""
     table, inputs = _training(spark, folder)
-    train = md.weigh_balanced(table.filter("split = 'train'"), "Target")
-    model = md.fit(train, inputs, md.forest(**{**md.FOREST_SCAN, **SMALLER_FOREST}))
-    return _checked(md.score(model, table.filter("split <> 'train'")))
+    return _checked(md.score(_fit_forest(table, inputs), table.filter("split <> 'train'")))
 
 
-@query
-def model_report(spark, folder):
+def boosted_report(spark, folder):
+    """Precision, recall and f1 per class of the test period (accuracy in its f1), and the area under the ROC curve."""
     table, inputs = _training(spark, folder)
     found = evaluation.evaluate(_fit_boosted(table, inputs), inputs, table.filter("split = 'test'"))
     cells = {(r.label, r.pred): r.n for r in found["confusion"].collect()}
     right = (cells[0, 0] + cells[1, 1]) / max(sum(cells.values()), 1)
     fits = F.when(F.col("class") == "accuracy", F.abs(F.col("f1") - right) < 1e-12).otherwise(
         F.col("precision").between(0, 1) & F.col("recall").between(0, 1) & F.col("f1").between(0, 1))
-    report = found["report"].select("class", "support", fits.alias("fits"))
+    report = found["report"].select("class", "precision", "recall", "f1", "support", fits.alias("fits"))
     return report.unionByName(found["auc"].select(
-        F.lit("auc").alias("class"), F.lit(None).cast("long").alias("support"), F.col("auc").between(0, 1).alias("fits")))
+        F.lit("auc").alias("class"), F.lit(None).cast("long").alias("support"), "auc", F.col("auc").between(0, 1).alias("fits")),
+        allowMissingColumns=True)
 
 
-@query
-def feature_importance(spark, folder):
+def boosted_importance(spark, folder):
+    """The 15 inputs that count most in the boosted trees, and their shares."""
     table, inputs = _training(spark, folder)
     found = md.importance(_fit_boosted(table, inputs), inputs, spark)
     falling = Window.orderBy(F.desc("importance"), "feature")  # 15 rows
-    return found.select(F.row_number().over(falling).alias("place"), F.col("feature").isin(inputs).alias("is_input"),
-                        F.col("importance").between(0, 1).alias("is_share"))
+    return found.select(F.row_number().over(falling).alias("place"), "feature", "importance",
+                        F.col("feature").isin(inputs).alias("is_input"), F.col("importance").between(0, 1).alias("is_share"))
+
+
+@query
+def gbt_scores(spark, folder):
+    return boosted_scores(spark, folder).drop("p", "predicted")
+
+
+@query
+def rf_scores(spark, folder):
+    return forest_scores(spark, folder).drop("p", "predicted")
+
+
+@query
+def model_report(spark, folder):
+    return boosted_report(spark, folder).select("class", "support", "fits")
+
+
+@query
+def feature_importance(spark, folder):
+    return boosted_importance(spark, folder).drop("feature", "importance")
