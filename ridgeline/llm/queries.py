@@ -88,7 +88,8 @@ def op6_language_id(spark, folder):
     model = langid.train(table(spark, folder, "documents"))
     found = langid.identify_pages(table(spark, folder, "pages"), model)
     return found.select("page_id", "lang", F.round("probability", 6).alias("probability"), "text_lang",
-                        F.round("text_probability", 6).alias("text_probability"), F.col("groups").alias("n_groups"))
+                        F.round("text_probability", 6).alias("text_probability"), F.col("groups").alias("n_groups"),
+                        (F.col("below") <= langid.MOST_BELOW).alias("in_known_language"))
 
 
 @query
