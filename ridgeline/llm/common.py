@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import pickle
 import uuid
 from contextlib import contextmanager
 from functools import reduce
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -41,6 +43,19 @@ def settings(spark: SparkSession, values: dict[str, str]):
                 spark.conf.set(k, v)
 
 
+def sent(spark: SparkSession, value):
+    """A broadcast of ``value`` with its class, for workers that have no copy of this package; see ``received``.
+
+    A plain broadcast of an object names its class only. For models of bounded size.
+    """
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def received(shared):
+    """The value of a broadcast made by ``sent``, built anew in each task that asks."""
+    return pickle.loads(shared.value)
+
+
 def text_or_empty(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ridgeline.llm import kernels as kn
-from ridgeline.llm.common import text_or_empty
+from ridgeline.llm.common import received, sent, text_or_empty
 from ridgeline.session import settle
 
 BUCKETS = 1 << 16
@@ -119,14 +119,15 @@ def usual(labelled: DataFrame, model: Model) -> Model:
     """
     if not model.languages:
         return model
-    shared = labelled.sparkSession.sparkContext.broadcast(model)
+    shared = sent(labelled.sparkSession, model)
     place = {x: i for i, x in enumerate(model.languages)}
 
     def run(batches):
+        model = received(shared)
         for batch in batches:
             found = []
             for lang, text in zip(batch.column("lang"), batch.column("text")):
-                logs, n = shared.value.scores(text.as_py())
+                logs, n = model.scores(text.as_py())
                 if n:  # a language whose texts have no letters is not in the model
                     k, n = place[lang.as_py()], min(n, EVIDENCE)
                     found.append((k, logs[k] / n, n))
@@ -144,14 +145,15 @@ def usual(labelled: DataFrame, model: Model) -> Model:
 
 def _texts(df: DataFrame, model: Model) -> DataFrame:
     """Replace ``text`` by ``ll`` (log likelihoods), ``p`` (what the text alone makes of them) and ``groups``."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    shared = sent(df.sparkSession, model)
     rest = [c for c in df.columns if c != "text"]
 
     def run(batches):
+        model = received(shared)
         for batch in batches:
             ll, p, groups = [], [], []
             for x in batch.column("text"):
-                logs, n = shared.value.scores(x.as_py())
+                logs, n = model.scores(x.as_py())
                 ll.append(logs)
                 # A text without letters says nothing, so it adds nothing to any count.
                 p.append(normal(logs) * (n > 0))

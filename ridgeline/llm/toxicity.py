@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ridgeline.llm import kernels as kn
-from ridgeline.llm.common import text_or_empty
+from ridgeline.llm.common import received, sent, text_or_empty
 
 #: Bounds of the sample of labelled rows that the model is fitted on; everything else covers all rows.
 MOST_TOXIC, MOST_CLEAN, MOST_CHARS = 2000, 4000, 50_000
@@ -301,11 +301,11 @@ def score(docs: DataFrame, model: Crf, id_col: str = "doc_id", text_col: str = "
     the text is an input. Null, empty and wordless texts have the lowest score. Repeated rows and null
     ids keep their rows; an empty table gives none; other columns are not read.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = sent(docs.sparkSession, model)
     rows = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"), held_out(id_col).alias("held_out"))
 
     def run(batches):
-        model = shared.value
+        model = received(shared)
         emit = Emissions(model)
         for batch in batches:
             for part in kn.pieces(batch, "text", 16 << 20):
