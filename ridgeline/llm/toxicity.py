@@ -29,7 +29,7 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """(text, label) of a bounded, seeded sample of labelled rows that are not held out.
 
     At most 2,000 toxic and 4,000 clean ids are chosen from the labels alone; a conflict of labels counts as toxic. Only their texts, of at most 50,000
-    characters, come to the driver.
+    characters, come to the driver. Of rows that repeat an id the smallest such text is taken, so an id counts once.
     """
     marked = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).filter("id IS NOT NULL AND y IN (0, 1)")
               .filter(~held_out("id")).groupBy("id").agg(F.max("y").alias("y")))
@@ -152,16 +152,22 @@ class Crf:
             pair /= pair.sum(axis=(2, 3), keepdims=True)
         return p, pair
 
-    def fit(self, at: np.ndarray, n_features: np.ndarray, y: np.ndarray, valid: np.ndarray, rounds: int = 8, batch: int = 256, seed: int = 7) -> None:
-        """Likelihood of labelled sequences by AdaGrad. ``at`` holds feature buckets (rows, time, features)."""
+    def fit(self, at: np.ndarray, table: np.ndarray, n_features: np.ndarray, y: np.ndarray, rounds: int = 8, batch: int = 256, seed: int = 7) -> None:
+        """Likelihood of labelled sequences by AdaGrad, in small batches of all of them.
+
+        ``at`` holds numbers of words (rows, time), -1 after the end; ``table`` the feature buckets of each word,
+        of which the first ``n_features`` count.
+        """
         rng = np.random.default_rng(seed)
         gw, gs, gb = np.full(DIM, 1e-6), np.full((2, 2), 1e-6), 1e-6
-        use = np.arange(at.shape[2]) < n_features[:, :, None]
+        use = np.arange(table.shape[1]) < n_features[:, None]
         for _ in range(rounds):
             order = rng.permutation(len(y))
             for i in range(0, len(order), batch):
                 r = order[i:i + batch]
-                x, ok, v, t = at[r], use[r], valid[r], y[r]
+                word, t = at[r], y[r]
+                v = word >= 0
+                x, ok = table[word], use[word] & v[:, :, None]
                 e = (self.w[x] * ok).sum(axis=2) + self.bias
                 p, pair = self.marginals(e, v)
                 d = np.where(v, p - t, 0.0)
@@ -240,7 +246,10 @@ class Emissions(dict):
 
 
 def train(rows: list) -> Crf:
-    """Fit the model on (text, label) pairs. Without both labels the score is the share of toxic rows."""
+    """Fit the model on all tokens of (text, label) pairs, as ``sample`` gives them: a bounded number.
+
+    Texts are cut into pieces of 32 tokens, all of which are used. Without both labels the score is the share of toxic rows.
+    """
     model = Crf()
     y = np.array([r[1] for r in rows], np.int64)
     words = [kn.plain_words(r[0]) for r in rows]
@@ -249,25 +258,28 @@ def train(rows: list) -> Crf:
         share = float(y.mean()) if len(y) else 0.0
         model.a, model.b = 0.0, float(np.log((share + 1e-3) / (1 - share + 1e-3)))
         return model
-    rng = np.random.default_rng(5)
-    toxic, plain = [], []
+    # Every piece of every sampled text; words are numbered, so a piece is a row of numbers.
+    number: dict[bytes, int] = {}
+    for w in words:
+        for x in w:
+            number.setdefault(x, len(number))
+    features = [buckets(x) for x in number]
+    table = np.zeros((len(features), 1 + len(PREFIXES) + len(SUFFIXES)), np.int32)
+    for i, b in enumerate(features):
+        table[i, :len(b)] = b
+    count = np.array([len(b) for b in features], np.int8)
+    marked = np.array([any(f in marks for f in word_features(x)) for x in number], bool)
+    at = np.full((sum(-(-len(w) // PIECE) for w in words), PIECE), -1, np.int32)
+    tags, row = np.zeros(at.shape, bool), 0
     for w, label in zip(words, y):
-        tag = [int(bool(label) and any(f in marks for f in word_features(x))) for x in w]
-        for i in range(0, len(w), PIECE):
-            (toxic if any(tag[i:i + PIECE]) else plain).append((w[i:i + PIECE], tag[i:i + PIECE]))
-    pick = lambda x, n: [x[i] for i in sorted(rng.permutation(len(x))[:n])]
-    pieces = pick(toxic, 8000) + pick(plain, 24000)
-    most = 1 + len(PREFIXES) + len(SUFFIXES)
-    at = np.zeros((len(pieces), PIECE, most), np.int32)
-    count, tags, valid = np.zeros((len(pieces), PIECE), np.int8), np.zeros((len(pieces), PIECE), np.int8), np.zeros((len(pieces), PIECE), bool)
-    for i, (w, tag) in enumerate(pieces):
-        for j, x in enumerate(w):
-            b = buckets(x)
-            at[i, j, :len(b)] = b
-            count[i, j] = len(b)
-        tags[i, :len(tag)] = tag
-        valid[i, :len(tag)] = True
-    model.fit(at, count, tags, valid)
+        ids = np.array([number[x] for x in w], np.int32)
+        for i in range(0, len(ids), PIECE):
+            piece = ids[i:i + PIECE]
+            at[row, :len(piece)] = piece
+            if label:
+                tags[row, :len(piece)] = marked[piece]
+            row += 1
+    model.fit(at, table, count, tags)
     score = Emissions(model)
     model.calibrate(np.concatenate([model.log_odds([score.of(w) for w in words[i:i + 500]]) for i in range(0, len(words), 500)]), y)
     return model
