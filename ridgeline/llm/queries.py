@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ridgeline.llm import chat, decontaminate, exact_dedup, katz, langid, mixing, near_dedup, sharding, toxicity, warc
+from ridgeline.llm import chat, codes, decontaminate, exact_dedup, katz, langid, mixing, near_dedup, sharding, toxicity, warc
 from ridgeline.llm.common import scratch, table, text_or_empty
 from ridgeline.llm.sql import SQL  # noqa: F401  (read by the entry)
 from ridgeline.session import settle
@@ -97,3 +97,9 @@ def op10_toxicity(spark, folder):
     docs = table(spark, folder, "documents")
     model = toxicity.train(toxicity.sample(docs, table(spark, folder, "labels")))
     return toxicity.score(docs, model).select("doc_id", "held_out", "score", "predicted")
+
+
+@query
+def op11_vector_codes(spark, folder):
+    coded, books = codes.compress(table(spark, folder, "embeddings"))
+    return coded.select("vec_id", "code", "error", "label_error", F.lit(codes.digest(books)).alias("codebooks_sha256"))

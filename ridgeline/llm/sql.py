@@ -94,3 +94,30 @@ SELECT dw.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(pos.n, 0) AS n_hit
   sha256(coalesce(its.ids, '')) AS items_sha256, coalesce(pos.n, 0) > 0 AS contaminated
 FROM dw LEFT JOIN pos ON pos.doc_id = dw.doc_id LEFT JOIN its ON its.doc_id = dw.doc_id
 """
+
+
+def _codes(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """Whole-number k-means of each part position, all distances written out."""
+    steps = [f"""
+k AS MATERIALIZED (SELECT vec_id, label, embedding, len(embedding) // {parts} AS w, row_number() OVER (ORDER BY vec_id) AS nth FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+v AS MATERIALIZED (SELECT vec_id, label, nth, (i - 1) // w AS p, (i - 1) % w AS j, CAST(floor(1024 * CAST(embedding[i] AS DOUBLE)) AS BIGINT) AS x
+  FROM k, unnest(range(1, {parts} * w + 1)) AS r(i)),
+c0 AS MATERIALIZED (SELECT p, nth - 1 AS e, j, x FROM v WHERE nth <= {entries})"""]
+    near = """
+a{i} AS MATERIALIZED (SELECT vec_id, label, p, arg_min(e, d * 256 + e) AS e, min(d) AS d FROM (
+  SELECT vec_id, label, p, e, CAST(sum((v.x - c.x) * (v.x - c.x)) AS BIGINT) AS d FROM v JOIN c{i} AS c USING (p, j) GROUP BY ALL) GROUP BY ALL)"""
+    for i in range(rounds):
+        steps += [near.format(i=i), f"""
+m{i} AS (SELECT p, e, j, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM v JOIN a{i} USING (vec_id, p) GROUP BY ALL),
+c{i + 1} AS MATERIALIZED (SELECT p, e, j, coalesce((s - (s % n + n) % n) // n, x) AS x FROM c{i} LEFT JOIN m{i} USING (p, e, j))"""]
+    steps.append(near.format(i=rounds))
+    return f"""WITH {",".join(steps)},
+f AS (SELECT vec_id, label, string_agg(format('{{:02x}}', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM a{rounds} GROUP BY ALL)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY p, e, j)) FROM c{rounds}) AS codebooks_sha256
+FROM f
+"""
+
+
+SQL["op11_vector_codes"] = _codes()
