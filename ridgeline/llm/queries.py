@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ridgeline.llm import chat, codes, decontaminate, exact_dedup, katz, langid, mixing, near_dedup, sharding, toxicity, warc
+from ridgeline.llm import chat, codes, decontaminate, exact_dedup, katz, langid, mixing, near_dedup, sharding, spelling, toxicity, warc
 from ridgeline.llm.common import scratch, table, text_or_empty
 from ridgeline.llm.sql import SQL  # noqa: F401  (read by the entry)
 from ridgeline.session import settle
@@ -103,3 +103,8 @@ def op10_toxicity(spark, folder):
 def op11_vector_codes(spark, folder):
     coded, books = codes.compress(table(spark, folder, "embeddings"))
     return coded.select("vec_id", "code", "error", "label_error", F.lit(codes.digest(books)).alias("codebooks_sha256"))
+
+
+@query
+def op13_spelling(spark, folder):
+    return spelling.variants(table(spark, folder, "documents")).select("word", "form", "root", "n", "n_near", "form_n")

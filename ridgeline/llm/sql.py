@@ -121,3 +121,29 @@ FROM f
 
 
 SQL["op11_vector_codes"] = _codes()
+
+# DuckDB has no CRC-32: it is worked out byte by byte, from the table of its 256 steps.
+SQL["op13_spelling"] = r"""
+WITH steps AS (SELECT list(list_reduce(range(0, 8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) ORDER BY i) AS t
+  FROM (SELECT CAST(unnest(range(0, 256)) AS BIGINT) AS i)),
+runs AS (SELECT id, run, count(*) AS n FROM (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{C0}-\x{FF}]+')),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents) WHERE length(run) >= 7 GROUP BY ALL),
+coded AS (SELECT run, n, list_transform(flatten(list_transform(string_split(id || ':' || run, ''), lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)]
+  ELSE [192 + (unicode(c) >> 6), 128 + (unicode(c) & 63)] END)), lambda b: CAST(b AS BIGINT)) AS bytes FROM runs),
+crc AS (SELECT run, n, xor(list_reduce(bytes, lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), CAST(4294967295 AS BIGINT)), 4294967295) AS h FROM coded, steps),
+made AS (SELECT CASE WHEN h % 31 = 0 THEN left(run, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) AS BIGINT) + 2) ELSE run END AS word, n FROM crc),
+w AS MATERIALIZED (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM made WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+d AS MATERIALIZED (SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS cut FROM w, unnest(range(1, length(word) + 1)) AS r(i)),
+pairs AS (
+  SELECT DISTINCT d.word, d.n, w.word AS near, w.n AS near_n FROM d JOIN w ON d.cut = w.word
+  UNION ALL SELECT DISTINCT w.word, w.n, d.word, d.n FROM d JOIN w ON d.cut = w.word
+  UNION ALL SELECT a.word, a.n, b.word, b.n FROM d a JOIN d b ON a.i = b.i AND a.cut = b.cut AND a.word <> b.word),
+best AS MATERIALIZED (SELECT word, count(*) AS n_near, max(n) AS n, max(near_n) AS most FROM pairs GROUP BY word),
+form AS MATERIALIZED (SELECT best.word, min(near) AS form, max(most) AS form_n FROM best JOIN pairs ON best.word = pairs.word AND near_n = most
+  WHERE most >= 10 * best.n GROUP BY best.word),
+walk AS (SELECT word, form AS here, 1 AS far FROM form UNION ALL SELECT walk.word, form.form, far + 1 FROM walk JOIN form ON walk.here = form.word),
+ends AS (SELECT word, arg_max(here, far) AS root FROM walk GROUP BY word)
+SELECT w.word, form.form, coalesce(ends.root, w.word) AS root, w.n, coalesce(best.n_near, 0) AS n_near, form.form_n
+FROM w LEFT JOIN best USING (word) LEFT JOIN form USING (word) LEFT JOIN ends USING (word)
+""".replace("WITH steps", "WITH RECURSIVE steps", 1)
