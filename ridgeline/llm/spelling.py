@@ -18,8 +18,8 @@ LEAST_LENGTH, LEAST_COUNT, TIMES = 7, 2, 10
 #: Of a filter: bits for each word, bits set by a word inside its block of 512, and the bytes sent to all tasks at once.
 BITS, SET, MOST_BYTES = 16, 7, 32 << 20
 BLOCK_WORDS = 8  # 64-bit words of a block
-#: Edits that are looked at in one array step.
-STEP = 1 << 18
+#: Edits that are looked at in one array step, and words whose edits one task looks at.
+STEP, TASK_WORDS = 1 << 18, 20_000
 
 # A letter is one of U+0041-5A, U+0061-7A, U+00C0-FF, so a run of letters is one byte each in Latin-1; others become a space.
 _LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 192 else 32 for c in range(256))
@@ -251,10 +251,12 @@ def near_pairs(words: DataFrame, most_bytes: int = MOST_BYTES) -> DataFrame:
     alphabet = np.array(sorted(ord(r.c) for r in found if r.c), np.uint8)
     counts = {r.length: r.n for r in words.groupBy(F.length("word").alias("length")).agg(F.count(F.lit(1)).alias("n")).collect()}
     edits = words.select(F.col("word").alias("edit"), F.col("n").alias("edit_n"))
+    # A word is a few bytes and a thousand edits, so the work is dealt out by words, not by the size of their file.
+    dealt = words.repartition(max(1, -(-sum(counts.values()) // TASK_WORDS)))
     once = words.select("word", "n", F.col("word").alias("near"), F.col("n").alias("near_n")).limit(0)
     for plan in passes(counts, most_bytes):
         shared = words.sparkSession.sparkContext.broadcast((_filters(words, plan), alphabet))  # most_bytes and 90 letters at most
-        some = settle(_probed(words, plan, shared).join(edits, "edit").select("word", "n", F.col("edit").alias("near"), F.col("edit_n").alias("near_n")))
+        some = settle(_probed(dealt, plan, shared).join(edits, "edit").select("word", "n", F.col("edit").alias("near"), F.col("edit_n").alias("near_n")))
         shared.unpersist()
         once = once.unionByName(some)
     return once.unionByName(once.select(F.col("near").alias("word"), F.col("near_n").alias("n"), F.col("word").alias("near"), F.col("n").alias("near_n")))

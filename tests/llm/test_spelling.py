@@ -59,7 +59,7 @@ def crafted(spark):
             i += 1
     rows += [(i + j, "committee " * 40) for j in range(60)] + [(i + 100, "comittee comittee"), (i + 101, "commmittee commmittee"), (i + 102, "committe\ncommitte")]
     rows += [(None, "committee accommodate accommodate"), (i + 103, None), (i + 104, ""), (i + 105, "😀 ... 123"), (1, rows[1][1]), (1, rows[1][1])]
-    rows += [(i + 200 + j, f"{'kilogram ' * 10}{'kilograms ' * (j % 2)}{'kilogramms' if j < 4 else ''}") for j in range(40)]
+    rows += [(i + 200 + j, f"{'kilogram ' * 30}{'kilograms ' * 2}{'kilogramms' if j < 4 else ''}") for j in range(40)]
     rows += [(i + 106 + j, "x" * 3000 + ("y" if j > 1 else "")) for j in range(5)]
     return rows, spark.createDataFrame([(a, b, "w", 1, "f", 2) for a, b in rows], "doc_id long, text string, word string, n long, form string, length int").repartition(4)
 
