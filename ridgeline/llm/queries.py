@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ridgeline.llm import chat, codes, decontaminate, exact_dedup, katz, langid, mixing, near_dedup, sharding, spelling, toxicity, warc
+from ridgeline.llm import chat, codes, decontaminate, exact_dedup, jaccard, katz, langid, mixing, near_dedup, sharding, spelling, toxicity, warc
 from ridgeline.llm.common import scratch, table, text_or_empty
 from ridgeline.llm.sql import SQL  # noqa: F401  (read by the entry)
 from ridgeline.session import settle
@@ -108,3 +108,8 @@ def op11_vector_codes(spark, folder):
 @query
 def op13_spelling(spark, folder):
     return spelling.variants(table(spark, folder, "documents")).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+@query
+def op12_jaccard_join(spark, folder):
+    return jaccard.similar_sets(table(spark, folder, "documents"), k=3, percent=90).select("doc_id", "n_shingles", "component_id")

@@ -10,13 +10,19 @@ from pyspark.sql import functions as F
 from ridgeline.llm import kernels as kn
 
 BITS = 22
+MOST_BITS = 28
+
+
+def bits_for(count: int) -> int:
+    """Bits (as a power of two) for so many keys: sixteen each, and 32 MB at most; beyond 16 million keys it lets more through."""
+    return min(max((16 * count - 1).bit_length(), 10), MOST_BITS)
 
 
 def bitmap(keys: DataFrame, bits: int = BITS):
     """A broadcast bitmap of 2 ** bits bits over the long column of ``keys``; at most 2 ** (bits - 3) bytes.
 
     Tasks set bits, Spark ORs the words, and only the finished words, at most 2 ** (bits - 6),
-    reach the driver. With very many keys it lets more through, but it never loses one.
+    reach the driver, as columns. With very many keys it lets more through, but it never loses one.
     """
     def words(batches):
         for batch in batches:
@@ -24,8 +30,7 @@ def bitmap(keys: DataFrame, bits: int = BITS):
             word, value = kn.bit_words(values, bits)
             yield pa.record_batch({"word": pa.array(word), "value": pa.array(value.view(np.int64))})
 
-    found = keys.mapInArrow(words, "word long, value long").groupBy("word").agg(F.bit_or("value").alias("value")).collect()
+    found = keys.mapInArrow(words, "word long, value long").groupBy("word").agg(F.bit_or("value").alias("value")).toArrow()
     whole = np.zeros(1 << (bits - 6), np.uint64)
-    for word, value in found:
-        whole[word] = np.uint64(value & 0xFFFFFFFFFFFFFFFF)
+    whole[found.column("word").to_numpy()] = found.column("value").to_numpy().view(np.uint64)
     return keys.sparkSession.sparkContext.broadcast(whole)

@@ -147,3 +147,21 @@ ends AS (SELECT word, arg_max(here, far) AS root FROM walk GROUP BY word)
 SELECT w.word, form.form, coalesce(ends.root, w.word) AS root, w.n, coalesce(best.n_near, 0) AS n_near, form.form_n
 FROM w LEFT JOIN best USING (word) LEFT JOIN form USING (word) LEFT JOIN ends USING (word)
 """.replace("WITH steps", "WITH RECURSIVE steps", 1)
+
+SQL["op12_jaccard_join"] = r"""
+WITH RECURSIVE d AS (SELECT row_number() OVER (ORDER BY doc_id) AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS MATERIALIZED (SELECT DISTINCT r, hash(s) AS s FROM (SELECT r, unnest(CASE WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+  ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s FROM d WHERE len(w) > 0)),
+n AS MATERIALIZED (SELECT r, count(*) AS n FROM g GROUP BY r),
+-- Linked sets share one of the first n-grams of each, in any one order of all.
+p AS MATERIALIZED (SELECT r, n, s FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY s) AS i FROM g JOIN n USING (r)) WHERE i <= n - (90 * n + 99) // 100 + 1),
+c AS MATERIALIZED (SELECT DISTINCT a.r AS u, b.r AS v, a.n AS nu, b.n AS nv FROM p a JOIN p b ON a.s = b.s AND a.r < b.r
+  AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)),
+o AS (SELECT u, v, nu, nv, count(*) AS same FROM c JOIN g x ON x.r = u JOIN g y ON y.r = v AND y.s = x.s GROUP BY ALL),
+l AS MATERIALIZED (SELECT u, v FROM o WHERE 100 * same >= 90 * (nu + nv - same)),
+e AS MATERIALIZED (SELECT u, v FROM l UNION SELECT v, u FROM l),
+reach AS (SELECT r AS a, r AS b FROM d UNION SELECT reach.a, e.v FROM reach JOIN e ON reach.b = e.u),
+t AS (SELECT a AS r, min(doc_id) AS component_id FROM reach JOIN d ON d.r = reach.b GROUP BY a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, t.component_id FROM d LEFT JOIN n USING (r) JOIN t USING (r)
+"""
