@@ -23,14 +23,15 @@ def category_scores(table: DataFrame, rows: DataFrame, category: Column, train_b
     """
     inputs = input_columns(table)
     train = table.filter(F.col("date") < F.lit(train_before).cast("date"))
+
+    def by(estimator, weighed):
+        return md.load(md.stored_fit(weighed, inputs, estimator))
+
     if first:
-        model = md.fit(md.weigh_positive(train, label, md.BOOSTED_TEST["positive_weight"]), inputs,
-                       boosted or md.boosted(label, **md.BOOSTED_TEST))
-        return md.score(model, rows)
-    boosted = boosted or md.boosted(label, **md.BOOSTED_SCAN)
-    forest = forest or md.forest(label, **md.FOREST_SCAN)
-    trees = md.fit(md.weigh_positive(train, label, md.BOOSTED_SCAN["positive_weight"]), inputs, boosted)
-    woods = md.fit(md.weigh_balanced(train, label), inputs, forest)
+        return md.score(by(boosted or md.boosted(label, **md.BOOSTED_TEST),
+                           md.weigh_positive(train, label, md.BOOSTED_TEST["positive_weight"])), rows)
+    trees = by(boosted or md.boosted(label, **md.BOOSTED_SCAN), md.weigh_positive(train, label, md.BOOSTED_SCAN["positive_weight"]))
+    woods = by(forest or md.forest(label, **md.FOREST_SCAN), md.weigh_balanced(train, label))
     scored = [
         md.score(woods, rows.filter(category == "STOCKS")),
         md.score(trees, rows.filter(category == "INDICES")),

@@ -255,11 +255,6 @@ BAR_TYPES = {"date": "date", "open_price": "double", "high_price": "double", "lo
              "close_price": "double", "adj_close": "double", "volume": "bigint", "ticker": "string"}
 TIP_PAIRS = ["trip_distance", "fare_amount", "total_amount", "tolls_amount"]
 
-SCORED_ROWS = f"""WITH RECURSIVE {FEATURES}
-SELECT ticker, {DAY}, CASE WHEN feats.date < DATE '2000-01-01' THEN 'test' WHEN feats.date < DATE '2001-01-01' THEN 'validation'
-    ELSE 'prediction' END AS split, CAST(Target AS BIGINT) AS Target, true AS is_chance, true AS class_follows
-FROM feats WHERE feats.date >= DATE '1999-01-01'"""
-
 ORACLES: dict[str, str] = {
     "trip_stats": f"""WITH {FARES}
 SELECT dataset, count(*) AS Total_Trips, {r('avg(total_amount)', 'Avg_Total_Amount')},
@@ -442,16 +437,14 @@ FROM (SELECT max(score) FILTER (category = 'STOCKS') AS s, max(score) FILTER (ca
 SELECT {DAY}, ticker, {r('close_price')}, CAST(Target AS BIGINT) AS Target,
   CAST(model_prediction AS BIGINT) AS model_prediction, CAST(strategy_action AS BIGINT) AS strategy_action,
   {r('portfolio_value')} FROM valued""",
-    "gbt_scores": SCORED_ROWS,
-    "rf_scores": SCORED_ROWS,
-    "model_report": f"""WITH RECURSIVE {FEATURES}, n AS (
-  SELECT count(*) FILTER (Target = 0) AS s0, count(*) FILTER (Target = 1) AS s1 FROM feats
-  WHERE date >= DATE '1999-01-01' AND date < DATE '2000-01-01')
-SELECT class, support, true AS fits FROM (
-  SELECT '0' AS class, s0 AS support FROM n UNION ALL SELECT '1', s1 FROM n
-  UNION ALL SELECT unnest(['macro avg', 'weighted avg', 'accuracy']), s0 + s1 FROM n
-  UNION ALL SELECT 'auc', NULL FROM n)""",
-    "feature_importance": "SELECT range AS place, true AS is_input, true AS is_share FROM range(1, 16)",
+    "holdout_rows": f"""WITH RECURSIVE {FEATURES}
+SELECT ticker, {DAY}, CASE WHEN feats.date < DATE '2000-01-01' THEN 'test' WHEN feats.date < DATE '2001-01-01' THEN 'validation'
+    ELSE 'prediction' END AS split, CAST(Target AS BIGINT) AS Target
+FROM feats WHERE feats.date >= DATE '1999-01-01'""",
+    "holdout_support": f"""WITH RECURSIVE {FEATURES}
+SELECT CASE WHEN date < DATE '1999-01-01' THEN 'train' WHEN date < DATE '2000-01-01' THEN 'test'
+    WHEN date < DATE '2001-01-01' THEN 'validation' ELSE 'prediction' END AS split,
+  CAST(Target AS BIGINT) AS Target, count(*) AS n FROM feats GROUP BY 1, 2""",
     "results_table": f"""WITH RECURSIVE {PLACED}, {ledger('placed', 'valued')}
 SELECT {DAY}, ticker, {r('close_price')}, CAST(Target AS BIGINT) AS Target,
   CAST(model_prediction AS BIGINT) AS model_prediction, CAST(strategy_action AS BIGINT) AS strategy_action,

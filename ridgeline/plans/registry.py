@@ -14,13 +14,12 @@ from ridgeline.operators import clean as cl
 from ridgeline.operators import features as ft
 from ridgeline.operators import ledger as lg
 from ridgeline.operators import metrics as mt
-from ridgeline.operators import models as md
 from ridgeline.operators import ordered as od
 from ridgeline.operators import series as se
 from ridgeline.operators import signals as sg
 from ridgeline.operators import stats as st
 from ridgeline.operators import trips as tr
-from ridgeline.plans import backtest, evaluation, price_etl, trip_report
+from ridgeline.plans import backtest, price_etl, study, trip_report
 from ridgeline.plans import fixtures as fx
 from ridgeline.session import settle, shared_dir
 from ridgeline.sources import files
@@ -430,9 +429,21 @@ def results_table(spark, folder):
     return files.read_parquet(spark, path)
 
 
-# Models, with the analysis's own settings (``models``).  What SQL can state without the trees
-# is compared: which rows are scored, that scores are chances and classes follow from them, and
-# the figures that counts alone decide.  The tables with the figures come first.
+@query
+def holdout_rows(spark, folder):
+    table = ft.date_split(ft.features(fx.prices(spark, folder)), "date", fx.PERIODS)
+    return table.filter(F.col("split") != "train").select("ticker", "date", "split", "Target")
+
+
+@query
+def holdout_support(spark, folder):
+    table = ft.date_split(ft.features(fx.prices(spark, folder)), "date", fx.PERIODS)
+    return table.groupBy("split", "Target").agg(F.count(F.lit(1)).alias("n"))
+
+
+# Models, with the analysis's own settings (``models``).  SQL has no trees, so these have no SQL
+# counterpart; tests hold their figures against loops over the table of nodes.  A model is fitted
+# once per training table and settings and stored (``models.stored_fit``).
 
 def _training(spark, folder):
     """The feature table with its periods, and the model inputs."""
@@ -440,72 +451,58 @@ def _training(spark, folder):
     return ft.date_split(table, "date", fx.PERIODS), ft.input_columns(table)
 
 
-def _fit_boosted(table, inputs):
-    train = md.weigh_positive(table.filter("split = 'train'"), "Target", md.BOOSTED_TEST["positive_weight"])
-    return md.fit(train, inputs, md.boosted(**md.BOOSTED_TEST))
+def _of(split):
+    return F.col("split") == split
 
 
-def _fit_forest(table, inputs):
-    train = md.weigh_balanced(table.filter("split = 'train'"), "Target")
-    return md.fit(train, inputs, md.forest(**md.FOREST_SCAN))
+_SCORED = ("ticker", "date", "split", "Target", "p", "predicted")
 
 
-def _checked(scored):
-    follows = F.col("predicted") == F.when(F.col("p") > 0.5, 1).otherwise(0)
-    return scored.select("ticker", "date", "split", "Target", "p", "predicted",
-                         F.col("p").between(0, 1).alias("is_chance"), follows.alias("class_follows"))
+@query
+def gbt_scores(spark, folder):
+    table, inputs = _training(spark, folder)
+    path = study.boosted_model(table.filter(_of("train")), inputs)
+    return study.scores(path, table.filter(~_of("train"))).select(*_SCORED)
 
 
-def boosted_scores(spark, folder):
-    """Chance and class of every row after the training period by the boosted trees."""
+@query
+def rf_scores(spark, folder):
     table, inputs = _training(spark, folder)
-    return _checked(md.score(_fit_boosted(table, inputs), table.filter("split <> 'train'")))
+    path = study.forest_model(table.filter(_of("train")), inputs)
+    return study.scores(path, table.filter(~_of("train"))).select(*_SCORED)
 
 
-def forest_scores(spark, folder):
-    """Chance and class of every row after the training period by the forest."""
+@query
+def model_report(spark, folder):
     table, inputs = _training(spark, folder)
-    return _checked(md.score(_fit_forest(table, inputs), table.filter("split <> 'train'")))
+    path = study.boosted_model(table.filter(_of("train")), inputs)
+    return study.report(settle(study.scores(path, table.filter(_of("test"))).select("Target", "p", "predicted")))
 
 
-def boosted_report(spark, folder):
-    """Precision, recall and f1 per class of the test period (accuracy in its f1), and the area under the ROC curve."""
-    table, inputs = _training(spark, folder)
-    found = evaluation.evaluate(_fit_boosted(table, inputs), inputs, table.filter("split = 'test'"))
-    cells = {(r.label, r.pred): r.n for r in found["confusion"].collect()}
-    right = (cells[0, 0] + cells[1, 1]) / max(sum(cells.values()), 1)
-    fits = F.when(F.col("class") == "accuracy", F.abs(F.col("f1") - right) < 1e-12).otherwise(
-        F.col("precision").between(0, 1) & F.col("recall").between(0, 1) & F.col("f1").between(0, 1))
-    report = found["report"].select("class", "precision", "recall", "f1", "support", fits.alias("fits"))
-    return report.unionByName(found["auc"].select(
-        F.lit("auc").alias("class"), F.lit(None).cast("long").alias("support"), "auc", F.col("auc").between(0, 1).alias("fits")),
-        allowMissingColumns=True)
-
-
-def boosted_importance(spark, folder):
-    """The 15 inputs that count most in the boosted trees, and their shares."""
+@query
+def feature_importance(spark, folder):
     table, inputs = _training(spark, folder)
-    found = md.importance(_fit_boosted(table, inputs), inputs, spark)
-    falling = Window.orderBy(F.desc("importance"), "feature")  # 15 rows
-    return found.select(F.row_number().over(falling).alias("place"), "feature", "importance",
-                        F.col("feature").isin(inputs).alias("is_input"), F.col("importance").between(0, 1).alias("is_share"))
+    return study.importance(study.boosted_model(table.filter(_of("train")), inputs), table, inputs)
 
 
 @query
-def gbt_scores(spark, folder):
-    return boosted_scores(spark, folder).drop("p", "predicted")
+def model_study(spark, folder):
+    table, inputs = _training(spark, folder)
+    path = study.boosted_model(table.filter(_of("train")), inputs)
+    return study.study(path, table.filter(~_of("train")), inputs, "test")
 
 
-@query
-def rf_scores(spark, folder):
-    return forest_scores(spark, folder).drop("p", "predicted")
+def _strategy(spark, folder, first):
+    """Results and ranking of a strategy run with the analysis's models, as one table."""
+    valued, ranked = backtest.run(fx.prices(spark, folder), fx.category(), fx.PERIODS[0][2], fx.PREDICT_FROM, first=first)
+    return valued.withColumn("part", F.lit("results")).unionByName(ranked.withColumn("part", F.lit("ranking")), allowMissingColumns=True)
 
 
 @query
-def model_report(spark, folder):
-    return boosted_report(spark, folder).select("class", "support", "fits")
+def first_strategy(spark, folder):
+    return _strategy(spark, folder, True)
 
 
 @query
-def feature_importance(spark, folder):
-    return boosted_importance(spark, folder).drop("feature", "importance")
+def scan_strategy(spark, folder):
+    return _strategy(spark, folder, False)

@@ -37,8 +37,11 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local-mode session without that setting falls back to a temporary
     folder; a cluster session without it is refused.
     """
-    if _workspaces:
-        return _workspaces[-1]
+    return _workspaces[-1] if _workspaces else lasting_dir(spark)
+
+
+def lasting_dir(spark: SparkSession) -> str:
+    """The same folder without regard to a ``workspace``, for what is to outlast it."""
     context = spark.sparkContext
     named = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if named:

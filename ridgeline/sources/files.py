@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # The zone table's columns the questions read.
@@ -39,9 +42,64 @@ def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.parquet(*paths)
 
 
+def _at(spark: SparkSession, path: str):
+    """The path as Hadoop has it, and its file system."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return there, there.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    there, system = _at(spark, path)
+    return system.exists(there)
+
+
+def move_new(spark: SparkSession, source: str, target: str) -> None:
+    """Give a finished folder its name; if another has it by now, that one stays and this one goes."""
+    (a, system), (b, _) = _at(spark, source), _at(spark, target)
+    if system.exists(b) or not system.rename(a, b):
+        system.delete(a, True)
+        if not system.exists(b):
+            raise OSError(f"{source} could not be moved to {target}")
+
+
 def write_results(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """Replace the results table at ``path``."""
-    writer = df.write.mode("overwrite")
+    """Replace the results table at ``path``, or leave the one there as it is if that fails.
+
+    The new table is written beside it and read back: only with as many rows as were written does it take
+    the name. The old table is moved aside before and deleted after, so ``recover`` finds one of them
+    whenever the job ends in between. Renames are single steps on HDFS and local disks; a store without
+    them copies, so a reader of such a store may find no table for that time.
+    """
+    spark = df.sparkSession
+    staged, old = f"{path}.new-{uuid.uuid4().hex}", f"{path}.old"
+    recover(spark, path)
+    # The rows are counted by the tasks that write them, without another pass over the input.
+    seen = Observation()
+    writer = df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
+    (new, system), (target, _), (aside, _) = _at(spark, staged), _at(spark, path), _at(spark, old)
+    try:
+        writer.parquet(staged)
+        written, found = seen.get["n"], spark.read.schema(df.schema).parquet(staged).count()
+        if written != found:
+            raise OSError(f"{found} of {written} rows arrived in {staged}")
+    except BaseException:
+        system.delete(new, True)
+        raise
+    if system.exists(target) and not system.rename(target, aside):
+        raise OSError(f"{path} could not be moved aside")
+    if not system.rename(new, target):
+        recover(spark, path)
+        raise OSError(f"{staged} could not be moved to {path}")
+    system.delete(aside, True)
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """After a ``write_results`` that was cut short: the old table gets its name back, or goes if the new one has it."""
+    (target, system), (aside, _) = _at(spark, path), _at(spark, f"{path}.old")
+    if system.exists(aside):
+        if system.exists(target):
+            system.delete(aside, True)
+        elif not system.rename(aside, target):
+            raise OSError(f"{path}.old could not be moved back")
