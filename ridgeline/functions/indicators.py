@@ -15,13 +15,14 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from ridgeline.session import settle
 
 # Running sums divide by powers of the decay; within a block of rows these stay
 # below e^400, so prices up to 1e130 do not overflow.
 BLOCK_NATS = 400.0
+# What is older than this adds less than e^-240 of its size and is left out.
+FADED_NATS = 240.0
+# Earlier blocks that a block may have to look at before spans get blocks of their own.
+MOST_BEFORE = 4
 
 
 def full_frame(aggregate: Column, x: str, n: int, w: WindowSpec) -> Column:
@@ -41,27 +42,63 @@ def _piece(lengths: list[int]) -> int:
     return fitting[-1]
 
 
+# A window of more pieces than these is put together from sums that double in length, the first over so many rows.
+MOST_PIECES, DIRECT = 20, 8
+
+
 def window_sums(df: DataFrame, w: WindowSpec, wanted: dict[str, tuple[str, int]]) -> DataFrame:
     """Add the sum of the last ``n`` values of ``x`` as each ``out: (x, n)``; NULL until there are ``n``.
 
     Spark adds up a sliding frame anew for every row.  A long window is therefore
-    put together from sums over a short one, shifted: 50 rows are five sums of 10.
+    put together from sums over short ones, shifted: 50 rows are five sums of 10.
+    Lengths without a fair common divisor take sums over 8, 16, 32, ... rows, each from
+    two of the one before: 199 rows are 128, 64 and 7.  Values are counted as the
+    difference of two running counts.
     """
     lengths: dict[str, list[int]] = {}
     for x, n in wanted.values():
         lengths.setdefault(x, []).append(n)
-    piece = {x: _piece(ns) for x, ns in lengths.items()}
-    short = {}
-    for x, size in piece.items():
-        frame = w.rowsBetween(-(size - 1), 0)
-        short |= {f"_sum_{x}": F.sum(x).over(frame), f"_count_{x}": F.count(x).over(frame)}
-    df = df.withColumns(short)
-
-    def total(kind: str, x: str, n: int) -> Column:
-        parts = [F.lag(f"_{kind}_{x}", i).over(w) if i else F.col(f"_{kind}_{x}") for i in range(0, n, piece[x])]
-        return reduce(operator.add, parts)
-    return df.withColumns({
-        out: F.when(total("count", x, n) == n, total("sum", x, n)) for out, (x, n) in wanted.items()})
+    running = w.rowsBetween(Window.unboundedPreceding, 0)
+    first: dict[str, Column] = {f"_count_{x}": F.count(x).over(running) for x in lengths}
+    levels: list[dict[str, Column]] = []
+    pieces: dict[tuple[str, int], list[tuple[str, int]]] = {}
+
+    def short(x: str, n: int) -> str:
+        # A window of NULLs alone has no sum; such rows are left out by their count.
+        first[f"_sum{n}_{x}"] = F.coalesce(F.sum(x).over(w.rowsBetween(-(n - 1), 0)), F.lit(0.0))
+        return f"_sum{n}_{x}"
+
+    for x, ns in lengths.items():
+        size = _piece(ns)
+        if max(ns) <= MOST_PIECES * size:
+            name = short(x, size)
+            pieces |= {(x, n): [(name, i) for i in range(0, n, size)] for n in ns}
+            continue
+        known = {DIRECT: short(x, DIRECT)}
+        while 2 * max(known) <= max(ns):
+            half, before = max(known), known[max(known)]
+            known[2 * half] = f"_sum{2 * half}_{x}"
+            depth = (half // DIRECT).bit_length() - 1
+            levels += [{}] * (depth + 1 - len(levels))
+            levels[depth] = levels[depth] | {known[2 * half]: F.col(before) + F.coalesce(F.lag(before, half).over(w), F.lit(0.0))}
+        for n in ns:
+            parts, at = [], 0
+            for size in sorted(known, reverse=True):
+                if n - at >= size:
+                    parts.append((known[size], at))
+                    at += size
+            if n > at:
+                parts.append((short(x, n - at), at))
+            pieces[x, n] = parts
+    for added in [first, *levels]:
+        df = df.withColumns(added)
+
+    def total(x: str, n: int) -> Column:
+        return reduce(operator.add, [F.lag(name, at).over(w) if at else F.col(name) for name, at in pieces[x, n]])
+
+    def counted(x: str, n: int) -> Column:
+        return F.col(f"_count_{x}") - F.coalesce(F.lag(f"_count_{x}", n).over(w), F.lit(0))
+    return df.withColumns({out: F.when(counted(x, n) == n, total(x, n)) for out, (x, n) in wanted.items()})
 
 
 def steps(df: DataFrame, w: WindowSpec, x: str) -> DataFrame:
@@ -114,56 +151,62 @@ def decay(span: int) -> float:
     return 1.0 - 2.0 / (span + 1.0)
 
 
+def nats(span: int) -> float:
+    """How far the weight of a value falls in one row, as a logarithm."""
+    return -math.log(decay(span)) if decay(span) > 0 else BLOCK_NATS
+
+
+def look_back(spans: list[int]) -> int:
+    """Rows until the slowest of the means has forgotten a value."""
+    return max(math.ceil(FADED_NATS / nats(s)) for s in spans)
+
+
+def _groups(spans: list[int]) -> list[tuple[int, dict[int, int]]]:
+    """(rows of a block, {span: earlier blocks it has to look at}): spans share blocks unless they are too far apart."""
+    out, left = [], sorted(set(spans))
+    while left:
+        block = max(1, math.floor(BLOCK_NATS / nats(left[0])))
+        before = {s: math.ceil(FADED_NATS / (block * nats(s))) for s in left}
+        taken = {s: n for s, n in before.items() if n <= MOST_BEFORE or s == left[0]}
+        out.append((block, taken))
+        left = [s for s in left if s not in taken]
+    return out
+
+
 def gaps(df: DataFrame, k: list[str], t: str, w: WindowSpec, x: str, spans: list[int]) -> DataFrame:
-    """Add ``_gap_<span>``: the price minus its exponential mean, as if the mean began at the block.
+    """Add ``_gap_<span>``, the price minus its exponential mean, on a part with ``look_back`` rows before its own.
 
     With q the weight of the past and d the row-to-row change, the gap is the sum
     of q^(i+1) times the change i rows ago.  That is zero on the first row and
     exactly zero on a constant series.  The sum runs as an ordinary running
-    window inside blocks of a part's own rows; ``carried`` adds what all earlier rows leave.
+    window inside blocks of rows; of the blocks before, the last sums are carried
+    on as far as they are not yet forgotten.  All of it is columns, so a column
+    that nobody reads is not computed.
     """
-    block = max(1, math.floor(BLOCK_NATS / max(-math.log(decay(s)) for s in spans)))
-    inside = Window.partitionBy(*k, "_part", "_block").orderBy(t).rowsBetween(Window.unboundedPreceding, 0)
     absent = F.col(x).isNull() | F.isnan(F.col(x).cast("double"))
-    change = F.when(absent, F.raise_error(F.lit(f"an exponential mean needs every {x}"))).otherwise(F.col("_step"))
-    df = steps(df, w, x).withColumn("_at", F.sum(F.col("_home").cast("long")).over(
-        w.rowsBetween(Window.unboundedPreceding, 0)) - 1)
-    df = df.withColumns({"_block": F.floor(F.col("_at") / block), "_place": F.pmod("_at", F.lit(block)),
-                         "_change": F.when(F.col("_home"), change).otherwise(0.0)})
-    place = F.col("_place")
-    return df.withColumns({
-        f"_gap_{s}": F.sum(F.col("_change") / F.pow(F.lit(decay(s)), place)).over(inside) * F.pow(F.lit(decay(s)), place + 1)
-        for s in spans})
-
-
-def carried(df: DataFrame, k: list[str], spans: list[int]) -> DataFrame:
-    """``gaps`` of a stored table of own rows, with what all earlier blocks of the key leave.
-
-    A block hands on its last gap plus the decayed gap it began with.  One row per
-    block, some thousand times fewer than the series has, goes through that
-    recursion in order, so the result does not depend on how rows are laid out.
-    """
-    rate = {s: decay(s) for s in spans}
-    ends = df.groupBy(*k, "_part", "_block").agg(
-        (F.max("_place") + 1).alias("_n"), *[F.max_by(f"_gap_{s}", "_place").alias(f"_end_{s}") for s in spans])
-    schema = T.StructType([*[ends.schema[c] for c in [*k, "_part", "_block"]],
-                           *[T.StructField(f"_from_{s}", T.DoubleType()) for s in spans]])
-
-    # Built here, not at module level, so that Spark ships the code itself.
-    def hand_on(blocks):
-        blocks = blocks.sort_values(["_part", "_block"])
-        for s, q in rate.items():
-            begins, gap = [], 0.0
-            for end, n in zip(blocks[f"_end_{s}"].tolist(), blocks["_n"].tolist()):
-                begins.append(gap)
-                gap = end + gap * q ** n
-            blocks[f"_from_{s}"] = begins
-        return blocks[schema.names]
-
-    starts = settle(ends.groupBy(*k).applyInPandas(hand_on, schema))
-    joined = df.join(starts, [*k, "_part", "_block"])
-    return joined.withColumns({
-        f"_gap_{s}": F.col(f"_gap_{s}") + F.col(f"_from_{s}") * F.pow(F.lit(rate[s]), F.col("_place") + 1) for s in spans})
+    df = steps(df, w, x).withColumn("_change", F.when(F.col("_home") & absent, F.raise_error(
+        F.lit(f"an exponential mean needs every {x}"))).otherwise(F.coalesce("_step", F.lit(0.0))))
+    for number, (block, before) in enumerate(_groups(spans)):
+        b, place = f"_block{number}", F.pmod("_row", F.lit(block))
+        df = df.withColumn(b, F.floor(F.col("_row") / block))
+        inside = Window.partitionBy(*k, "_part", b).orderBy(t).rowsBetween(Window.unboundedPreceding, 0)
+        # The same order as inside blocks, so the rows are not sorted again.
+        onward = Window.partitionBy(*k, "_part").orderBy(b, t).rowsBetween(Window.unboundedPreceding, -1)
+        power = {s: F.pow(F.lit(decay(s)), place + 1) for s in before}
+        df = df.withColumns({f"_own_{s}": F.sum(F.col("_change") / F.pow(F.lit(decay(s)), place)).over(inside) * power[s] for s in before})
+        for level in range(1, max(before.values()) + 1):
+            # At the end of a block stands its own sum, then what the blocks before it had left there.
+            seen = "_own_{}" if level == 1 else f"_end{level - 1}_{{}}"
+            df = df.withColumns({f"_end{level}_{s}": F.coalesce(F.last(F.when(place == block - 1, F.col(seen.format(s))), ignorenulls=True).over(onward), F.lit(0.0))
+                                 for s, n in before.items() if level <= n})
+        total = {}
+        for s, n in before.items():
+            carried = F.lit(0.0)
+            for level in range(n, 0, -1):
+                carried = F.col(f"_end{level}_{s}") + carried * decay(s) ** block
+            total[f"_gap_{s}"] = F.col(f"_own_{s}") + carried * power[s]
+        df = df.withColumns(total)
+    return df
 
 
 def trend(df: DataFrame, x: str, fast: int = 12, slow: int = 26, smooth: int = 9, line: str = "MACD",

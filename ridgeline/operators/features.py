@@ -49,7 +49,9 @@ def features(df: DataFrame, k: str = "ticker", t: str = "date", x: str = "close_
         *raw, "Daily_Return", "SMA_10", "SMA_50", "RSI", "EMA_12", "EMA_26", "MACD", "MACD_Signal",
         "Bollinger_Middle", "Bollinger_Std", "Bollinger_Upper", "Bollinger_Lower",
         "Lag_1", "Lag_2", "Lag_5", "Price_Change", "Month", "DayOfWeek", "Next_Close", "Target")
-    return drop_missing(table) if complete else table
+    # Where the 50-row mean is known so are the shorter windows and the lags, and exponential means are never missing:
+    # they need not be computed to find the rows.
+    return drop_missing(table, [*raw, "Daily_Return", "SMA_50", "RSI", "Next_Close"]) if complete else table
 
 
 def input_columns(df: DataFrame, exclude=NOT_INPUTS) -> list[str]:

@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from ridgeline.functions import indicators as ind
 from ridgeline.functions.columns import names
-from ridgeline.operators.ordered import attach, merge, over_series, split, window
-from ridgeline.session import settle
+from ridgeline.operators.ordered import ROWS, attach, over_series
 
 
 def pct_change(df: DataFrame, k, t: str, x: str, out: str = "Daily_Return", **layout) -> DataFrame:
@@ -56,13 +55,15 @@ def with_gaps(df: DataFrame, k, t: str, x: str, spans: list[int], finish: Callab
               **layout) -> DataFrame:
     """``over_series`` for exponential means: ``finish`` finds ``_gap_<span>``, the price less its mean, in each row.
 
-    Runs a job: the rows with what their own block knows are stored, and what
-    earlier rows leave is added to them.  A missing ``x`` stops that job.
+    Parts get as many earlier rows as the means remember, and have several times as many of
+    their own.  A missing ``x`` stops the job that reads a mean.
     """
-    keys, w = names(k), window(k, t)
-    parts = split(df, keys, t, max(before, 1), ahead, **layout)
-    local = ind.gaps(step(parts, w) if step else parts, keys, t, w, x, spans).filter("_home")
-    return merge(finish(ind.carried(settle(local), keys, spans)), df)
+    keys, back = names(k), ind.look_back(spans)
+    layout.setdefault("rows", max(ROWS, 4 * back))
+
+    def whole(d: DataFrame, w: WindowSpec) -> DataFrame:
+        return finish(ind.gaps(step(d, w) if step else d, keys, t, w, x, spans))
+    return over_series(df, keys, t, max(before, back), whole, ahead, **layout)
 
 
 def ema(df: DataFrame, k, t: str, x: str, span, **layout) -> DataFrame:

@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from ridgeline.functions import indicators as ind
 from ridgeline.operators import clean as cl
 from ridgeline.operators import features as ft
 from ridgeline.operators import series as se
@@ -217,3 +218,56 @@ def test_scans_read_only_what_is_used(spark, bars, tmp_path):
     assert "ReadSchema: struct<ticker:string,date:date,close_price:double>" in scan
     plan = cl.between(prices, "date", "2000-02-01", "2000-03-01")._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(date,2000-02-01), LessThan(date,2000-03-01)" in plan
+
+
+@pytest.mark.parametrize("layout", [{}, {"rows": 150, "width": 20}])
+def test_means_of_any_length(spark, layout):
+    """Prime lengths, lengths without a common divisor, and gaps among the values."""
+    bars = walk({"hot": 1500, "mid": 230, "one": 1}, seed=6).sort_values(["ticker", "date"]).reset_index(drop=True)
+    bars.loc[np.random.default_rng(2).random(len(bars)) < 0.003, "close_price"] = np.nan
+    df = shuffled(spark, bars).withColumn("close_price", F.nanvl("close_price", F.lit(None).cast("double")))
+    lengths = [1, 2, 7, 8, 9, 13, 199, 200]
+    got = collected(se.sma(df, *KEY, lengths, **layout))
+    for n in lengths:
+        want = per_key(bars, lambda s, n=n: s.rolling(n).apply(np.mean, raw=True))
+        assert (got[f"SMA_{n}"].isna() == want.isna()).all()
+        close_to(got[f"SMA_{n}"], want, 1e-10)
+
+
+def test_plan_does_not_grow_with_the_length(spark, bars):
+    df = shuffled(spark, bars)
+    sizes = [len(se.sma(df, *KEY, n)._jdf.queryExecution().optimizedPlan().toString()) for n in (199, 1999, 19_997)]
+    assert sizes[2] < 2.5 * sizes[0]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_exponential_means_stay_in_the_engine(spark, bars):
+    df = shuffled(spark, bars)
+    raw = df.withColumns({c: F.col("close_price") for c in ("high_price", "low_price", "adj_close")}).withColumn("volume", F.lit(5))
+    for made in (se.ema(df, *KEY, [9, 12, 26]), se.macd(df, *KEY), ft.features(raw)):
+        plan = plan_of(made)
+        assert "pow" in plan.lower() and "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_unread_features_are_not_computed(spark, bars):
+    raw = shuffled(spark, bars).withColumns({c: F.col("close_price") for c in ("high_price", "low_price", "adj_close")}).withColumn("volume", F.lit(5))
+    table = ft.features(raw)
+    assert "pow" in plan_of(table).lower()
+    for made in (se.last_n(table, "ticker", "date", 20).select(*KEY), ft.date_split(table, "date").groupBy("split").count(),
+                 table.select("ticker", "date", "open_price", "close_price")):
+        plan = plan_of(made).lower()
+        assert "pow" not in plan and "_gap_" not in plan and "bollinger" not in plan and "_sum10_" in plan
+
+
+def test_groups_of_spans():
+    for spans in ([9, 12, 26], [2, 9, 120], [1, 1000], [5]):
+        groups = ind._groups(spans)
+        assert sorted(s for _, g in groups for s in g) == sorted(spans)
+        for block, before in groups:
+            for s, n in before.items():
+                assert block * ind.nats(s) <= ind.BLOCK_NATS + 1e-9 or block == 1
+                assert n * block * ind.nats(s) >= ind.FADED_NATS
+    assert len(ind._groups([9, 12, 26])) == 1
