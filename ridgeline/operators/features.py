@@ -72,6 +72,12 @@ def date_split(df: DataFrame, t: str, periods=PERIODS, out: str = "split") -> Da
     return df.withColumn(out, label)
 
 
+def period(df: DataFrame, t: str, lo: str, hi: str | None = None) -> DataFrame:
+    """Rows of ``[lo, hi]``."""
+    rows = df.filter(F.col(t) >= F.lit(dt.date.fromisoformat(lo)))
+    return rows if hi is None else rows.filter(F.col(t) <= F.lit(dt.date.fromisoformat(hi)))
+
+
 def slice_indicators(df: DataFrame, lo: str, hi: str | None = None, k: str = "ticker", t: str = "date",
                      x: str = "close_price", reseed=RESEEDED, **layout) -> DataFrame:
     """Rows of ``[lo, hi]`` with the columns the position rules read.
@@ -84,9 +90,7 @@ def slice_indicators(df: DataFrame, lo: str, hi: str | None = None, k: str = "ti
     unknown = set(reseed) - set(RESEEDED)
     if unknown:
         raise ValueError(f"no column to start afresh: {sorted(unknown)}")
-    rows = df.filter(F.col(t) >= F.lit(dt.date.fromisoformat(lo)))
-    if hi is not None:
-        rows = rows.filter(F.col(t) <= F.lit(dt.date.fromisoformat(hi)))
+    rows = period(df, t, lo, hi)
     mean, strength = "SMA_50" in reseed, "RSI" in reseed
 
     def step(d, w):

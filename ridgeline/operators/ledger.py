@@ -15,12 +15,12 @@ from collections.abc import Iterator
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ridgeline.functions.columns import missing, names
-from ridgeline.operators.ordered import hand_over, over_series, split
+from ridgeline.operators.ordered import BUCKET, Layout, hand_over, over_series, split
 from ridgeline.session import settle, shared_dir
 
 # Starting cash and the fee per trade.
@@ -31,7 +31,8 @@ FEE = 0.001
 ROUND = 1_000_000
 
 
-def trades(df: DataFrame, k, t: str, o: str, action: str, cash: float = CASH, fee: float = FEE) -> DataFrame:
+def trades(df: DataFrame, k, t: str, o: str, action: str, cash: float = CASH, fee: float = FEE,
+           laid: Layout | None = None) -> DataFrame:
     """Cash and units after each row on which something was bought or sold.
 
     With action 1 and more cash than the opening price, as many whole units as
@@ -41,19 +42,25 @@ def trades(df: DataFrame, k, t: str, o: str, action: str, cash: float = CASH, fe
 
     Runs jobs: the rows that can matter are stored in parts of about a million
     per key.  The parts are worked off in rounds, each from the state the round
-    before left, so no task takes more rows of a key than a part has.
+    before left, so no task takes more rows of a key than a part has.  With ``laid`` parts are cut
+    by the rows of the layout, of which those that can matter are at most all, and the
+    bucket of each trade is returned too.
     """
     keys = names(k)
-    fold = _fold(keys, t, cash, fee)
-    schema = T.StructType([*[df.schema[c] for c in [*keys, t]],
+    held = [BUCKET] if laid else []
+    fold = _fold([*keys], t, cash, fee, held)
+    schema = T.StructType([*[df.schema[c] for c in [*keys, t, *held]],
                            T.StructField("cash", T.DoubleType()), T.StructField("units", T.DoubleType())])
     fresh = {"_cash": F.lit(float(cash)), "_units": F.lit(0.0)}
     spark = df.sparkSession
     folder = f"{shared_dir(spark)}/trades-{uuid.uuid4().hex}"
-    possible = settle(_possible(df, keys, t, o, action))
-    split(possible, keys, t, rows=ROUND).drop("_home").write.partitionBy("_part").parquet(f"{folder}/rows")
-    stored = spark.read.schema(T.StructType([*possible.schema, T.StructField("_part", T.IntegerType())])).parquet(f"{folder}/rows")
-    last = stored.agg(F.max("_part")).first()[0]
+    possible = _possible(df, keys, t, o, action, laid)
+    if not laid:
+        possible = settle(possible)  # counted and stored
+    parts, seen = split(possible, keys, t, rows=ROUND, laid=laid).drop("_home"), Observation()
+    parts.observe(seen, F.max("_part").alias("last")).write.partitionBy("_part").parquet(f"{folder}/rows")
+    stored = spark.read.schema(T.StructType([*possible.schema, T.StructField("_part", T.LongType())])).parquet(f"{folder}/rows")
+    last = seen.get["last"]
     moves, state = [], None
     for number in range((-1 if last is None else last) + 1):
         part = stored.filter(F.col("_part") == number).drop("_part")
@@ -64,28 +71,29 @@ def trades(df: DataFrame, k, t: str, o: str, action: str, cash: float = CASH, fe
             part = part.withColumns({c: F.coalesce(F.col(c), start) for c, start in fresh.items()})
         work = part.repartition(*keys).sortWithinPartitions(*keys, t).mapInPandas(fold, schema)
         moves.append(settle(work))
-        known = moves[-1] if state is None else state.unionByName(moves[-1])
+        known = moves[-1].drop(*held) if state is None else state.unionByName(moves[-1].drop(*held))
         if number < last:
             state = settle(known.groupBy(*keys).agg(F.max_by(F.struct(t, "cash", "units"), t).alias("s")).select(*keys, "s.*"))
     return reduce(DataFrame.unionByName, moves) if moves else spark.createDataFrame([], schema)
 
 
-def _possible(df: DataFrame, keys: list[str], t: str, o: str, action: str) -> DataFrame:
+def _possible(df: DataFrame, keys: list[str], t: str, o: str, action: str, laid: Layout | None = None) -> DataFrame:
     """Rows on which a trade can happen, narrowed to what the fold reads.
 
     After a row without position nothing is left to sell, so a row with action 0
     matters only behind one with action 1.
     """
+    held = [BUCKET] if laid else []
     rows = df.filter(~missing(df, o)).select(
-        *keys, t, F.col(o).cast("double").alias("_open"), F.col(action).cast("int").alias("_act"))
+        *keys, t, *held, F.col(o).cast("double").alias("_open"), F.col(action).cast("int").alias("_act"))
     was = F.coalesce(F.col("_was"), F.lit(0))
     return over_series(
         rows, keys, t, 1,
-        lambda d, w: d.withColumn("_was", F.lag("_act").over(w)).filter((F.col("_act") == 1) | (was == 1))
-    ).select(*keys, t, "_open", "_act")
+        lambda d, w: d.withColumn("_was", F.lag("_act").over(w)).filter((F.col("_act") == 1) | (was == 1)), laid=laid
+    ).select(*keys, t, *held, "_open", "_act")
 
 
-def _fold(keys: list[str], t: str, cash: float, fee: float):
+def _fold(keys: list[str], t: str, cash: float, fee: float, held_over: list[str] = ()):
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         owner, money, held = None, cash, 0
         for batch in batches:
@@ -107,32 +115,33 @@ def _fold(keys: list[str], t: str, cash: float, fee: float):
                 done.append(i)
                 after.append((money, float(held)))
             if done:
-                out = batch.iloc[done][[*keys, t]].reset_index(drop=True)
+                out = batch.iloc[done][[*keys, t, *held_over]].reset_index(drop=True)
                 yield out.assign(cash=[a[0] for a in after], units=[a[1] for a in after])
     return fold
 
 
 def ledger_final(df: DataFrame, k, t: str, o: str, c: str, action: str,
-                 cash: float = CASH, fee: float = FEE) -> DataFrame:
-    """Value of each key's ledger on its last row."""
+                 cash: float = CASH, fee: float = FEE, laid: Layout | None = None, moves: DataFrame | None = None) -> DataFrame:
+    """Value of each key's ledger on its last row; ``moves`` are its ``trades`` where they are known already."""
     keys = names(k)
     last = df.groupBy(*keys).agg(F.max_by(c, t).alias("_close"))
-    state = trades(df, keys, t, o, action, cash, fee).groupBy(*keys).agg(
+    state = (trades(df, keys, t, o, action, cash, fee, laid) if moves is None else moves).groupBy(*keys).agg(
         F.max_by(F.struct("cash", "units"), t).alias("_state"))
     value = F.col("_state.cash") + F.col("_state.units") * F.col("_close")
     return last.join(state, keys, "left").select(*keys, F.coalesce(value, F.lit(cash)).alias("final_value"))
 
 
 def ledger_curve(df: DataFrame, k, t: str, o: str, c: str, action: str, cash: float = CASH,
-                 fee: float = FEE, width: int | None = None) -> DataFrame:
-    """Every row with ``portfolio_value``, the ledger's worth at its close."""
+                 fee: float = FEE, width: int | None = None, laid: Layout | None = None,
+                 moves: DataFrame | None = None) -> DataFrame:
+    """Every row with ``portfolio_value``, the ledger's worth at its close; ``moves`` as in ``ledger_final``."""
     keys = names(k)
-    moves = trades(df, keys, t, o, action, cash, fee)
+    moves = trades(df, keys, t, o, action, cash, fee, laid) if moves is None else moves
     state = F.when(F.col("_late") == 0, F.struct("cash", "units"))
     both = df.withColumn("_late", F.lit(1)).unionByName(
         moves.withColumn("_late", F.lit(0)), allowMissingColumns=True)
     start = F.struct(F.lit(cash).alias("cash"), F.lit(0.0).alias("units"))
-    known = hand_over(both, keys, t, state, "_state", start=start, width=width, tie="_late")
+    known = hand_over(both, keys, t, state, "_state", start=start, width=width, tie="_late", laid=laid)
     value = F.col("_state.cash") + F.col("_state.units") * F.col(c)
     return known.filter("_late = 1").select(*df.columns, value.alias("portfolio_value"))
 

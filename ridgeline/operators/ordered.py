@@ -12,7 +12,10 @@ on pieces of a key afterwards:
 * ``fill`` needs an unbounded look back; it works inside single buckets and
   takes from the bucket table what earlier (later) buckets hand over.
 
-Both run the count as a job of its own and store its result.  Spark then plans
+``lay`` does the count once for several steps on the same rows: it stores them with
+their bucket and returns a ``Layout`` that the steps take as ``laid``.
+
+Without it both run the count as a job of its own and store its result.  Spark then plans
 the join with the bucket table by its real size: a small one is broadcast and the
 rows are shuffled once, to their parts.  A bucket is named by where it begins.
 Buckets are joined until one holds a fair number of rows on average, so the table
@@ -26,8 +29,10 @@ within the key; rows without them belong to no series and are left out.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Observation, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,24 +45,65 @@ SHORT = 1_024  # buckets; a table of fewer needs no wider ones
 _FIRST, _LAST = Window.unboundedPreceding, Window.unboundedFollowing
 
 
-def _count(df: DataFrame, keys: list[str], t: str, width: float | None, rows: int,
-           collect: Callable[[Column | str, Column | str], Column] | None = None) -> tuple[DataFrame, DataFrame]:
-    """The rows with their bucket, and the table of buckets with ``_n`` rows each.
+BUCKET = "_bucket"
+
+
+@dataclass(frozen=True)
+class Layout:
+    """Where rows that carry their bucket belong: the keys, and the stored table of buckets with ``_n`` rows each.
+
+    It also fits what is left of the rows after some were dropped at the ends of a series, and, for steps
+    that look back one row or to the last known value, after any were dropped.
+    """
+
+    keys: tuple[str, ...]
+    sizes: DataFrame
+    total: int
+
+
+def lay(df: DataFrame, k, t: str, width: float | None = None, rows: int = ROWS) -> tuple[DataFrame, Layout]:
+    """The rows, stored with their ``_bucket``, and the layout they have; runs the count and stores each row once."""
+    keys = names(k)
+    tagged, sizes, total = _laid_out(df.drop(BUCKET), keys, t, width, rows)
+    return settle(tagged), Layout(tuple(keys), sizes if sizes.inputFiles() else settle(sizes), total)
+
+
+def _count(df: DataFrame, keys: list[str], t: str, width: float | None, rows: int) -> tuple[DataFrame, DataFrame]:
+    """The rows with their bucket, and the table of buckets with ``_n`` rows each."""
+    return _laid_out(df, keys, t, width, rows)[:2]
+
+
+def _laid_out(df: DataFrame, keys: list[str], t: str, width: float | None, rows: int,
+              collect: Callable[[Column | str, Column | str], Column] | None = None,
+              laid: Layout | None = None) -> tuple[DataFrame, DataFrame, int]:
+    """The rows with their bucket, the table of buckets with ``_n`` rows each, and the number of all rows (or more).
 
     ``collect(value, order)`` is an aggregate that also gives ``_left``, the ``_value`` a
     bucket leaves behind.
     """
+    if laid is not None:
+        if set(laid.keys) - set(keys):
+            raise ValueError(f"laid out by {laid.keys}, not by {keys}")
+        if collect is None:
+            return df, laid.sizes, laid.total
+        order = F.when(F.col("_value").isNotNull(), F.col(t))
+        handed = df.groupBy(*keys, BUCKET).agg(F.count(F.lit(1)).alias("_n"), collect("_value", order).alias("_left"))
+        return df, handed, laid.total
     place = time_place(df, t)
     whole = df.select(place.alias("p")).schema["p"].dataType == T.LongType()
     width = time_width(df, t, width)
     left = [] if collect is None else [collect("_value", F.when(F.col("_value").isNotNull(), F.col(t))).alias("_left")]
-    tagged = df.withColumn("_place", place).filter(F.col("_place").isNotNull())
+    tagged = df.withColumn("_place", place).filter(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in ["_place", *keys]]))
 
     def counted(rows_: DataFrame) -> DataFrame:
-        return settle(rows_.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"), *left))
-
-    sizes = counted(tagged.withColumn("_bucket", cell_start(F.col("_place"), F.lit(width), whole)))
-    total, largest, cells = sizes.agg(F.coalesce(F.sum("_n"), F.lit(0)), F.max("_n"), F.count(F.lit(1))).first()
+        return rows_.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"), *left)
+
+    # The tasks that store the buckets add them up as well.
+    seen = Observation()
+    first = counted(tagged.withColumn("_bucket", cell_start(F.col("_place"), F.lit(width), whole)))
+    sizes = stored = settle(first.observe(seen, F.coalesce(F.sum("_n"), F.lit(0)).alias("total"), F.max("_n").alias("largest"),
+                                          F.count(F.lit(1)).alias("cells")))
+    total, largest, cells = (seen.get[c] for c in ("total", "largest", "cells"))
     several = 1
     if cells > SHORT + 16 * total / rows:
         # Widths are doubled until buckets hold a sixteenth of a part on average, or keys have one or two each.
@@ -88,21 +134,24 @@ def _count(df: DataFrame, keys: list[str], t: str, width: float | None, rows: in
         cut = settle(again.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"), F.first("_width").alias("_width"), *left))
         sizes = sizes.drop("_width").join(dense, [*keys, "_bucket"], "left_anti").unionByName(cut, allowMissingColumns=True)
         tagged, at = tagged.drop("_width"), F.coalesce("_width", F.lit(finest))
-    return tagged.drop("_place"), sizes.drop("_width")
+    return tagged.drop("_place"), sizes if sizes is stored else sizes.drop("_width"), total
 
 
 def split(df: DataFrame, k, t: str, before: int = 0, ahead: bool = False,
-          width: int | None = None, rows: int | None = ROWS) -> DataFrame:
+          width: int | None = None, rows: int | None = ROWS, laid: Layout | None = None) -> DataFrame:
     """Add ``_part`` and ``_home``; each part also gets at least the ``before``
     rows preceding it and, with ``ahead``, the bucket following it.
 
     ``rows=None`` leaves every key whole, which saves the count and a shuffle
-    where all keys are known to be short.
+    where all keys are known to be short.  So are all if the whole table has no more rows than a part.
     """
     keys = names(k)
     if rows is None:
         return df.withColumns({"_part": F.lit(0), "_home": F.lit(True)})
-    tagged, sizes = _count(df, keys, t, width, rows)
+    tagged, sizes, total = _laid_out(df, keys, t, width, rows, laid=laid)
+    if total <= rows:
+        return tagged.select(*df.columns, F.lit(0).cast("long").alias("_part"), F.lit(True).alias("_home"))
+    keys = list(laid.keys) if laid else keys
     by_bucket = Window.partitionBy(*keys).orderBy("_bucket")
     placed = (
         sizes.withColumn("_end", F.sum("_n").over(by_bucket.rowsBetween(_FIRST, 0)))
@@ -168,7 +217,7 @@ def fill(df: DataFrame, k, t: str, x: str, out: str | None = None, direction: st
 
 def hand_over(df: DataFrame, k, t: str, value: Column, out: str, start: Column | None = None,
               shifted: str | None = None, direction: str = "forward",
-              width: int | None = None, tie: str | None = None) -> DataFrame:
+              width: int | None = None, tie: str | None = None, laid: Layout | None = None) -> DataFrame:
     """Running "latest known ``value``" of each key, ``start`` before there is any.
 
     ``shifted`` names a second output: the result of the preceding row.
@@ -176,17 +225,25 @@ def hand_over(df: DataFrame, k, t: str, value: Column, out: str, start: Column |
     if direction not in ("forward", "backward"):
         raise ValueError("direction is 'forward' or 'backward'")
     keys, forward = names(k), direction == "forward"
-    tagged, left = _count(df.withColumn("_value", value), keys, t, width, ROWS, F.max_by if forward else F.min_by)
+    tagged, left, total = _laid_out(df.withColumn("_value", value), keys, t, width, ROWS, F.max_by if forward else F.min_by, laid)
     step = F.asc if forward else F.desc
+    if total <= ROWS and width is None:
+        # No more rows than a part has: nothing is handed from one bucket to another.
+        return _inside(tagged, Window.partitionBy(*keys).orderBy(*[step(c) for c in ([t, tie] if tie else [t])]), [], out, start, shifted).drop(
+            "_value", *([] if laid else [BUCKET]))
     by_bucket = Window.partitionBy(*keys).orderBy(step("_bucket"))
     handed = left.select(
         *keys, "_bucket",
         F.last("_left", ignorenulls=True).over(by_bucket.rowsBetween(_FIRST, -1)).alias("_handed"))
     inside = Window.partitionBy(*keys, "_bucket").orderBy(*[step(c) for c in ([t, tie] if tie else [t])])
-    known = [F.last("_value", ignorenulls=True).over(inside.rowsBetween(_FIRST, 0)), F.col("_handed")]
-    others = [] if start is None else [start]
-    result = tagged.join(handed, [*keys, "_bucket"]).withColumn(out, F.coalesce(*known, *others))
+    result = _inside(tagged.join(handed, [*keys, "_bucket"]), inside, [F.col("_handed")], out, start, shifted)
+    return result.drop("_value", "_handed", *([] if laid else [BUCKET]))
+
+
+def _inside(rows: DataFrame, inside: WindowSpec, handed: list[Column], out: str, start: Column | None, shifted: str | None) -> DataFrame:
+    """Latest known ``_value`` by a window, then what was ``handed`` on from before it, then ``start``."""
+    others = [*handed, *([] if start is None else [start])]
+    result = rows.withColumn(out, F.coalesce(F.last("_value", ignorenulls=True).over(inside.rowsBetween(_FIRST, 0)), *others))
     if shifted:
-        result = result.withColumn(
-            shifted, F.coalesce(F.lag(out).over(inside), F.col("_handed"), *others))
-    return result.drop("_bucket", "_value", "_handed")
+        result = result.withColumn(shifted, F.coalesce(F.lag(out).over(inside), *others))
+    return result

@@ -5,19 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ridgeline.operators.ordered import hand_over
+from ridgeline.operators.ordered import Layout, hand_over
 
 SIGNAL, ACTION = "model_prediction", "strategy_action"
 
 
-def signal(df: DataFrame, k, t: str, on: Column, off: Column, width: int | None = None) -> DataFrame:
+def signal(df: DataFrame, k, t: str, on: Column, off: Column, width: int | None = None,
+           laid: Layout | None = None) -> DataFrame:
     """1 from a row where ``on`` holds, 0 from one where ``off`` holds, else as on the row before.
 
     ``on`` is asked first; a condition that is NULL does not hold.  The action is
     the preceding row's signal, both start at 0.
     """
     decided = F.when(on, 1).when(off, 0)
-    return hand_over(df, k, t, decided, SIGNAL, start=F.lit(0), shifted=ACTION, width=width)
+    return hand_over(df, k, t, decided, SIGNAL, start=F.lit(0), shifted=ACTION, width=width, laid=laid)
 
 
 # The thresholds of the three rules.

@@ -286,7 +286,7 @@ def features(spark, folder):
 
 @query
 def slice_indicators(spark, folder):
-    rows = ft.slice_indicators(settle(ft.features(fx.prices(spark, folder))), fx.PREDICT_FROM)
+    rows, _ = backtest.sliced(settle(ft.features(fx.prices(spark, folder))), fx.PREDICT_FROM)
     return rows.select("ticker", "date", "close_price", "SMA_50", "RSI", "MACD", "Signal_Line", "MACD_Signal")
 
 
@@ -349,34 +349,36 @@ def _period(spark, folder):
     return ft.features(fx.prices(spark, folder)).filter(F.col("date") >= F.lit(fx.PREDICT_FROM).cast("date"))
 
 
-def _first(spark, folder):
-    """Positions of the prediction period under the first strategy's rule, stored: several steps read them."""
+def _positions(spark, folder, first):
+    """Positions of the prediction period under a strategy's rules, stored: several steps read them; and their layout."""
     table = settle(ft.features(fx.prices(spark, folder)))
-    return settle(backtest.positions(table, fx.category(), fx.PREDICT_FROM, p=fx.chance(), first=True).select(
-        "category", "ticker", "date", "open_price", "close_price", "Target", sg.SIGNAL, sg.ACTION))
+    placed, laid = backtest.positions(table, fx.category(), fx.PREDICT_FROM, p=fx.chance(), first=first)
+    return settle(placed.select("category", "ticker", "date", "open_price", "close_price", "Target", od.BUCKET,
+                                sg.SIGNAL, sg.ACTION)), laid
 
 
 _SIGNAL = ("ticker", "date", sg.SIGNAL, sg.ACTION)
 
 
+def _signals(spark, folder, rule, first=False):
+    table = settle(ft.features(fx.prices(spark, folder)))
+    rows, laid = backtest.sliced(table, fx.PREDICT_FROM, first=first)
+    return sg.signal(rows.withColumn("p", fx.chance()), "ticker", "date", *rule, laid=laid).select(*_SIGNAL)
+
+
 @query
 def signal_hybrid(spark, folder):
-    return _first(spark, folder).select(*_SIGNAL)
+    return _signals(spark, folder, sg.hybrid_rule(), first=True)
 
 
 @query
 def signal_trend(spark, folder):
-    # A held signal reads its rows twice, so they are stored first.
-    table = settle(ft.features(fx.prices(spark, folder)))
-    rows = settle(backtest.sliced(table, fx.PREDICT_FROM).withColumn("p", fx.chance()))
-    return sg.signal(rows, "ticker", "date", *sg.trend_rule()).select(*_SIGNAL)
+    return _signals(spark, folder, sg.trend_rule())
 
 
 @query
 def signal_macd(spark, folder):
-    table = settle(ft.features(fx.prices(spark, folder)))
-    rows = settle(backtest.sliced(table, fx.PREDICT_FROM).withColumn("p", fx.chance()))
-    return sg.signal(rows, "ticker", "date", *sg.macd_rule()).select(*_SIGNAL)
+    return _signals(spark, folder, sg.macd_rule())
 
 
 _LEDGER = ("ticker", "date", "open_price", "close_price", sg.ACTION)
@@ -384,12 +386,14 @@ _LEDGER = ("ticker", "date", "open_price", "close_price", sg.ACTION)
 
 @query
 def ledger_final(spark, folder):
-    return lg.ledger_final(_first(spark, folder), *_LEDGER)
+    placed, laid = _positions(spark, folder, first=True)
+    return lg.ledger_final(placed, *_LEDGER, laid=laid)
 
 
 @query
 def ledger_curve(spark, folder):
-    return lg.ledger_curve(_first(spark, folder), *_LEDGER).select("ticker", "date", "portfolio_value")
+    placed, laid = _positions(spark, folder, first=True)
+    return lg.ledger_curve(placed, *_LEDGER, laid=laid).select("ticker", "date", "portfolio_value")
 
 
 @query
@@ -397,35 +401,26 @@ def buy_hold(spark, folder):
     return lg.buy_hold(_period(spark, folder), "ticker", "date", "open_price", "close_price")
 
 
-def _placed(spark, folder):
-    """Positions of the prediction period under each category's rule."""
-    table = settle(ft.features(fx.prices(spark, folder)))
-    return settle(backtest.positions(table, fx.category(), fx.PREDICT_FROM, p=fx.chance()).select(
-        "category", "ticker", "date", "open_price", "close_price", "Target", sg.SIGNAL, sg.ACTION))
-
-
 @query
 def best_by_category(spark, folder):
-    ranked = backtest.ranking(_placed(spark, folder))
-    best = lg.best_by(ranked, "category", "score", "ticker")
+    best = lg.best_by(backtest.ranking(*_positions(spark, folder, first=False)), "category", "score", "ticker")
     return best.select("category", "ticker", "final_value", "benchmark", "score")
 
 
 @query
 def goal_verdict(spark, folder):
-    ranked = backtest.ranking(_placed(spark, folder))
-    return lg.verdict(lg.best_by(ranked, "category", "score", "ticker"))
+    return lg.verdict(lg.best_by(backtest.ranking(*_positions(spark, folder, first=False)), "category", "score", "ticker"))
 
 
 @query
 def hybrid_results(spark, folder):
-    return backtest.valued(_first(spark, folder))
+    return backtest.valued(*_positions(spark, folder, first=True))
 
 
 @query
 def results_table(spark, folder):
     path = f"{shared_dir(spark)}/results-{uuid.uuid4().hex}"
-    files.write_results(backtest.valued(_placed(spark, folder)), path)
+    files.write_results(backtest.valued(*_positions(spark, folder, first=False)), path)
     return files.read_parquet(spark, path)
 
 

@@ -130,3 +130,36 @@ def test_rows_without_key_or_time_are_no_series(spark):
     df = spark.createDataFrame([("a", dt.date(2020, 1, 1), 1.0), (None, dt.date(2020, 1, 1), 2.0), ("a", None, 3.0)],
                                "ticker string, date date, close_price double")
     assert od.merge(od.split(df, "ticker", "date", 1), df).count() == 1
+
+
+@pytest.mark.parametrize("rows,width", [(od.ROWS, None), (40, 9)])
+def test_one_layout_for_several_steps(spark, monkeypatch, rows, width):
+    """Rows laid out once give what steps that count for themselves give, also after rows were dropped at the ends."""
+    from ridgeline.operators import ledger as lg
+    from ridgeline.operators import series as se
+    from ridgeline.operators import signals as sg
+
+    monkeypatch.setattr(od, "ROWS", rows)
+    monkeypatch.setattr(lg, "ROUND", 2 * rows)
+    pdf = walk(SIZES, seed=4)
+    pdf = pdf.assign(p=np.random.default_rng(4).random(len(pdf)))
+    df = shuffled(spark, pdf)
+    stored, laid = od.lay(df, "ticker", "date", width=width, rows=rows)
+    assert stored.count() == len(pdf) and laid.total == len(pdf) and (rows > len(pdf) or laid.sizes.count() > 20)
+    cut = lambda d: d.filter("date >= date'2000-03-01' and date < date'2002-01-01'")
+    rule = (F.col("p") > 0.9, F.col("p") < 0.2)
+    one = sg.signal(cut(stored), "ticker", "date", *rule, laid=laid)
+    two = sg.signal(cut(df), "ticker", "date", *rule, width=width)
+    assert od.BUCKET in one.columns
+    pd.testing.assert_frame_equal(collected(one.drop(od.BUCKET)), collected(two))
+    a = collected(se.sma(cut(stored), "ticker", "date", "close_price", 30, laid=laid, rows=rows))
+    b = collected(se.sma(cut(df), "ticker", "date", "close_price", 30))
+    np.testing.assert_allclose(a.SMA_30, b.SMA_30, rtol=1e-12)
+    columns = ("ticker", "date", "open_price", "close_price", sg.ACTION)
+    one, two = one.persist(), two.persist()
+    a, b = lg.ledger_curve(one, *columns, laid=laid), lg.ledger_curve(two, *columns)
+    pd.testing.assert_frame_equal(collected(a.drop(od.BUCKET)), collected(b))
+    a, b = (lg.ledger_final(d, *columns, **g).orderBy("ticker").toPandas() for d, g in ((one, {"laid": laid}), (two, {})))
+    pd.testing.assert_frame_equal(a, b)
+    with pytest.raises(ValueError):
+        od.split(stored, "p", "date", laid=laid)
