@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ridgeline.functions.columns import cell_bounds, cell_in, missing, names, value_bucket
+from ridgeline.functions.columns import cell_bounds, cell_in, missing, names, time_place, value_bucket
 from ridgeline.operators.ordered import attach
 from ridgeline.operators.series import pct_change
 from ridgeline.session import settle
@@ -98,8 +98,9 @@ def corr_matrix(df: DataFrame, k: str, t: str, x: str, keys: list[str], fill: st
     have a row, a key that has started has change 0.  Without, a pair uses the
     times at which both have a change.
 
-    Each task adds up its times into one square matrix per moment, so no pair is
-    ever emitted per time; the matrices of all tasks are then summed by pair.
+    Keys are cut into blocks of ``TILE``.  A task has the rows of two blocks at some hundred times and adds
+    them up into one matrix per moment, whatever the number of keys; the matrices are summed by pair.
+    No pair is emitted per time, and a row is copied once per block of keys.
     """
     if fill not in (None, "ffill"):
         raise ValueError("fill is None or 'ffill'")
@@ -108,25 +109,34 @@ def corr_matrix(df: DataFrame, k: str, t: str, x: str, keys: list[str], fill: st
     listed = df.filter(F.col(k).isin(keys)).select(k, t, x)
     changes = listed.select(k, t, F.when(~missing(df, x), F.col(x)).cast("double").alias("change")) if ready else (
         pct_change(listed, k, t, x, out="change").select(k, t, "change"))
+    number = F.array_position(F.array(*[F.lit(key) for key in keys]), F.col(k)).cast("int") - 1
+    place = time_place(df, t)
+    rows = changes.select(number.alias("key"), place.alias("t"), "change").filter("t IS NOT NULL")
+    begun = later = None
     if fill:
-        # A time at which only unlisted keys have a row still repeats every listed price.
-        nothing = F.lit(None)
-        others = df.filter(~F.col(k).isin(keys)).select(
-            nothing.cast(df.schema[k].dataType).alias(k), t, nothing.cast("double").alias("change"))
-        changes = changes.unionByName(others)
-    column = {key: f"_c{i}" for i, key in enumerate(keys)}
-    wide = changes.groupBy(t).pivot(k, keys).agg(F.max("change")).toDF(t, *column.values())
-    cells = [F.col(c) for c in column.values()]
-    if fill:
-        # One small array for the whole table: the first time of every listed key.
-        starts = listed.agg(F.array(*[F.min(F.when(F.col(k) == key, F.col(t))) for key in keys])).scalar()
-        wide = wide.withColumn("_starts", starts)
-        cells = [F.when(F.col(t) > F.get("_starts", F.lit(i)), F.coalesce(c, F.lit(0.0)))
-                 for i, c in enumerate(cells)]
-    sums = wide.select(F.array(*cells).alias("v")).mapInPandas(
-        _pair_sums(), "a int, b int, n double, sa double, sb double, saa double, sbb double, sab double")
+        # The first time of every listed key, and how many times of the whole table come after it.
+        found = dict(listed.groupBy(k).agg(F.min(place)).collect())
+        begun = [found.get(key) for key in keys]
+        later = _times_after(df.select(place.alias("t")).distinct(), begun)
+    blocks = -(-len(keys) // TILE)
+    own = F.floor(F.col("key") / TILE).cast("int")
+    tiles = F.transform(F.sequence(F.lit(0), F.lit(blocks - 1)), lambda b: F.struct(
+        F.least(b, own).alias("p"), F.greatest(b, own).alias("q")))
+    if isinstance(df.schema[t].dataType, T.DateType):
+        cell = F.floor(F.col("t") / TILE_TIMES)  # no more days than that
+    else:
+        times = rows.agg(F.approx_count_distinct("t")).first()[0]
+        cell = F.pmod(F.xxhash64("t"), F.lit(-(-max(times, 1) // TILE_TIMES)))
+    units = rows.withColumn("cell", cell).select("key", "t", "change", "cell", F.inline(tiles))
+    sums = units.groupBy("p", "q", "cell").applyInPandas(
+        _tile_sums(TILE, len(keys), begun), "a int, b int, n double, sa double, sb double, saa double, sbb double, sab double")
     total = sums.groupBy("a", "b").agg(*[F.sum(c).alias(c) for c in ("n", "sa", "sb", "saa", "sbb", "sab")])
-    n, label = F.col("n"), F.array(*[F.lit(key) for key in keys])
+    label = F.array(*[F.lit(key) for key in keys])
+    n = F.col("n")
+    if fill:
+        after = F.array(*[F.lit(float(v)) for v in later])
+        every = F.least(F.get(after, F.col("a")), F.get(after, F.col("b")))
+        total = total.withColumn("n", every)
     cov = F.col("sab") - F.try_divide(F.col("sa") * F.col("sb"), n)
     var_a = F.col("saa") - F.try_divide(F.col("sa") * F.col("sa"), n)
     var_b = F.col("sbb") - F.try_divide(F.col("sb") * F.col("sb"), n)
@@ -136,25 +146,47 @@ def corr_matrix(df: DataFrame, k: str, t: str, x: str, keys: list[str], fill: st
         F.when(defined, cov / F.sqrt(var_a * var_b)).alias("corr"), n.cast("long").alias("n"))
 
 
-def _pair_sums():
+# Keys of a block, and times that one task brings together.
+TILE, TILE_TIMES = 128, 512
+
+
+def _times_after(times: DataFrame, starts: list) -> list[int]:
+    """How many of ``times`` lie after each start; 0 for a key without rows. Counted by the starts each time lies after."""
+    known = {v: i for i, v in enumerate(sorted({v for v in starts if v is not None}))}
+    if not known:
+        return [0] * len(starts)
+    passed = F.size(F.filter(F.array(*[F.lit(v) for v in known]), lambda v: v < F.col("t")))
+    counts = dict(times.filter("t IS NOT NULL").groupBy(passed).count().collect())
+    return [0 if v is None else sum(c for i, c in counts.items() if i > known[v]) for v in starts]
+
+
+def _tile_sums(size: int, keys: int, begun: list | None):
     # Built here, not at module level, so that Spark ships the code itself and
     # the package need not be installed on the executors.
-    def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = None
-        for batch in batches:
-            if batch.empty:
-                continue
-            v = np.array(batch["v"].tolist(), dtype=float)
-            known = (~np.isnan(v)).astype(float)
-            v = np.nan_to_num(v)
-            squares = (v * v).T @ known
-            sums = v.T @ known
-            part = np.stack([known.T @ known, sums, sums.T, squares, squares.T, v.T @ v])
-            total = part if total is None else total + part
-        if total is not None:
-            a, b = np.triu_indices(total.shape[1], k=1)
-            moments = dict(zip(("n", "sa", "sb", "saa", "sbb", "sab"), total[:, a, b]))
-            yield pd.DataFrame({"a": a, "b": b} | moments)
+    def add_up(group, rows):
+        p, q = int(group[0]), int(group[1])
+        when, at = np.unique(rows["t"].to_numpy(), return_inverse=True)
+        key, change = rows["key"].to_numpy(), rows["change"].to_numpy(float)
+
+        def block(number):
+            v = np.full((len(when), size), np.nan)
+            mine = key // size == number
+            # Of rows that repeat a key and time the largest change counts.
+            np.fmax.at(v, (at[mine], key[mine] % size), change[mine])
+            if begun:
+                # A started key repeats its price where it has no row: its change there is 0.
+                for i, start in enumerate(begun[number * size:(number + 1) * size]):
+                    v[:, i] = np.nan if start is None else np.where(when > start, np.nan_to_num(v[:, i]), np.nan)
+            return np.nan_to_num(v), (~np.isnan(v)).astype(float)
+
+        x, in_x = block(p)
+        y, in_y = (x, in_x) if p == q else block(q)
+        parts = np.stack([in_x.T @ in_y, x.T @ in_y, in_x.T @ y, (x * x).T @ in_y, in_x.T @ (y * y), x.T @ y])
+        # All pairs of the tile, so that those without a common time are in the result too.
+        a, b = np.meshgrid(np.arange(size) + p * size, np.arange(size) + q * size, indexing="ij")
+        keep = (a < b) & (b < keys)
+        moments = dict(zip(("n", "sa", "sb", "saa", "sbb", "sab"), parts[:, keep]))
+        return pd.DataFrame({"a": a[keep].astype(np.int32), "b": b[keep].astype(np.int32)} | moments)
     return add_up
 
 

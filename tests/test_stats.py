@@ -150,3 +150,43 @@ def test_report(spark, scored):
     lines = {r["class"]: r for r in mt.class_report(never, "label", "pred").collect()}
     assert (lines["1"].precision, lines["1"].recall, lines["1"].f1) == (0.0, 0.0, 0.0)
     assert mt.confusion(never, "label", "pred").count() == 4
+
+
+@pytest.mark.parametrize("fill", [None, "ffill"])
+def test_correlations_in_tiles(spark, fill, monkeypatch):
+    """Blocks smaller than the list of keys, and few times a task, give the same matrix; no column per key."""
+    monkeypatch.setattr(st, "TILE", 3)
+    monkeypatch.setattr(st, "TILE_TIMES", 40)
+    pdf = walk({f"K{i}": 60 + 20 * i for i in range(8)}, seed=3, gap=0.6)
+    keys = [f"K{i}" for i in (6, 1, 0, 3, 7, 2, 9)]  # in any order; one has no rows, two are not listed
+    df = shuffled(spark, pdf)
+    got = {(r.key_a, r.key_b): r for r in st.corr_matrix(df, *KEY, keys=keys, fill=fill).collect()}
+    table = pdf.pivot_table(index="date", columns="ticker", values="close_price")
+    table = table.ffill().pct_change(fill_method=None) if fill else pd.DataFrame(
+        {k: g.sort_values("date").set_index("date").close_price.pct_change() for k, g in pdf.groupby("ticker")}).reindex(table.index)
+    some = [k for k in keys if k != "K9"]
+    for i, a in enumerate(some):
+        for b in some[i + 1:]:
+            both = table[[a, b]].dropna()
+            assert got[a, b].n == len(both) and got[a, b]["corr"] == pytest.approx(both[a].corr(both[b]), abs=1e-12)
+    # The same over numbers and timestamps as times.
+    for kind in ("bigint", "timestamp"):
+        other = df.withColumn("date", F.unix_date("date").cast("bigint") if kind == "bigint" else F.col("date").cast("timestamp"))
+        again = {(r.key_a, r.key_b): (r.n, r["corr"]) for r in st.corr_matrix(other, *KEY, keys=keys, fill=fill).collect()}
+        assert {k: v[0] for k, v in again.items()} == {k: r.n for k, r in got.items()}
+        assert all(v[1] is None and got[k]["corr"] is None or v[1] == pytest.approx(got[k]["corr"], abs=1e-12) for k, v in again.items())
+    plan = st.corr_matrix(df, *KEY, keys=keys, fill=fill)._jdf.queryExecution().optimizedPlan().toString()
+    assert "pivot" not in plan.lower()
+
+
+def test_correlations_of_many_keys(spark):
+    """Six hundred keys: a task holds two blocks of 128 and no more."""
+    keys, days = 600, 30
+    rng = np.random.default_rng(1)
+    pdf = pd.DataFrame({"ticker": np.repeat([f"k{i}" for i in range(keys)], days),
+                        "date": np.tile(pd.date_range("2020-01-01", periods=days).date, keys), "close_price": rng.normal(0, 1, keys * days)})
+    names = [f"k{i}" for i in range(keys)]
+    found = st.corr_matrix(spark.createDataFrame(pdf), *KEY, keys=names, ready=True).toPandas()
+    want = np.corrcoef(pdf.close_price.to_numpy().reshape(keys, days))
+    assert len(found) == keys * (keys - 1) // 2 and (found.n == days).all()
+    np.testing.assert_allclose(found["corr"], want[found.key_a.str[1:].astype(int), found.key_b.str[1:].astype(int)], atol=1e-10)
