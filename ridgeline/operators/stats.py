@@ -16,42 +16,44 @@ from ridgeline.operators.series import pct_change
 from ridgeline.session import settle
 
 
-def order_statistics(df: DataFrame, k, x: str, shares: list[float]) -> DataFrame:
-    """Exact quantiles per key with linear interpolation, as ``(key, share, value)``.
+def _value_buckets(df: DataFrame, keys: list[str], x: str) -> tuple[DataFrame, DataFrame]:
+    """The values as ``_x`` with their bucket, and the stored table of buckets: count, mean, spread, range.
 
-    Values are counted per key and value bucket first; the few buckets that hold a
-    wanted rank are counted again in slices, as many as their rows call for, and
-    only the slices that hold one are looked at value by value, so no task sees a
-    whole key, however narrow its values lie.  Equal values are counted before
-    anything is brought together.
+    Missing values are a bucket without a number, in which nothing is counted.
     """
-    keys = names(k)
-    rows = df.filter(~missing(df, x)).select(*keys, F.col(x).cast("double").alias("_x"))
-    rows = rows.withColumn("_bucket", value_bucket(F.col("_x"), 16_384))
+    rows = df.select(*keys, F.when(~missing(df, x), F.col(x).cast("double")).alias("_x"))
+    rows = rows.withColumn("_bucket", F.when(F.col("_x").isNotNull(), value_bucket(F.col("_x"), 16_384)))
+    return rows, settle(rows.groupBy(*keys, "_bucket").agg(
+        F.count("_x").alias("_n"), F.avg("_x").alias("_mean"), (F.var_pop("_x") * F.count("_x")).alias("_off"), *cell_bounds("_x")))
+
+
+def _quantiles(rows: DataFrame, counts: DataFrame, keys: list[str], shares: list[float]) -> DataFrame:
+    """``order_statistics`` from the bucket table: reads the rows once more, for the buckets that hold a rank."""
     ranks = F.array(*[F.struct(F.lit(q).alias("share"), (F.lit(q) * (F.col("_total") - 1)).alias("at"))
                       for q in shares])
 
-    def wanted(counts: DataFrame, group: list[str], by: str) -> DataFrame:
+    def wanted(pieces: DataFrame, group: list[str], by: str) -> DataFrame:
         """The counted pieces that hold a rank, with the rank at which each begins."""
         upto = Window.partitionBy(*group).orderBy(by).rowsBetween(Window.unboundedPreceding, 0)
         start = F.col("_start") + F.sum("_n").over(upto) - F.col("_n")
-        return counts.withColumn("_start", start).withColumn("_wanted", F.filter("_wanted", lambda r: (
+        return pieces.withColumn("_start", start).withColumn("_wanted", F.filter("_wanted", lambda r: (
             F.ceil(r["at"]) >= F.col("_start")) & (F.floor(r["at"]) < F.col("_start") + F.col("_n")))).filter(F.size("_wanted") > 0)
 
-    counts = rows.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"), *cell_bounds("_x"))
-    counts = counts.withColumn("_total", F.sum("_n").over(Window.partitionBy(*keys))).select(
+    counts = counts.filter("_n > 0").withColumn("_total", F.sum("_n").over(Window.partitionBy(*keys))).select(
         *keys, "_bucket", "_n", "_low", "_high", "_cells", F.lit(0).cast("long").alias("_start"), ranks.alias("_wanted"))
     buckets = settle(wanted(counts, keys, "_bucket"))
     # The stored buckets have a known size: a short table is sent to all tasks, by Spark's own limit.
-    held = rows.join(buckets.drop("_n"), [*keys, "_bucket"]).withColumn("_cell", cell_in(F.col("_x")))
     place = [*keys, "_bucket", "_cell"]
-    cells = settle(wanted(
-        held.groupBy(*place).agg(F.count(F.lit(1)).alias("_n"), F.first("_start").alias("_start"), F.first("_wanted").alias("_wanted")),
-        [*keys, "_bucket"], "_cell"))
+    held = rows.join(buckets.drop("_n"), [*keys, "_bucket"]).withColumn("_cell", cell_in(F.col("_x")))
+    # Equal values are one row from here on; what is stored is read twice, the input no more.
+    held = settle(held.groupBy(*place, "_x").agg(F.count(F.lit(1)).alias("_m"), F.first("_start").alias("_start"),
+                                                 F.first("_wanted").alias("_wanted")))
+    cells = wanted(
+        held.groupBy(*place).agg(F.sum("_m").alias("_n"), F.first("_start").alias("_start"), F.first("_wanted").alias("_wanted")),
+        [*keys, "_bucket"], "_cell")
     inside = Window.partitionBy(*place).orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
     values = (
-        held.select(*place, "_x").groupBy(*place, "_x").agg(F.count(F.lit(1)).alias("_m"))
-        .join(cells, place)
+        held.select(*place, "_x", "_m").join(settle(cells), place)
         .withColumn("_upto", F.col("_start") + F.sum("_m").over(inside))
         .withColumn("_from", F.col("_upto") - F.col("_m"))
         .select(*keys, "_x", "_from", "_upto", F.inline("_wanted"))
@@ -69,18 +71,38 @@ def order_statistics(df: DataFrame, k, x: str, shares: list[float]) -> DataFrame
     )
 
 
+def order_statistics(df: DataFrame, k, x: str, shares: list[float]) -> DataFrame:
+    """Exact quantiles per key with linear interpolation, as ``(key, share, value)``.
+
+    Values are counted per key and value bucket first; the few buckets that hold a
+    wanted rank are counted again in slices, as many as their rows call for, and
+    only the slices that hold one are looked at value by value, so no task sees a
+    whole key, however narrow its values lie.  Equal values are counted before
+    anything is brought together.  The input is read twice.
+    """
+    keys = names(k)
+    rows, counts = _value_buckets(df, keys, x)
+    return _quantiles(rows, counts, keys, shares)
+
+
 def describe_by(df: DataFrame, k, x: str) -> DataFrame:
-    """count, mean, std, min, quartiles and max of the present values per key."""
+    """count, mean, std, min, quartiles and max of the present values per key.
+
+    Count, mean, spread and range follow from the same table of value buckets that leads to the
+    quartiles, so the input is read twice.  A key without present values has a row with count 0.
+    """
     keys = names(k)
-    value = F.when(~missing(df, x), F.col(x))
-    plain = df.groupBy(*keys).agg(
-        F.count(value).alias("count"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"),
-        F.min(value).alias("min"), F.max(value).alias("max"))
+    rows, buckets = _value_buckets(df, keys, x)
+    n, whole = F.sum("_n"), Window.partitionBy(*keys)
+    centred = buckets.withColumn("_centre", F.try_divide(F.sum(F.col("_n") * F.col("_mean")).over(whole), F.sum("_n").over(whole)))
+    off = F.sum(F.col("_off") + F.col("_n") * (F.col("_mean") - F.col("_centre")) * (F.col("_mean") - F.col("_centre")))
+    plain = centred.groupBy(*keys).agg(
+        n.alias("count"), F.first("_centre").alias("mean"), F.when(n > 1, F.sqrt(F.try_divide(off, n - 1))).alias("std"),
+        F.min("_low").alias("min"), F.max("_high").alias("max"))
     quartiles = {"p25": 0.25, "p50": 0.50, "p75": 0.75}
-    spread = order_statistics(df, keys, x, list(quartiles.values())).groupBy(*keys).agg(
+    spread = _quantiles(rows, buckets, keys, list(quartiles.values())).groupBy(*keys).agg(
         *[F.max(F.when(F.col("share") == q, F.col("value"))).alias(name) for name, q in quartiles.items()])
-    return plain.join(spread, keys, "left").select(
-        *keys, "count", "mean", "std", "min", *quartiles, "max")
+    return plain.join(spread, keys, "left").select(*keys, "count", "mean", "std", "min", *quartiles, "max")
 
 
 def pivot_by(df: DataFrame, t: str, k: str, keys: list[str], x: str) -> DataFrame:

@@ -72,10 +72,15 @@ def top_rows(df: DataFrame, order: list[Column], n: int = 1) -> DataFrame:
 
 
 def top_per_hour(trips: DataFrame, zones: DataFrame, ts: str, role: str, n: int = 1,
-                 roles: dict[str, str] = ROLES) -> DataFrame:
+                   roles: dict[str, str] = ROLES) -> DataFrame:
     """The ``n`` busiest zones of each hour of the day.  Trips without a time count in no hour."""
+    timed = trips.withColumn("hr", F.hour(ts)).filter("hr IS NOT NULL")
+    return first_per_hour(zone_counts(timed, zones, {role: roles[role]}, by=["hr"]), role, n)
+
+
+def first_per_hour(counts: DataFrame, role: str, n: int = 1) -> DataFrame:
+    """The ``n`` rows of each ``hr`` with the most trips, ties by zone."""
     zone = f"{role}_Zone"
-    counts = zone_counts(trips.withColumn("hr", F.hour(ts)).filter("hr IS NOT NULL"), zones, {role: roles[role]}, by=["hr"])
     busiest = Window.partitionBy("hr").orderBy(F.desc("trip_count"), F.asc_nulls_last(zone))
     return (
         counts.withColumn("rank", F.row_number().over(busiest)).filter(F.col("rank") <= n)
@@ -83,18 +88,27 @@ def top_per_hour(trips: DataFrame, zones: DataFrame, ts: str, role: str, n: int
     )
 
 
+def visits(df: DataFrame, ts_in: str = "pickup_ts", ts_out: str = "dropoff_ts") -> DataFrame:
+    """Every trip at its two hours: (hr, start, end)."""
+    def visit(ts: str, starts: int) -> Column:
+        return F.struct(F.hour(ts).alias("hr"), F.lit(starts).cast("long").alias("start"), F.lit(1 - starts).cast("long").alias("end"))
+    return df.select(F.inline(F.array(visit(ts_in, 1), visit(ts_out, 0))))
+
+
 def hourly_in_out(df: DataFrame, ts_in: str = "pickup_ts", ts_out: str = "dropoff_ts") -> DataFrame:
     """Pickups and drop-offs per hour of the day, 0 where there is none of one kind.
 
     Every trip is counted at its two hours in one scan, which equals the full
     outer join of the two hourly counts.  Missing times count nowhere.
     """
-    def visit(ts: str, starts: int) -> Column:
-        return F.struct(F.hour(ts).alias("hr"), F.lit(starts).alias("start"))
-    visits = df.select(F.inline(F.array(visit(ts_in, 1), visit(ts_out, 0)))).filter("hr IS NOT NULL")
+    return per_hour(visits(df, ts_in, ts_out))
+
+
+def per_hour(visited: DataFrame) -> DataFrame:
+    """Sums of ``start`` and ``end`` per ``hr``."""
     return (
-        visits.groupBy("hr")
-        .agg(F.sum("start").alias("pickup_count"), F.sum(1 - F.col("start")).alias("dropoff_count"))
+        visited.filter("hr IS NOT NULL").groupBy("hr")
+        .agg(F.sum("start").alias("pickup_count"), F.sum("end").alias("dropoff_count"))
         .orderBy("hr")
     )
 

@@ -279,6 +279,24 @@ i AS (SELECT hour(pickup_ts) AS hr, count(*) AS n FROM named GROUP BY 1),
 o AS (SELECT hour(dropoff_ts) AS hr, count(*) AS n FROM named GROUP BY 1)
 SELECT CAST(coalesce(i.hr, o.hr) AS BIGINT) AS hr, coalesce(i.n, 0) AS pickup_count,
   coalesce(o.n, 0) AS dropoff_count FROM i FULL JOIN o ON i.hr = o.hr""",
+    "trip_answers": f"""WITH {NAMED}, route AS (SELECT Pickup_Zone AS zone, Dropoff_Zone AS other, count(*) AS n, avg(trip_distance) AS v
+  FROM named GROUP BY 1, 2 HAVING count(*) > 5 ORDER BY v DESC, zone, other LIMIT 1),
+five AS (SELECT Pickup_Zone AS zone, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, Pickup_Zone) AS place FROM named GROUP BY 1),
+far AS (SELECT Pickup_Zone AS zone, Dropoff_Zone AS other, trip_distance AS v FROM named ORDER BY trip_distance DESC, event_id LIMIT 1),
+ins AS (SELECT hour(pickup_ts) AS hr, Pickup_Zone AS zone, count(*) AS n FROM named WHERE pickup_ts IS NOT NULL GROUP BY 1, 2),
+outs AS (SELECT hour(dropoff_ts) AS hr, Dropoff_Zone AS zone, count(*) AS n FROM named WHERE dropoff_ts IS NOT NULL GROUP BY 1, 2),
+top_in AS (SELECT * FROM ins QUALIFY row_number() OVER (PARTITION BY hr ORDER BY n DESC, zone) = 1),
+top_out AS (SELECT * FROM outs QUALIFY row_number() OVER (PARTITION BY hr ORDER BY n DESC, zone) = 1),
+hi AS (SELECT hr, sum(n) AS n FROM ins GROUP BY 1), ho AS (SELECT hr, sum(n) AS n FROM outs GROUP BY 1),
+every AS (
+  SELECT 'most_expensive_route' AS question, NULL AS hr, zone, other, n, NULL AS other_n, v AS value FROM route
+  UNION ALL SELECT 'busiest_zone', NULL, zone, NULL, n, NULL, NULL FROM five WHERE place = 1
+  UNION ALL SELECT 'top5_zones', NULL, zone, NULL, n, NULL, NULL FROM five WHERE place <= 5
+  UNION ALL SELECT 'top_zone_per_hour', hr, zone, NULL, n, NULL, NULL FROM top_in
+  UNION ALL SELECT 'top_dropoff_zone_per_hour', hr, NULL, zone, n, NULL, NULL FROM top_out
+  UNION ALL SELECT 'busiest_hours', coalesce(hi.hr, ho.hr), NULL, NULL, coalesce(hi.n, 0), coalesce(ho.n, 0), NULL FROM hi FULL JOIN ho ON hi.hr = ho.hr
+  UNION ALL SELECT 'longest_trip', NULL, zone, other, NULL, NULL, v FROM far)
+SELECT question, CAST(hr AS BIGINT) AS hr, zone, other, CAST(n AS BIGINT) AS n, CAST(other_n AS BIGINT) AS other_n, round(value, 8) AS value FROM every""",
     "tip_correlation": f"""WITH {FARES} """ + column_rows(
         "fares", TIP_PAIRS, "round(corr(tip_amount, {c}), 8) AS correlation"),
     "src_csv_roundtrip": f"""SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey,
@@ -295,6 +313,8 @@ SELECT ticker, {DAY}, {r('open_price')}, {r('high_price')}, {r('low_price')}, {r
     "normalize_bars": f"WITH {RAW} SELECT {BAR} FROM raw",
     "bars_range": f"""WITH {PRICES} SELECT {BAR} FROM prices
 WHERE prices.date >= DATE '1998-01-01' AND prices.date < DATE '1999-01-01'""",
+    "bars_range_stored": f"""WITH {PRICES} SELECT {BAR} FROM prices
+WHERE prices.date >= DATE '1997-06-01' AND prices.date < DATE '1999-01-01' AND ticker IN ('S1', '^I4')""",
     "bars_in_list": f"WITH {PRICES} SELECT {BAR} FROM prices WHERE ticker IN ('S1', '^I4', 'S9')",
     "clean_bars": f"WITH {PRICES} SELECT {BAR} FROM prices",
     "clean_report": f"""WITH {PRICES}

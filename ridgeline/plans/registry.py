@@ -113,6 +113,11 @@ def tip_correlation(spark, folder):
                         ["trip_distance", "fare_amount", "total_amount", "tolls_amount"])
 
 
+@query
+def trip_answers(spark, folder):
+    return trip_report.long_report(fx.trips(spark, folder), fx.zones(spark, folder), "event_id", "trip_distance")
+
+
 # Ingestion and cleaning
 
 @query
@@ -166,6 +171,13 @@ def bars_range(spark, folder):
     return cl.between(fx.prices(spark, folder), "date", "1998-01-01", "1999-01-01")
 
 
+@query
+def bars_range_stored(spark, folder):
+    path = f"{shared_dir(spark)}/prices-{uuid.uuid4().hex}"
+    files.write_ranged(fx.prices(spark, folder), path, "ticker", "date")
+    return files.read_range(spark, path, "date", "1997-06-01", "1999-01-01", "ticker", ["S1", "^I4"])
+
+
 @query
 def bars_in_list(spark, folder):
     return cl.in_list(fx.prices(spark, folder), "ticker", ["S1", "^I4", "S9"])

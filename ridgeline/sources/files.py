@@ -62,7 +62,7 @@ def move_new(spark: SparkSession, source: str, target: str) -> None:
             raise OSError(f"{source} could not be moved to {target}")
 
 
-def write_results(df: DataFrame, path: str, partition_by: str | None = None) -> None:
+def write_results(df: DataFrame, path: str, partition_by: str | None = None, options: dict | None = None) -> None:
     """Replace the results table at ``path``, or leave the one there as it is if that fails.
 
     The new table is written beside it and read back: only with as many rows as were written does it take
@@ -75,7 +75,7 @@ def write_results(df: DataFrame, path: str, partition_by: str | None = None) ->
     recover(spark, path)
     # The rows are counted by the tasks that write them, without another pass over the input.
     seen = Observation()
-    writer = df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("errorifexists")
+    writer = df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("errorifexists").options(**(options or {}))
     if partition_by:
         writer = writer.partitionBy(partition_by)
     (new, system), (target, _), (aside, _) = _at(spark, staged), _at(spark, path), _at(spark, old)
@@ -103,3 +103,27 @@ def recover(spark: SparkSession, path: str) -> None:
             system.delete(aside, True)
         elif not system.rename(aside, target):
             raise OSError(f"{path}.old could not be moved back")
+
+
+PERIOD = "_period"
+
+
+def write_ranged(df: DataFrame, path: str, k: str, t: str, rows_per_file: int = 5_000_000, rows_per_group: int = 100_000) -> None:
+    """A series table from which a range of times is read without the rest: one folder per year of ``t``, rows by key and time.
+
+    Files are ranges of (year, key, time) and sorted, so a row group holds one stretch of a key, and its least and
+    greatest values tell whether it can be skipped. Rows without a time are in a folder of their own. Replaces what was there.
+    """
+    dated = df.withColumn(PERIOD, F.year(t))
+    order = [PERIOD, k, t]
+    laid = dated.repartitionByRange(*order).sortWithinPartitions(*order)
+    write_results(laid, path, PERIOD, {"maxRecordsPerFile": rows_per_file, "parquet.block.row.count.limit": rows_per_group})
+
+
+def read_range(spark: SparkSession, path: str, t: str, lo: str, hi: str, k: str | None = None, keys: list | None = None) -> DataFrame:
+    """Rows of ``[lo, hi)`` of a table by ``write_ranged``, of the listed keys if any are named."""
+    first, end = F.lit(lo).cast("date"), F.lit(hi).cast("date")
+    # The last moment of the range is in the year before ``hi`` if that is a first of January.
+    years = F.col(PERIOD).between(F.year(first), F.year(F.date_sub(end, 1)))
+    found = spark.read.parquet(path).filter(years & (F.col(t) >= first) & (F.col(t) < end)).drop(PERIOD)
+    return found if keys is None else found.filter(F.col(k).isin(keys))

@@ -109,6 +109,55 @@ def test_results_replace_what_was_there(spark, tmp_path):
     assert files.read_parquet(spark, path).count() == 2
 
 
+def test_a_failing_write_leaves_the_results_as_they_were(spark, tmp_path):
+    path = str(tmp_path / "results")
+    files.write_results(spark.range(5), path)
+    broken = spark.range(9).select(F.when(F.col("id") == 7, F.raise_error(F.lit("stopped"))).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="stopped"):
+        files.write_results(broken, path)
+    assert sorted(r.id for r in files.read_parquet(spark, path).collect()) == list(range(5))
+    assert [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["results"]
+
+
+@pytest.mark.parametrize("new_is_there", [False, True])
+def test_a_swap_cut_short_is_finished(spark, tmp_path, new_is_there):
+    """A job that ended between the two renames, or before the old table was deleted."""
+    path, old = str(tmp_path / "results"), str(tmp_path / "results.old")
+    spark.range(5).write.parquet(old)
+    if new_is_there:
+        spark.range(3).write.parquet(path)
+    files.recover(spark, path)
+    assert files.read_parquet(spark, path).count() == (3 if new_is_there else 5) and not files.exists(spark, old)
+    files.write_results(spark.range(2), path)
+    assert files.read_parquet(spark, path).count() == 2 and not files.exists(spark, old)
+
+
+def test_a_range_reads_only_its_files_and_row_groups(spark, tmp_path):
+    """Ten keys over twelve years: the scan of some months of two keys gives little more than their rows."""
+    path = str(tmp_path / "prices")
+    days = spark.range(4000).select(F.date_add(F.lit("2010-01-01").cast("date"), F.col("id").cast("int")).alias("date"), "id")
+    keys = spark.range(10).select(F.concat(F.lit("k"), "id").alias("ticker"))
+    rows = days.crossJoin(keys).repartition(5)
+    files.write_ranged(rows.unionByName(rows.limit(1).withColumn("date", F.lit(None).cast("date"))), path, "ticker", "date", rows_per_file=2000, rows_per_group=100)
+    assert spark.read.parquet(path).count() == 40_001
+
+    def scanned(df):
+        got = df.collect()
+        plan = df._jdf.queryExecution().executedPlan()
+        plan = plan.finalPhysicalPlan() if "Adaptive" in plan.nodeName() else plan
+        scan = plan.collectLeaves().head()
+        return got, scan.metrics().apply("numOutputRows").value(), scan.metrics().apply("numFiles").value()
+
+    lo, hi = "2014-03-01", "2014-06-01"
+    got, read, opened = scanned(files.read_range(spark, path, "date", lo, hi, "ticker", ["k3", "k7"]))
+    want = rows.filter((F.col("date") >= F.lit(lo)) & (F.col("date") < F.lit(hi)) & F.col("ticker").isin("k3", "k7"))
+    assert len(got) == want.count() == 184 and read <= 1000 and opened < 10  # of 40,000 rows, 3,650 of them of that year
+    got, read, _ = scanned(files.read_range(spark, path, "date", "2014-12-31", "2015-01-01"))
+    assert len(got) == 10 and read < 3650
+    got, read, opened = scanned(files.read_range(spark, path, "date", "2009-01-01", "2010-01-01"))
+    assert not got and not read and not opened
+
+
 class Recorder:
     """Stands in for a writer or reader and keeps what it was told; no database is opened."""
 

@@ -99,3 +99,28 @@ def test_report_and_statistics(trips, zones):
 def test_zone_join_runs_after_the_counting(trips, zones):
     plan = tr.zone_counts(trips, zones, {"Pickup": "PULocationID"})._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Aggregate") < plan.index("Join") < plan.rindex("Aggregate")
+
+
+def test_report_equals_the_single_questions(trips, zones, tmp_path, spark):
+    """All answers from one aggregate are those of the questions asked one by one; the trips are read twice."""
+    path = str(tmp_path / "trips")
+    trips.write.parquet(path)
+    read = spark.read.parquet(path)
+    report = trip_report.trip_report(read, zones, "n")
+    timed = tr.canonical_times(trips)
+    single = {
+        "trip_stats": tr.summary(timed, trip_report.statistics()), "most_expensive_route": trip_report.most_expensive_route(timed, zones),
+        "busiest_zone": trip_report.busiest_zones(timed, zones, 1), "top5_zones": trip_report.busiest_zones(timed, zones, 5),
+        "longest_trip": trip_report.longest_trip(timed, zones, "n", ["trip_distance", "total_amount"]),
+        "top_zone_per_hour": tr.top_per_hour(timed, zones, "pickup_ts", "Pickup"),
+        "top_dropoff_zone_per_hour": tr.top_per_hour(timed, zones, "dropoff_ts", "Dropoff"), "busiest_hours": tr.hourly_in_out(timed),
+        "tip_correlation": tr.corr_with(timed, "tip_amount", trip_report.FARES)}
+    assert set(report) == set(single)
+    for name, want in single.items():
+        got, want = rows(report[name]), rows(want)
+        assert len(got) == len(want), name
+        for a, b in zip(got, want):
+            assert [x if not isinstance(x, float) else pytest.approx(x, abs=1e-9) for x in b] == list(a), name
+    of_trips = [name for name, df in report.items() if "dropoff_datetime" in df._jdf.queryExecution().analyzed().toString() or "tip_amount" in
+                df._jdf.queryExecution().analyzed().toString()]
+    assert [n for n in of_trips if n != "tip_correlation"] == ["longest_trip"]
