@@ -45,7 +45,7 @@ def op4_mixing(spark, folder):
 
 @query
 def op5_katz_lm(spark, folder):
-    return katz.score(table(spark, folder, "documents"), stored=True).select(
+    return katz.score(table(spark, folder, "documents"), stored=True, order=3).select(
         "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 

@@ -21,19 +21,22 @@ def learns(i):
 class Plain:
     """The same model by dictionaries."""
 
-    def __init__(self, docs):
-        self.uni, self.bi, self.after = Counter(), defaultdict(Counter), Counter()
+    def __init__(self, docs, order=2):
+        self.order = order
+        # By order: how often words follow a history (a tuple, the last word last), and how often it occurs.
+        self.n_grams = [defaultdict(Counter) for _ in range(order)]
         for i, text in docs:
             if learns(i):
-                s = ["<s>", *self.tokens(text)]
-                for a, b in zip(s, s[1:]):
-                    self.uni[b] += 1
-                    self.bi[a][b] += 1
-                    self.after[a] += 1
+                s = ["<s>"] * (order - 1) + self.tokens(text)
+                for at in range(order - 1, len(s)):
+                    for k in range(order):
+                        self.n_grams[k][tuple(s[at - k:at])][s[at]] += 1
+        self.after = [{h: sum(c.values()) for h, c in level.items()} for level in self.n_grams]
         of = lambda values: katz.discounts([sum(v == r for v in values) for r in range(1, 7)])
-        self.d1, self.d2 = of(list(self.uni.values())), of([c for h in self.bi.values() for c in h.values()])
+        self.d = [of([c for h in level.values() for c in h.values()]) for level in self.n_grams]
+        self.uni = self.n_grams[0][()]
         self.n = sum(self.uni.values())
-        self.unknown = 1 - sum(self.cut(c, self.d1) for c in self.uni.values()) / self.n if self.n else 1.0
+        self.unknown = 1 - sum(self.cut(c, self.d[0]) for c in self.uni.values()) / self.n if self.n else 1.0
         self.weights = {}
 
     @staticmethod
@@ -44,53 +47,67 @@ class Plain:
     def cut(c, d):
         return c * d[c - 1] if c <= 5 else c - katz.GIVEN
 
-    def p1(self, w):
-        return self.cut(self.uni[w], self.d1) / self.n if w in self.uni else self.unknown
-
     def weight(self, h):
         if h not in self.weights:
-            seen = self.bi.get(h)
-            self.weights[h] = 1.0 if not seen else (1 - sum(self.cut(c, self.d2) for c in seen.values()) / self.after[h]) / (1 - sum(map(self.p1, seen)))
+            seen = self.n_grams[len(h)].get(h)
+            self.weights[h] = 1.0 if not seen else (1 - sum(self.cut(c, self.d[len(h)]) for c in seen.values()) / self.after[len(h)][h]) / (
+                1 - sum(self.p(h[1:], w) for w in seen))
         return self.weights[h]
 
     def p(self, h, w):
-        if w in self.bi.get(h, ()):
-            return self.cut(self.bi[h][w], self.d2) / self.after[h]
-        return self.weight(h) * self.p1(w)
+        seen = self.n_grams[len(h)].get(h, ())
+        if w in seen:
+            return self.cut(seen[w], self.d[len(h)]) / self.after[len(h)][h]
+        return self.weight(h) * self.p(h[1:], w) if h else self.unknown
 
     def row(self, i, text):
         t = self.tokens(text)
         base = sum(math.log10((self.uni[w] + 0.1) / (self.n + 0.1 * (len(self.uni) + 1))) for w in t)
-        return (i, not learns(i), len(t), sum(w in self.uni for w in t), self.n, base, sum(math.log10(self.p(h, w)) for h, w in zip(["<s>", *t], t)))
+        s = ["<s>"] * (self.order - 1) + t
+        score = sum(math.log10(self.p(tuple(s[j:j + self.order - 1]), w)) for j, w in enumerate(t))
+        return (i, not learns(i), len(t), sum(w in self.uni for w in t), self.n, base, score)
 
 
-def same_scores(found, docs):
-    model = Plain(docs)
+def same_scores(found, docs, order=2):
+    model = Plain(docs, order)
     key = lambda r: (r[0] is None, r[0] or 0, r[2], r[6])
     got = sorted(((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in found.collect()), key=key)
     want = sorted((model.row(*d) for d in docs), key=key)
     assert [g[:5] for g in got] == [w[:5] for w in want]
-    assert [g[5:] for g in got] == [pytest.approx(w[5:], rel=1e-9, abs=1e-7) for w in want]
+    assert [g[5:] for g in got] == [pytest.approx(w[5:], rel=1e-8, abs=1e-7) for w in want]
     return model
 
 
-@pytest.mark.parametrize("options", [{}, {"bucket_bytes": 20_000, "hot": 200}])
+@pytest.mark.parametrize("options", [{}, {"bucket_bytes": 20_000, "hot": 200}, {"order": 3}, {"order": 3, "bucket_bytes": 20_000, "hot": 30},
+                                     {"order": 4, "bucket_bytes": 100_000, "hot": 100}])
 def test_scores_against_dictionaries(spark, options, monkeypatch):
+    """Orders two to four; words after a history sum to one, seen ones and all others."""
     monkeypatch.setattr(katz, "PART_TOKENS", 20_000)
     df = table(spark, SF, "documents").select("doc_id", "text").repartition(3)
     docs = [(r.doc_id, r.text) for r in df.collect()]
-    model = same_scores(katz.score(df, **options), docs)
-    for h in ["<s>", b"the", b"der", *docs[3][1].encode().lower().split()[:5]]:
+    order = options.get("order", 2)
+    model = same_scores(katz.score(df, **options), docs, order)
+    seen = docs[3][1].encode().lower().split()[:5]
+    for h in [("<s>",), (b"the",), (b"der",), *((w,) for w in seen), *(tuple(seen[i:i + order - 1]) for i in range(3)), ("<s>",) * (order - 1)]:
         assert sum(model.p(h, w) for w in model.uni) + model.p(h, "unknown") == pytest.approx(1, abs=1e-9)
 
 
+def test_longer_histories_tell_more_of_seen_texts(spark):
+    docs = table(spark, SF, "documents").limit(300)
+    seen = [katz.score(docs, order=k).filter("NOT held_out").agg(F.sum("score")).first()[0] for k in (2, 3)]
+    assert seen[1] > 0.7 * seen[0]
+    with pytest.raises(ValueError):
+        katz.score(docs, order=1)
+
+
 def test_model_beats_base_on_held_out(spark):
     a, b = katz.score(table(spark, SF, "documents"), stored=True).filter("held_out").agg(F.sum("score"), F.sum("base_score")).first()
     assert a > 0.75 * b
 
 
 def test_odd_scores(spark, odd_docs, no_docs):
-    same_scores(katz.score(odd_docs), [(r.doc_id, r.text) for r in odd_docs.collect()])
+    for order in (2, 3):
+        same_scores(katz.score(odd_docs, order=order), [(r.doc_id, r.text) for r in odd_docs.collect()], order)
     assert katz.score(no_docs).count() == 0
     none_learned = odd_docs.filter("doc_id IS NULL")
     assert {r.score for r in katz.score(none_learned.filter("text IS NULL")).collect()} == {0.0}
