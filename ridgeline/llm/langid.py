@@ -81,8 +81,9 @@ class Model:
 def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model:
     """Count letter groups per language over all labelled rows, then see what the rows score in their own language.
 
-    Tasks add up their own rows and Spark adds up the tasks; the driver gets one row of 65,536
-    counts per language. Rows with a null language, and null or empty texts, teach nothing.
+    Tasks add up their own rows and Spark adds up the tasks; the driver gets 65,536
+    counts per language. Rows with a null language, and null or empty texts, teach nothing. More than
+    ``MOST_LANGUAGES`` languages raise.
     """
     rows = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).filter("lang IS NOT NULL")
 
@@ -224,7 +225,8 @@ def identify(df: DataFrame, model: Model, id_col: str, text_col: str, codes: lis
     t, totals = rows, []
     for k in range(len(levels)):
         group = [f"g{j}" for j in range(k + 1)]
-        t = _beside(t, rows.filter(F.col(f"g{k}").isNotNull()).groupBy(*group).agg(array_sum.alias(f"level{k}")), group, f"level{k}")
+        # Stored, so that a group with most rows is a join that Spark can split.
+        t = _beside(t, settle(rows.filter(F.col(f"g{k}").isNotNull()).groupBy(*group).agg(array_sum.alias(f"level{k}"))), group, f"level{k}")
     for k in range(len(codes)):
         counts = settle(rows.filter(F.col(f"c{k}").isNotNull()).groupBy(f"c{k}").agg(array_sum.alias(f"code{k}")))
         of_lang = counts.agg(F.array(*[F.sum(F.col(f"code{k}")[i]) for i in range(len(langs))]).alias("n"), F.count(F.lit(1)).alias("kinds")).first()
@@ -262,7 +264,11 @@ def _beside(t: DataFrame, counts: DataFrame, keys: list[str], name: str) -> Data
 
 
 def page_evidence(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """page_id, text, markup (declared language), path (language code that starts the path), suffix, domain, host."""
+    """page_id, text, markup (declared language), path (language code that starts the path), suffix, domain, host.
+
+    Null and empty pages have an empty text, and null or malformed addresses no path, suffix, domain or host: no evidence. Pages are
+    read whole, however long. Repeated rows keep their rows; an empty table gives none; other columns are not read.
+    """
     html, url = text_or_empty(html_col), text_or_empty(url_col)
     text = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", " ")
     text = F.regexp_replace(text, r"&#?\w{1,10};", " ")
@@ -275,6 +281,7 @@ def page_evidence(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
 
 
 def identify_pages(pages: DataFrame, model: Model, **columns: str) -> DataFrame:
+    """``identify`` on ``page_evidence``, by whose rules and those of ``identify`` odd rows are judged: one row per page."""
     evidence = page_evidence(pages, **columns)
     return identify(evidence, model, "page_id", "text", ["markup", "path"], ["suffix", "domain", "host"])
 
@@ -289,9 +296,11 @@ def in_known_language(docs: DataFrame, least: float = 0.5, most_below: float = M
     """
     model = train(docs, text_col, lang_col)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    flat = docs.select(F.xxhash64(text_or_empty(text_col), F.coalesce(F.col(source_col).cast("string"), F.lit(""))).alias("_key"),
-                       F.col(text_col).alias("_text"), F.col(source_col).alias("_source"))
+    both = (text_or_empty(text_col), F.coalesce(F.col(source_col).cast("string"), F.lit("")))
+    # Two 64-bit hashes: one alone would let a rejected text take another with it among many billions.
+    key = F.concat_ws(":", F.xxhash64(*both), F.xxhash64(F.lit("second"), *both)).alias("_key")
+    flat = docs.select(key, F.col(text_col).alias("_text"), F.col(source_col).alias("_source"))
     found = identify(flat, model, "_key", "_text", [], ["_source"])
     reject = found.filter((F.col("lang") == UNKNOWN) | (F.col("probability") < least) | (F.col("below") > most_below)).select("_key").distinct()
-    keyed = docs.select(row.alias("row"), F.xxhash64(text_or_empty(text_col), F.coalesce(F.col(source_col).cast("string"), F.lit(""))).alias("_key"))
+    keyed = docs.select(row.alias("row"), key)
     return keyed.join(reject, "_key", "left_anti").select("row.*")

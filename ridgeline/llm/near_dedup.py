@@ -84,21 +84,22 @@ def _profiles(docs: DataFrame, k: int) -> DataFrame:
                     size.append(len(found))
                     bands.append(band_keys(minima(found, a, b)) if len(found) else None)
                 yield pa.record_batch({
-                    "doc_id": part.column("doc_id"), "row_key": part.column("row_key"),
+                    "doc_id": part.column("doc_id"), "row_key": part.column("row_key"), "row_key2": part.column("row_key2"),
                     "digest": pa.array(digest, pa.binary()), "n_shingles": pa.array(size, pa.int64()),
                     "bands": pa.array(bands, pa.list_(pa.int64()))})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"doc_id {kind}, row_key long, digest binary, n_shingles long, bands array<long>")
+    return docs.mapInArrow(run, f"doc_id {kind}, row_key long, row_key2 long, digest binary, n_shingles long, bands array<long>")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """(node, n, sig, items) for the ``wanted`` (row_key, node).
+    """(node, n, sig, items) for the stored ``wanted`` (row_key, row_key2, node).
 
-    A bitmap of the wanted rows keeps the other texts from being cut into words and moved; the join afterwards
-    removes what the bitmap let through.
+    A bitmap of the wanted rows, as large as their number asks for, keeps the other texts from being cut into words and
+    moved; the join afterwards removes what the bitmap let through.
     """
-    bitmap, bits = screen.bitmap(wanted.select("row_key")), screen.BITS
+    bits = screen.bits_for(wanted.count())
+    bitmap = screen.bitmap(wanted.select("row_key"), bits)
 
     def run(batches):
         hashes, (a, b) = kn.WordHashes(), multipliers()
@@ -106,21 +107,28 @@ def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
             keys = batch.column("row_key").to_numpy(zero_copy_only=False).astype(np.int64)
             keep = np.flatnonzero(kn.in_bitmap(bitmap.value, bits, keys.view(np.uint64)))
             texts = batch.column("text")
+            second = batch.column("row_key2")
             row, sig, items = [], [], []
+
+            def made():
+                return pa.record_batch({"row_key": pa.array(keys[row]), "row_key2": second.take(pa.array(row, pa.int64())),
+                                        "sig": pa.array(sig, pa.binary()), "items": pa.array(items, pa.binary())})
+
             for i in keep.tolist():
                 found = shingles(kn.space_words(texts[i].as_py()), k, hashes)
                 if len(found):
-                    row.append(keys[i])
+                    row.append(i)
                     sig.append(minima(found, a, b).tobytes())
                     items.append(found.tobytes())
                 if len(row) == 256:
-                    yield pa.record_batch({"row_key": pa.array(row, pa.int64()), "sig": pa.array(sig, pa.binary()), "items": pa.array(items, pa.binary())})
+                    yield made()
                     row, sig, items = [], [], []
-            yield pa.record_batch({"row_key": pa.array(row, pa.int64()), "sig": pa.array(sig, pa.binary()), "items": pa.array(items, pa.binary())})
+            if row:
+                yield made()
 
-    found = docs.select("row_key", "text").mapInArrow(run, "row_key long, sig binary, items binary")
+    found = docs.select("row_key", "row_key2", "text").mapInArrow(run, "row_key long, row_key2 long, sig binary, items binary")
     # Rows repeated with id and text give the same set twice.
-    once = found.join(wanted, "row_key").groupBy("node").agg(F.first("sig").alias("sig"), F.first("items").alias("items"))
+    once = found.join(wanted, ["row_key", "row_key2"]).groupBy("node").agg(F.first("sig").alias("sig"), F.first("items").alias("items"))
     return settle(once.withColumn("n", F.octet_length("items") / 8))
 
 
@@ -147,7 +155,8 @@ def _open_units(rows: DataFrame, roots: DataFrame) -> DataFrame:
 
     Inside a bucket all have been compared with its smallest node. Rows whose root is the
     bucket's commonest one need no comparison with each other, so each block of the others
-    meets each block of all: rows grow with the bucket, not with its square.
+    meets each block of all. Rows grow with the bucket if few are left over; a bucket of m nodes
+    that mostly stay apart, as texts with much in common but too little, makes m * m / BLOCK rows.
     """
     rooted = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     counts = rooted.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("c"))
@@ -223,7 +232,7 @@ def _more_links(rows: DataFrame, roots: DataFrame, sets: DataFrame, percent: int
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4, percent: int = 80) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept, row_key, first_key.
+    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept, key, first_key.
 
     Documents whose sets of k-word shingles share ``percent`` of their union are linked.
     Texts with the same words are one node from the start, however many copies there are.
@@ -236,7 +245,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Null or empty texts, and texts of white space, have no shingles and link with nothing;
     each is its own component. A text of fewer than k words is one shingle. A null id is
     larger than any other and never names a component unless all its ids are null. Repeated
-    rows are copies; ``row_key``, a hash of id and text, marks them, and ``first_key`` is that
+    rows are copies; ``key``, two 64-bit hashes of id and text, marks them, and ``first_key`` is that
     of the row with the component's smallest id. An empty table gives no rows. Very long
     texts are whole; a text's set is held by one task. Other columns are not read.
     """
@@ -248,22 +257,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def _near_duplicates(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
-    d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).withColumn(
-        "row_key", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))))
-    profiles = settle(_profiles(d, k).withColumn("node", F.xxhash64("digest")))
-    least = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key")
-    nodes = settle(profiles.filter("n_shingles > 0").groupBy("node").agg(
-        F.min(least).alias("first"), F.min("digest").alias("d0"), F.max("digest").alias("d1"),
-        F.min("bands").alias("bands")))
-    if not nodes.filter("d0 <> d1").isEmpty():
-        raise RuntimeError("two texts share a 64-bit node number")  # about once in 10 ** 19 / n ** 2 runs
+    d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).withColumns(row_keys("doc_id", "text"))
+    profiles = settle(_profiles(d, k))
+    least = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key", "row_key2")
+    # Numbers that are stored once are unique, as hashes of very many texts need not be.
+    nodes = settle(profiles.filter("n_shingles > 0").groupBy("digest").agg(F.min(least).alias("first"), F.min("bands").alias("bands"))
+                   .withColumn("node", F.monotonically_increasing_id()))
 
     rows = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
-    crowded = rows.groupBy("bucket").agg(F.min("node").alias("center"), F.count(F.lit(1)).alias("m")).filter("m > 1")
+    # Stored, so that the rows of a crowded bucket are a join that Spark can split.
+    crowded = settle(rows.groupBy("bucket").agg(F.min("node").alias("center"), F.count(F.lit(1)).alias("m")).filter("m > 1"))
     members = settle(rows.join(crowded, "bucket").filter("node <> center"))
     stars = settle(members.select(F.col("center").alias("u"), F.col("node").alias("v")).distinct())
     in_stars = stars.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    sets = _sets(d, settle(nodes.join(in_stars, "node").select("node", F.col("first.row_key").alias("row_key"))), k)
+    sets = _sets(d, settle(nodes.join(in_stars, "node").select("node", "first.row_key", "first.row_key2")), k)
     links = settle(_verified(stars, sets, percent))
     roots = components(links)
     more = settle(_more_links(members.filter("m > 2").select("bucket", "band", "node"), roots, sets, percent))
@@ -271,15 +278,21 @@ def _near_duplicates(docs: DataFrame, id_col: str, text_col: str, k: int, percen
         both = links.unionByName(more)
         roots = components(both)
 
-    of_node = nodes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "first")
-    named = of_node.groupBy("root").agg(F.min("first").alias("least"))
-    named = of_node.select("node", "root").join(named, "root").select(
-        "node", F.col("least.doc_id").alias("component_id"), F.col("least.row_key").alias("first_key"))
-    out = profiles.filter("n_shingles > 0").join(named, "node").select(
-        "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "row_key", "first_key")
+    of_node = nodes.join(roots, "node", "left").select("digest", F.coalesce("root", "node").alias("root"), "first")
+    named = settle(of_node.groupBy("root").agg(F.min("first").alias("least")))
+    named = of_node.select("digest", "root").join(named, "root").select(
+        "digest", F.col("least.doc_id").alias("component_id"), F.struct("least.row_key", "least.row_key2").alias("first_key"))
+    key = F.struct("row_key", "row_key2")
+    out = profiles.filter("n_shingles > 0").join(named, "digest").select(
+        "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), key.alias("key"), "first_key")
     return out.unionByName(profiles.filter("n_shingles = 0").select(
-        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"), "row_key",
-        F.col("row_key").alias("first_key")))
+        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"), key.alias("key"), key.alias("first_key")))
+
+
+def row_keys(id_col: str, text_col: str) -> dict:
+    """Two 64-bit hashes of id and text, which together tell rows apart."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return {"row_key": F.xxhash64(id_col, text), "row_key2": F.xxhash64(F.lit("second"), F.col(id_col), text)}
 
 
 def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
@@ -288,7 +301,8 @@ def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: s
     Rows that repeat an id and its text count once; nulls as in ``near_duplicates``.
     """
     found = near_duplicates(docs, id_col, text_col, k, percent)
-    keep = found.filter("row_key = first_key").select(F.col("row_key").alias("_key")).distinct()
+    keep = found.filter("key = first_key").select(F.col("key.row_key").alias("_key"), F.col("key.row_key2").alias("_key2")).distinct()
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    keyed = docs.select(row, F.xxhash64(id_col, F.coalesce(text_col, F.lit(""))).alias("_key"))
-    return keyed.join(keep, "_key", "left_semi").dropDuplicates(["_key"]).select("row.*")
+    first, second = row_keys(id_col, text_col).values()
+    keyed = docs.select(row, first.alias("_key"), second.alias("_key2"))
+    return keyed.join(keep, ["_key", "_key2"], "left_semi").dropDuplicates(["_key", "_key2"]).select("row.*")

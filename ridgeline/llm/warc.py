@@ -7,7 +7,7 @@ import hashlib
 import re
 import uuid
 import zlib
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -33,19 +33,21 @@ def store(uri: str) -> tuple[pafs.FileSystem, str]:
 
 
 def record(page_id: int | None, url: str | None, digest: str, refers_to: int | None, revisit: bool, payload: bytes) -> bytes:
-    """One record as a gzip member. A revisit has no payload, only its digest and the page it refers to."""
+    """One record as a gzip member. A revisit has no payload, only its digest and length and the page it refers to."""
     kind = "revisit" if revisit else "response"
     name = uuid.uuid5(uuid.NAMESPACE_URL, f"{page_id}/{url}/{digest}/{kind}")
     head = [("WARC-Type", kind), ("WARC-Record-ID", f"<urn:uuid:{name}>"), ("WARC-Date", "1970-01-01T00:00:00Z"),
             ("WARC-Payload-Digest", f"sha256:{digest}"), ("Content-Type", "text/html"),
             ("Content-Length", str(0 if revisit else len(payload)))]
     if url is not None:
-        # Only what would end the header line, or be trimmed, is encoded; so the index keeps the address itself.
+        # Only what would end the header line, or be trimmed, is encoded; the second form can be taken back.
         head.append(("WARC-Target-URI", quote(url, safe="!#$&'()*+,/:;=?@[]~%|^`{}<>\\\"-._")))
+        head.append(("X-Address", quote(url, safe="/:?&=#")))
     if page_id is not None:
         head.append(("X-Page-Id", str(page_id)))
     if revisit:
         head.append(("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"))
+        head.append(("X-Payload-Length", str(len(payload))))
         if refers_to is not None:
             head.append(("X-Refers-To-Page", str(refers_to)))
     lines = "".join(f"{k}: {v}\r\n" for k, v in head).encode()
@@ -156,13 +158,14 @@ def read(selected: DataFrame, folder: str) -> DataFrame:
     """The records that rows of the index name, read in one piece per byte range and checked.
 
     Any filter of the index selects records; files are only touched where it says so. A
-    response whose payload has another digest than the index says stops the job.
+    response whose payload has another digest than the index says stops the job. All columns come from
+    the archive: address, length and what a revisit refers to are read from the record's own head.
     """
     names = [f.split(" ")[0] for f in ROW.split(", ")]
     chosen = ranges(selected)
     plans = chosen.groupBy("file", "run").agg(
         F.min("offset").alias("start"), F.max(F.col("offset") + F.col("length")).alias("end"),
-        F.sort_array(F.collect_list(F.struct("offset", "length", "url", "digest", "payload_bytes"))).alias("records"))
+        F.sort_array(F.collect_list(F.struct("offset", "length", "digest"))).alias("records"))
 
     def run(batches):
         fs, at = store(folder)
@@ -179,7 +182,8 @@ def read(selected: DataFrame, folder: str) -> DataFrame:
                     if digest != r["digest"] or not revisit and hashlib.sha256(payload).hexdigest() != digest:
                         raise ValueError(f"{plan['file']} at {r['offset']}: digest differs from the index")
                     number = lambda k: int(head[k]) if k in head else None
-                    rows.append((number("X-Page-Id"), r["url"], digest, r["payload_bytes"] if revisit else len(payload),
+                    address = unquote(head["X-Address"]) if "X-Address" in head else None
+                    rows.append((number("X-Page-Id"), address, digest, number("X-Payload-Length") if revisit else len(payload),
                                  head["WARC-Type"], number("X-Refers-To-Page"), None if revisit else payload))
                 kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.binary()]
                 yield pa.record_batch([pa.array([x[i] for x in rows], kinds[i]) for i in range(len(names))], names=names)

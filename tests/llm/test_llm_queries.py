@@ -55,6 +55,16 @@ def test_pipeline(spark, tmp_path):
             assert max(left.values()) <= 3 and set(left) <= {i for i, _ in rows}
 
 
+def test_run_is_its_stages(spark):
+    """``run`` gives what its stages give one after the other."""
+    seen = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES:
+        seen = stage(spark, seen, FOLDER)
+    rows = lambda df: Counter(tuple(r) for r in df.select("doc_id", "shard", "slot", "text", "source").collect())
+    got = corpus_pipeline.run(spark, FOLDER)
+    assert got.columns[-2:] == ["shard", "slot"] and rows(got) == rows(seen) and got.count() > 100
+
+
 def test_stages_of_odd_rows(spark, odd_docs, no_docs):
     for docs in (odd_docs, no_docs):
         for name, stage in corpus_pipeline.STAGES:

@@ -75,3 +75,51 @@ def test_odd_shards(spark, odd_docs, no_docs):
     assert len(got) == odd_docs.count() and Counter(r.shard for r in got) == Counter({0: 4, 1: 3, 2: 3, 3: 3, 4: 3})
     assert sharding.shard(odd_docs.limit(2), 5).select("shard").distinct().count() == 2
     assert sharding.shard(no_docs, 5).count() == 0
+
+
+def by_hand(rows, shards, seed="shard-1"):
+    """{(id, source): [(shard, slot)]} from sorted lists."""
+    import hashlib
+
+    order = lambda i: hashlib.md5(f"{seed}:{'' if i is None else i}".encode()).hexdigest()
+    of_source = defaultdict(list)
+    for i, s in rows:
+        of_source[s].append((order(i), i is not None, i or 0, i))
+    placed = []
+    for s, found in of_source.items():
+        for k, (o, *_, i) in enumerate(sorted(found)):
+            placed.append(((2 * k + 1) / (2 * len(found)), s is None, s or "", o, i, s))
+    placed.sort(key=lambda r: r[:4])
+    out, seen = defaultdict(list), Counter()
+    for at, (*_, i, s) in enumerate(placed):
+        shard = at * shards // len(placed)
+        out[i, s].append((shard, seen[shard]))
+        seen[shard] += 1
+    return out
+
+
+@pytest.mark.parametrize("shards", [1, 7, 8])
+def test_shards_by_hand(spark, shards):
+    rows = [(i, f"s{0 if i % 3 else i % 7}" if i % 11 else None) for i in range(500)] + [(None, "s0"), (3, "s0"), (3, "s0")]
+    df = spark.createDataFrame([(*r, "t", 5) for r in rows], "doc_id long, source string, text string, shard int").repartition(4)
+    got = defaultdict(list)
+    for r in sharding.shard(df, shards).collect():
+        got[r.doc_id, r.source].append((r.shard, r.slot))
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in by_hand(rows, shards).items()}
+
+
+def test_query_of_shards(spark):
+    """Sizes, checksums and places of the registered query, worked out by hand."""
+    import zlib
+
+    from ridgeline.llm.queries import QUERIES
+
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "source", "text").collect()
+    at = by_hand([(r.doc_id, r.source) for r in docs], 8)
+    got = {r.doc_id: r for r in QUERIES["op8_sharding"](spark, folder).collect()}
+    assert len(got) == len(docs)
+    for r in docs:
+        data, found = (r.text or "").encode(), got[r.doc_id]
+        assert (found.size, found.text_crc32, found.law, found.grown_shard) == (len(data) + 1, zlib.crc32(data), "rows", None)
+        assert [(found.shard, found.slot)] == at[r.doc_id, r.source]

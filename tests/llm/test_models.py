@@ -184,6 +184,17 @@ def test_evidence_beside_the_text(spark):
     assert langid.identify_pages(df.limit(0), model).count() == 0
 
 
+def test_very_long_page(spark):
+    """A page of some megabytes is read whole: its language is that of its later, longer part."""
+    docs = table(spark, SF, "documents")
+    model = langid.train(docs)
+    parts = {k: " ".join(r.text for r in docs.filter(F.col("lang") == k).limit(60).collect()) for k in ("de", "fr")}
+    html = f"<p>{parts['fr']}</p>" + "".join(f"<p>{parts['de']}</p>" for _ in range(25))
+    df = spark.createDataFrame([(1, None, html), (2, None, parts["fr"])], "page_id long, url string, html string")
+    got = {r.page_id: r for r in langid.identify_pages(df, model).collect()}
+    assert len(html) > 1_000_000 and got[1].lang == "de" and got[2].lang == "fr" and got[1].groups > 1_000_000
+
+
 def test_known_languages_stay(spark, odd_docs, no_docs):
     left = langid.in_known_language(odd_docs)
     gone = odd_docs.exceptAll(left)

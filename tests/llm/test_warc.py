@@ -86,6 +86,27 @@ def test_changed_archive_is_noticed(spark, tmp_path):
         warc.read(wrong, folder).collect()
 
 
+def test_columns_come_from_the_archive(spark, tmp_path):
+    """An index that knows only places and digests is enough, for revisits too."""
+    folder = str(tmp_path / "w")
+    index = warc.write(made(spark), folder).withColumns({
+        "url": F.lit("http://wrong/"), "payload_bytes": F.lit(-1).cast("long"), "record_type": F.lit("x"), "refers_to": F.lit(99).cast("long"),
+        "page_id": F.lit(-5).cast("long")})
+    got = warc.read(index, folder).collect()
+    assert Counter((r.page_id, r.url, r.digest, r.payload_bytes, r.record_type, r.refers_to) for r in got) == expected(ROWS)
+
+
+def test_very_long_page(spark, tmp_path, monkeypatch):
+    """A page far longer than a byte range or a volume."""
+    monkeypatch.setattr(warc, "RANGE_BYTES", 1000)
+    monkeypatch.setattr(warc, "VOLUME_BYTES", 5000)
+    rows = [(1, "http://a/", "short"), (2, "http://b/", " ".join(str(i * 7919 % 100_003) for i in range(300_000))), (3, "http://c/", "end")]
+    folder = str(tmp_path / "w")
+    index = warc.write(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), folder)
+    got = {r.page_id: bytes(r.payload).decode() for r in warc.read(index, folder).collect()}
+    assert got == {i: html for i, _, html in rows}
+
+
 def test_empty(spark, tmp_path):
     folder = str(tmp_path / "w")
     index = warc.write(made(spark).limit(0), folder)
