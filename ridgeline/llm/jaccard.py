@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +44,6 @@ def fragments(n: int, percent: int) -> int:
     return -(-need // step) * step
 
 
-@lru_cache(1 << 12)
 def fewest_equal(cuts: int, percent: int) -> int:
     """Equal fragments that every linked pair has which is cut into ``cuts``."""
     low, high = 1, 2
@@ -57,7 +55,20 @@ def fewest_equal(cuts: int, percent: int) -> int:
     return cuts - most_apart(low, low * 100 // percent, percent)
 
 
-@lru_cache(1 << 16)
+class Cuts(dict):
+    """For a number of n-grams: its numbers of fragments, each with the fewest equal ones of a linked pair; remembered."""
+
+    def __init__(self, percent: int):
+        super().__init__()
+        self.percent = percent
+
+    def __missing__(self, n: int) -> list[tuple[int, int]]:
+        if len(self) >= kn.MOST_WORDS_KEPT:
+            self.clear()
+        value = self[n] = [(c, fewest_equal(c, self.percent)) for c in cuts_of(n, self.percent)]
+        return value
+
+
 def cuts_of(n: int, percent: int) -> tuple[int, ...]:
     """All numbers of fragments that pairs with a set of ``n`` may be cut into: those of smaller sets it can be linked with."""
     least = -(-n * percent // 100)
@@ -75,18 +86,18 @@ def cuts_of(n: int, percent: int) -> tuple[int, ...]:
     return tuple(sorted(out))
 
 
-def fragment_keys(found: np.ndarray, percent: int) -> np.ndarray:
+def fragment_keys(found: np.ndarray, known: Cuts) -> np.ndarray:
     """A hash of what each fragment with n-grams holds, for every number of cuts; linked sets share one at least.
 
     If nothing but empty fragments is equal in a pair, both have many of them; all such sets share one more key.
     """
     out = []
-    for cuts in cuts_of(len(found), percent):
+    for cuts, fewest in known[len(found)]:
         at = ((found >> np.uint64(32)) * np.uint64(cuts)) >> np.uint64(32)
         first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
         held = np.add.reduceat(kn.mixed(found ^ kn.ODD), first)
         out.append(kn.mixed(kn.mixed(at[first] + np.uint64(cuts << 32)) + held))
-        if cuts - len(first) >= fewest_equal(cuts, percent):
+        if cuts - len(first) >= fewest:
             out.append(kn.mixed(np.array([cuts ^ _SPARSE], np.uint64)))
     return np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
 
@@ -161,7 +172,7 @@ def _numbers(column: pa.Array, i: int) -> np.ndarray:
 
 def _profiles(docs: DataFrame, k: int, percent: int) -> DataFrame:
     def run(batches):
-        hashes = kn.WordHashes()
+        hashes, known = kn.WordHashes(), Cuts(percent)
         for batch in batches:
             for part in kn.pieces(batch, "text"):
                 digest, size, keys = [], [], []
@@ -169,7 +180,7 @@ def _profiles(docs: DataFrame, k: int, percent: int) -> DataFrame:
                     found = grams_of(text, k, hashes)
                     digest.append(digest_of(found))
                     size.append(len(found))
-                    keys.append(fragment_keys(found, percent))
+                    keys.append(fragment_keys(found, known))
                 yield pa.record_batch({
                     "doc_id": part.column("doc_id"), "row_key": part.column("row_key"), "digest": pa.array(digest, pa.binary()),
                     "n": pa.array(size, pa.int64()), "keys": pa.array(keys, pa.list_(pa.int64()))})
