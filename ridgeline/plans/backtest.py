@@ -44,10 +44,10 @@ def run(prices: DataFrame, category: Column, train_before: str, lo: str, hi: str
         boosted=None, forest=None, first: bool = False) -> tuple[DataFrame, DataFrame]:
     """Cleaned prices to the results table and the ranking of all keys; ``first`` for the first strategy.
 
-    The feature table, the scored slice and the positions are stored on the way:
+    The prices, the feature table, the scored slice and the positions are stored on the way:
     each is read by more than one later step.
     """
-    table = settle(features(prices))
+    table = settle(features(settle(prices)))
     rows, laid = sliced(table, lo, hi, first)
     scored = settle(category_scores(table, rows, category, train_before, boosted, forest, first=first))
     placed = settle(choose(scored, category, first, laid))

@@ -453,8 +453,11 @@ def holdout_support(spark, folder):
 # once per training table and settings and stored (``models.stored_fit``).
 
 def _training(spark, folder):
-    """The feature table with its periods, and the model inputs."""
-    table = settle(ft.features(fx.prices(spark, folder)))
+    """The feature table with its periods, and the model inputs.
+
+    The prices are stored first, because the features read them twice: to count and to compute.
+    """
+    table = settle(ft.features(settle(fx.prices(spark, folder))))
     return ft.date_split(table, "date", fx.PERIODS), ft.input_columns(table)
 
 

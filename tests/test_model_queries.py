@@ -4,6 +4,7 @@ import math
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from ridgeline.operators import features as ft
 from ridgeline.operators import models as md
@@ -39,6 +40,31 @@ def test_settings(spark, monkeypatch, tmp_path, name):
         assert (e.getMaxIter(), e.getMaxDepth(), e.getStepSize(), e.getSubsamplingRate()) == (300, 6, 0.03, 0.8)
 
 
+@pytest.mark.parametrize("name", ["model_study", "rf_scores", "first_strategy", "scan_strategy"])
+def test_orders_are_read_once(spark, monkeypatch, tmp_path, name):
+    """All that grows with the orders is done once: the steps before the fit read stored prices."""
+    days = spark.range(1200).selectExpr("id AS o_orderkey", "timestamp_ntz'1995-01-01' + make_dt_interval(cast(id DIV 3 AS int)) AS o_orderdate",
+                                        "concat(element_at(array('1', '4'), cast(id % 2 + 1 AS int)), '-x') AS o_orderpriority",
+                                        "cast(100000 + pmod(id * 7919, 1009) * 50 AS double) AS o_totalprice")
+    days.write.parquet(f"{tmp_path}/orders.parquet")
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(key):
+        seen.add(1)
+        return key
+
+    def fit(train, inputs, estimator):
+        raise Asked(train.count())
+
+    monkeypatch.setattr(fx, "table", lambda s, folder, of: s.read.parquet(f"{folder}/{of}.parquet").withColumn(
+        "o_orderkey", F.udf(counted, "long")("o_orderkey")))
+    monkeypatch.setattr(md, "lasting_dir", lambda _: str(tmp_path / "models"))
+    monkeypatch.setattr(md, "fit", fit)
+    with pytest.raises(Asked) as found:
+        rg.QUERIES[name](spark, str(tmp_path))
+    assert found.value.args[0] > 0 and seen.value == 1200
+
+
 @pytest.fixture
 def small(monkeypatch, tmp_path):
     """Small trees in a store of their own; what was fitted."""
@@ -171,5 +197,5 @@ def test_stored_by_table_and_settings(spark, small, tmp_path, table):
     md.fit(train.repartition(5).repartition(1, *inputs, "_weight", "Target").sortWithinPartitions(*inputs, "_weight", "Target"), inputs, md.boosted()).save(again)
     key = lambda path: sorted(map(str, trees.nodes(spark, path, inputs).drop("weight").collect()))
     assert key(one) == key(again)
-    assert md.stored_fit(train.filter("ticker <> 'S1'"), inputs, md.boosted()) != one
+    assert md.stored_fit(train.filter("ticker <> '^I4'"), inputs, md.boosted()) != one
     assert md.stored_fit(train, inputs, BOOSTED(trees=3, depth=2)) != one and len(models(tmp_path / "models")) == 3
