@@ -42,8 +42,8 @@ def _piece(lengths: list[int]) -> int:
     return fitting[-1]
 
 
-# A window of more pieces than these is put together from sums that double in length, the first over so many rows.
-MOST_PIECES, DIRECT = 20, 8
+# A window of more pieces than these is put together from sums that grow so many times in length, the first over so many rows.
+MOST_PIECES, GROWTH, DIRECT = 20, 4, 8
 
 
 def window_sums(df: DataFrame, w: WindowSpec, wanted: dict[str, tuple[str, int]]) -> DataFrame:
@@ -51,8 +51,8 @@ def window_sums(df: DataFrame, w: WindowSpec, wanted: dict[str, tuple[str, int]]
 
     Spark adds up a sliding frame anew for every row.  A long window is therefore
     put together from sums over short ones, shifted: 50 rows are five sums of 10.
-    Lengths without a fair common divisor take sums over 8, 16, 32, ... rows, each from
-    two of the one before: 199 rows are 128, 64 and 7.  Values are counted as the
+    Lengths without a fair common divisor take sums over 8, 32, 128, ... rows, each from
+    four of the one before: 199 rows are 128, 32, 32 and 7.  Values are counted as the
     difference of two running counts.
     """
     lengths: dict[str, list[int]] = {}
@@ -75,16 +75,16 @@ def window_sums(df: DataFrame, w: WindowSpec, wanted: dict[str, tuple[str, int]]
             pieces |= {(x, n): [(name, i) for i in range(0, n, size)] for n in ns}
             continue
         known = {DIRECT: short(x, DIRECT)}
-        while 2 * max(known) <= max(ns):
-            half, before = max(known), known[max(known)]
-            known[2 * half] = f"_sum{2 * half}_{x}"
-            depth = (half // DIRECT).bit_length() - 1
+        while GROWTH * max(known) <= max(ns):
+            size, before = max(known), known[max(known)]
+            name = known[GROWTH * size] = f"_sum{GROWTH * size}_{x}"
+            depth = len(known) - 2
             levels += [{}] * (depth + 1 - len(levels))
-            levels[depth] = levels[depth] | {known[2 * half]: F.col(before) + F.coalesce(F.lag(before, half).over(w), F.lit(0.0))}
+            levels[depth] = levels[depth] | {name: reduce(operator.add, [F.col(before), *[F.lag(before, i * size, 0.0).over(w) for i in range(1, GROWTH)]])}
         for n in ns:
             parts, at = [], 0
             for size in sorted(known, reverse=True):
-                if n - at >= size:
+                while n - at >= size:
                     parts.append((known[size], at))
                     at += size
             if n > at:
